@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app: str = "gristmill", cpus: str = "*", partitions: int = 8, **conf) -> SparkSession:
     """A single-machine session for tests and benches; clusters bring their own."""
@@ -47,7 +49,13 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/gristmill/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # what the finished job shuffled is of no more use to anyone
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._gristmill_path = path
     return back
