@@ -201,8 +201,11 @@ def encode_documents(docs: DataFrame, vocab_path: str = DEFAULT_VOCAB, id_col: s
     """
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(read_vocab(vocab_path))
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = StructField("id", base.schema["id"].dataType)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    base = rows.where("id is not null")
+    # ids and keys are declared not null, or the joins would filter each use of a
+    # shuffle in its own way and it would be made once for each
+    kind = StructField("id", rows.schema["id"].dataType, False)
 
     def chunk_rows(batch):
         for part in cut(batch, 1):
@@ -217,9 +220,9 @@ def encode_documents(docs: DataFrame, vocab_path: str = DEFAULT_VOCAB, id_col: s
         for part in cut(batch, 1):
             yield [part.column(0), pa.array([None if t is None else squeeze(t.encode()) for t in part.column(1).to_pylist()], pa.binary())]
 
-    keyed = map_arrow(base, chunk_rows, StructType([kind, StructField("keys", ArrayType(BinaryType()))]))
+    keyed = map_arrow(base, chunk_rows, StructType([kind, StructField("keys", ArrayType(BinaryType(), False), False)]))
     chunks = keyed.select("id", F.explode("keys").alias("key")).repartition("key")
-    owners = chunks.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("owner")).where("n > 1 and owner is not null")
+    owners = chunks.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("owner")).where("n > 1")
     duties = owners.groupBy("owner").agg(F.collect_list("key").alias("duty")).withColumnRenamed("owner", "id")
     packed = map_arrow(base, pack, StructType([kind, StructField("z", BinaryType())])).repartition("id")
 
@@ -266,7 +269,10 @@ def encode_documents(docs: DataFrame, vocab_path: str = DEFAULT_VOCAB, id_col: s
             ]
 
     schema = StructType([StructField(id_col, kind.dataType), StructField("token_ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()), StructField("n_shared", LongType()), StructField("round_trip", BooleanType())])
-    return map_arrow(packed.join(given, "id", "left").select("id", "z", "given"), finish, schema)
+    done = map_arrow(packed.join(given, "id", "left").select("id", "z", "given"), finish, schema)
+    nameless = map_arrow(rows.where("id is null"), pack, StructType([StructField("id", kind.dataType), StructField("z", BinaryType())]))
+    alone = map_arrow(nameless.withColumn("given", F.lit(None).cast(given.schema["given"].dataType)), finish, schema)
+    return done.unionByName(alone)
 
 
 def decode_documents(encoded: DataFrame, vocab_path: str = DEFAULT_VOCAB, id_col: str = "doc_id", tokens_col: str = "token_ids") -> DataFrame:
