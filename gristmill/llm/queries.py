@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import encoding, fingerprints, token_counts
+from gristmill.llm import encoding, fingerprints, ngram_join, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,10 +23,15 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.sketch_documents(_read(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
     "op7_fingerprints": op7_fingerprints,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 ORACLE = {
