@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gristmill.llm import encoding, fingerprints, ngram_join, token_counts
+from gristmill.llm import encoding, fingerprints, line_dedup, mixing, ngram_join, token_counts, url_filters
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,10 +20,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return url_filters.filter_urls(pages, url_filters.default_events(spark), url_filters.fetch_date(F.col("page_id")))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_read(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.sketch_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_read(spark, sf_dir, "documents"))
 
@@ -30,10 +44,15 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op4_url_filters": op4_url_filters,
+    "op5_mixing": op5_mixing,
     "op7_fingerprints": op7_fingerprints,
+    "op8_line_dedup": op8_line_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 ORACLE = {
+    "op4_url_filters": url_filters.url_oracle(),
+    "op5_mixing": mixing.mix_oracle(),
     "op7_fingerprints": fingerprints.sketch_oracle(),
 }
