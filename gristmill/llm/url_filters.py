@@ -100,12 +100,12 @@ def filter_urls(pages: DataFrame, events: DataFrame, fetched: Column, id_col: st
 def url_oracle() -> str:
     values = ", ".join(f"('{e}', '{c}', '{a}', DATE '{d}')" for e, c, a, d in LIST_EVENTS)
     return f"""
-WITH ev(entry, category, action, at) AS (VALUES {values}),
+WITH ev(entry, category, action, happened) AS (VALUES {values}),
 turns AS (
-  SELECT * FROM (SELECT *, lag(action) OVER (PARTITION BY entry, category ORDER BY at, action) AS was FROM ev)
+  SELECT * FROM (SELECT *, lag(action) OVER (PARTITION BY entry, category ORDER BY happened, action) AS was FROM ev)
   WHERE (was IS NULL AND action = 'add') OR was <> action),
 iv AS (
-  SELECT entry, category, at AS valid_from, lead(at) OVER (PARTITION BY entry, category ORDER BY at, action) AS valid_to, action FROM turns),
+  SELECT entry, category, happened AS valid_from, lead(happened) OVER (PARTITION BY entry, category ORDER BY happened, action) AS valid_to, action FROM turns),
 act AS (SELECT * FROM iv WHERE action = 'add' AND (valid_to IS NULL OR valid_to > valid_from)),
 p AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INTEGER) AS fetched,
