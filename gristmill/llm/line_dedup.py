@@ -40,11 +40,13 @@ from gristmill.session import discard, materialize
 
 MIN_WORDS = 5
 SIMILARITY = 0.9
-FLIPS, RECALL = 0.06, 0.93
-#: Of the first 64 bits, candidates differ in no more than these.
-NEAR_BITS = 13
-#: Bytes of text for which one line is reckoned when blocks are sized; entries of a bucket range.
-LINE_BYTES, RANGE = 200, 400_000
+FLIPS, RECALL = 0.085, 0.94
+#: Of the first 128 bits, candidates differ in no more than these.
+NEAR_BITS = 22
+#: Bytes of text for which one line is reckoned when blocks are sized; chance
+#: meetings of a line in a block, to the power of 2; entries of a bucket range;
+#: lines that a task packs at once.
+LINE_BYTES, MEETINGS, RANGE, PACK = 200, 4, 400_000, 200_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
 _LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -55,7 +57,7 @@ def normalise(line: str) -> str:
 
 def block_plan(volume: int) -> tuple[int, int]:
     """Bits of a block, and number of blocks, for a corpus of ``volume`` bytes."""
-    bits = max(16, math.ceil(math.log2(max(2, volume / LINE_BYTES))))
+    bits = max(14, math.ceil(math.log2(max(2, volume / LINE_BYTES))) - MEETINGS)
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - FLIPS) ** bits))
 
 
@@ -150,7 +152,7 @@ def _forest(size: int, pairs) -> list[tuple[int, int]]:
 
 
 def _occurrences(docs: DataFrame, words: int) -> DataFrame:
-    """(id, dkey, no, key, sim) of all lines that are compared; ``sim`` is null if ``words`` is 0."""
+    """(id, dkey, no, key, sim) of all lines that are compared."""
     schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType())])
 
     def work(batch):
@@ -162,80 +164,125 @@ def _occurrences(docs: DataFrame, words: int) -> DataFrame:
                 numbers += [no for no, _ in own]
                 lines += [line for _, line in own]
                 dkeys += [document_key(text)] * len(own) if own else []
-            sims = [s.tobytes() for s in simhash(lines, words)] if words else [None] * len(lines)
-            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array([xxhash.xxh3_128_digest(x) for x in lines], pa.binary()), pa.array(sims, pa.binary())]
+            kinds = {line: i for i, line in enumerate(dict.fromkeys(lines))}
+            sims, keys = [s.tobytes() for s in simhash(list(kinds), words)], [xxhash.xxh3_128_digest(x) for x in kinds]
+            which = pa.array([kinds[x] for x in lines], pa.int32())
+            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which)]
 
     return map_arrow(docs, work, schema)
 
 
 def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFrame:
-    """Edges (a, b) of kinds that agree in a block and are near."""
-    schema = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("node", LongType()), StructField("sim", LongType())])
-
-    def spread(batch):
-        for at in range(0, batch.num_rows, 100_000):
-            part = batch.slice(at, 100_000)
-            node = np.array(part.column(0))
-            sim = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(len(node), -1)
+    """Edges of kinds that agree in a block and are near, as many as connect them.
+
+    Entries of one block and hash range are packed: 4 bytes of the block's hash,
+    the node, and 128 bits of SimHash for each.
+    """
+    schema = StructType([StructField("bucket", IntegerType()), StructField("data", BinaryType())])
+
+    def spread(batches):
+        nodes, sims, held = [], [], 0
+
+        def flush():
+            node, sim = np.concatenate(nodes), np.concatenate(sims)
+            nodes.clear(), sims.clear()
             flat = np.unpackbits(sim.view(np.uint8), axis=1, bitorder="little")
+            buckets, blobs = [], []
             for b in range(blocks):
                 own = np.zeros((len(node), 64), np.uint8)
                 own[:, :bits] = flat[:, b * bits : (b + 1) * bits]
-                value = np.packbits(own, axis=1, bitorder="little").view(np.uint64)[:, 0]
-                bucket = (mix(value) % np.uint64(ranges)).astype(np.int32) + b * ranges
-                yield [pa.array(bucket), pa.array(value.astype(np.int64)), pa.array(node), pa.array(sim[:, 0].view(np.int64))]
+                value = mix(np.packbits(own, axis=1, bitorder="little").view(np.uint64)[:, 0])
+                bucket = (value % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(ranges + 1))
+                for r in np.flatnonzero(np.diff(ends)).tolist():
+                    which = order[ends[r] : ends[r + 1]]
+                    buckets.append(b * ranges + r)
+                    blobs.append((value[which] >> np.uint64(32)).astype(np.uint32).tobytes() + node[which].tobytes() + np.ascontiguousarray(sim[which, :2]).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "data"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes.append(np.array(batch.column(0)))
+            sims.append(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            held += batch.num_rows
+            if held >= PACK:
+                yield flush()
+                held = 0
+        if held:
+            yield flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        value, node, sim = (np.array(table.column(c)) for c in ("block", "node", "sim"))
+        parts = []
+        for blob in table.column("data").to_pylist():
+            n = len(blob) // 28
+            parts.append((np.frombuffer(blob, np.uint32, n), np.frombuffer(blob, np.int64, n, 4 * n), np.frombuffer(blob, np.uint64, 2 * n, 12 * n).reshape(n, 2)))
+        value, node, sim = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(value, kind="stable")
-        value, node, sim = value[order], node[order], sim[order].view(np.uint64)
+        value, node, sim = value[order], node[order], sim[order]
         starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
         size = np.diff(np.append(starts, len(value)))
         src, dst = [], []
         for n in np.unique(size[size > 1]).tolist():  # all buckets of one size at once
             first = starts[size == n]
-            step = max(1, 2_000_000 // (n * n))
-            for at in range(0, len(first), step):
-                rows = first[at : at + step, None] + np.arange(n)
-                own = sim[rows]
-                if n <= 1500:
-                    near = np.bitwise_count(own[:, :, None] ^ own[:, None, :]) <= NEAR_BITS
-                    k, i, j = np.nonzero(np.triu(near, 1))
-                    src.append(rows[k, i]), dst.append(rows[k, j])
-                else:
-                    for i in range(n - 1):
-                        j = np.flatnonzero(np.bitwise_count(own[0, i + 1 :] ^ own[0, i]) <= NEAR_BITS) + i + 1
-                        src.append(np.full(len(j), rows[0, i])), dst.append(rows[0, j])
+            if n <= 1000:
+                i, j = np.triu_indices(n, 1)
+                step = max(1, 1_000_000 // len(i))
+                for at in range(0, len(first), step):
+                    a, b = first[at : at + step, None] + i, first[at : at + step, None] + j
+                    near = np.bitwise_count(sim[a] ^ sim[b]).sum(2) <= NEAR_BITS
+                    src.append(a[near]), dst.append(b[near])
+                continue
+            for begin in first.tolist():  # each is a seed once, against those that nothing has reached
+                unseen, turn = np.arange(begin, begin + n), []
+                while len(unseen):
+                    if turn:
+                        seed = turn.pop()
+                    else:
+                        seed, unseen = unseen[0], unseen[1:]
+                    near = np.bitwise_count(sim[unseen] ^ sim[seed]).sum(1) <= NEAR_BITS
+                    hit, unseen = unseen[near], unseen[~near]
+                    src.append(np.full(len(hit), seed)), dst.append(hit)
+                    turn += hit.tolist()
         if not src:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64())], ["src", "dst"])
         a, b = np.concatenate(src), np.concatenate(dst)
-        kept = _forest(len(node), zip(a.tolist(), b.tolist()))
-        index = np.array(kept, np.int64).reshape(-1, 2)
+        index = np.array(_forest(len(node), zip(a.tolist(), b.tolist())), np.int64).reshape(-1, 2)
         return pa.table([pa.array(node[index[:, 0]]), pa.array(node[index[:, 1]])], ["src", "dst"])
 
-    return map_arrow(kinds.select("node", "sim"), spread, schema).groupBy("bucket").applyInArrow(meet, "src long, dst long")
+    return kinds.select("node", "sim").mapInArrow(spread, schema).groupBy("bucket").applyInArrow(meet, "src long, dst long")
 
 
 def _verify(lines: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of the kinds of each candidate group that edit similarity connects."""
+    """(node, root) of the kinds of each candidate group that edit similarity connects.
+
+    Pairs that are near and not yet connected are tried; before the edit distance
+    the surplus of letters, which it can't be below, is held against the bound.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
-        node, sim, text = np.array(table.column("node")), np.array(table.column("sim")).view(np.uint64), table.column("line").to_pylist()
-        parent = list(range(len(node)))
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
+        node, text = np.array(table.column("node")), table.column("line").to_pylist()
+        sim = np.frombuffer(b"".join(table.column("sim").to_pylist()), np.uint64).reshape(len(node), 2)
+        letters = np.zeros((len(node), 64), np.int32)
+        for i, line in enumerate(text):
+            letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le"), np.uint32) % 64, minlength=64)
+        size = np.array(list(map(len, text)))
+        parent = np.arange(len(node))
 
         for i in range(len(node) - 1):
-            apart = np.bitwise_count(sim[i + 1 :] ^ sim[i])
-            for j in (np.flatnonzero(apart <= NEAR_BITS) + i + 1).tolist():
-                ri, rj = root(i), root(j)
-                if ri != rj and similar(text[i], text[j], similarity):  # what is connected needs no proof
-                    parent[max(ri, rj)] = min(ri, rj)
-        return pa.table([pa.array(node), pa.array(node[[root(i) for i in range(len(node))]])], ["node", "root"])
+            apart = np.bitwise_count(sim[i + 1 :] ^ sim[i]).sum(1)
+            near = np.flatnonzero((apart <= NEAR_BITS) & (parent[i + 1 :] != parent[i])) + i + 1
+            if not len(near):
+                continue
+            gap = letters[near] - letters[i]
+            surplus = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
+            for j in near[surplus <= np.maximum(size[near], size[i]) * (1 - similarity) + 1e-9].tolist():
+                a, b = parent[i], parent[j]
+                if a != b and similar(text[i], text[j], similarity):  # what is connected needs no proof
+                    parent[parent == max(a, b)] = min(a, b)
+        return pa.table([pa.array(node), pa.array(node[parent])], ["node", "root"])
 
     return lines.groupBy("component").applyInArrow(work, "node long, root long")
 
@@ -291,9 +338,9 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
     volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits, blocks = block_plan(volume)
-    words = max(1, math.ceil(bits * blocks / 64))
+    words = max(2, math.ceil(bits * blocks / 64))
     ranges = max(1, math.ceil(volume / LINE_BYTES / RANGE))
-    found = _occurrences(base, words)
+    found = materialize(_occurrences(base, words), "lines")
     place = F.struct("id", "dkey", "no")
     kinds = materialize(
         found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"))
@@ -301,7 +348,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     )
     edges = _candidates(kinds, bits, blocks, ranges)
     parts = connected_components(edges)
-    members = materialize(kinds.join(parts, "node").select("node", "component", "place", F.substring("sim", 1, 8).alias("sim")), "members")
+    members = materialize(kinds.join(parts, "node").select("node", "component", "place", F.substring("sim", 1, 16).alias("sim")), "members")
     wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", "component", "sim", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
 
     def pack(batch):
@@ -319,17 +366,18 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
                 for wish in wishes:
                     if wish["dkey"] == key:
                         own = own or dict(lines_of(text))
-                        out.append((wish["component"], wish["node"], int.from_bytes(wish["sim"], "little", signed=True), own[wish["no"]].decode("utf-8", "replace")))
+                        out.append((wish["component"], wish["node"], wish["sim"], own[wish["no"]].decode("utf-8", "replace")))
             columns = list(zip(*out)) or [()] * 4
-            yield [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string())]
+            yield [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.string())]
 
     texts = map_arrow(base, pack, StructType([base.schema["id"], StructField("z", BinaryType())]))
-    lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("sim", LongType()), StructField("line", base.schema["text"].dataType)]))
-    roots = _verify(lines.dropDuplicates(["component", "node"]), similarity)
-    grouped = kinds.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("sim", BinaryType()), StructField("line", base.schema["text"].dataType)]))
+    roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity), "roots")
+    discard(members)
+    grouped = kinds.select("key", "node", "place", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = grouped.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("total")).where("total > 1")
-    verdicts = materialize(grouped.join(groups, "root").select("key", "keep"), "verdicts")
-    discard(members), discard(kinds)
-    again = _occurrences(base, 0).select("id", "dkey", "no", "key")
-    gone = again.join(verdicts, "key").where(~(F.struct("id", "dkey", "no") == F.col("keep")))
-    return gone.select("id", "dkey", "no").distinct()
+    verdicts = grouped.join(groups, "root").select("key", "keep")
+    gone = found.select("id", "dkey", "no", "key").join(verdicts, "key").where(~(F.struct("id", "dkey", "no") == F.col("keep")))
+    out = materialize(gone.select("id", "dkey", "no").distinct(), "gone")
+    discard(found), discard(kinds), discard(roots)
+    return out
