@@ -13,17 +13,24 @@ added up across, so the hot source is spread like any other. The result is
 range-sorted by position.
 
 Defined results: a null source is a source of its own; a null text and an empty
-one count one token; rows that share an id follow each other by tokens; repeated rows are all placed; rows without an id are placed under an empty
-id. A source without an entry in the schedule has the default's. An empty table
+one count one token; rows that share an id follow each other by
+tokens; repeated rows are all placed; rows without an id are placed under an
+empty id. A source without an entry in the schedule has the default's. An empty table
 gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+
+from gristmill.llm.arrow import cut, map_arrow
 
 #: Knots of training progress, as parts of 1000, and each source's weight there,
 #: in parts of 1000 of its tokens; None stands for all others. The hot source
@@ -79,12 +86,15 @@ def mix_sources(
     source_col: str = "source",
     text_col: str = "text",
     extra: tuple[str, ...] = (),
+    pack: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``(id, source, *extra, n_tokens, epoch, position)`` sorted by position.
 
     ``position`` counts tokens of training: floor(progress * budget). The
     budget is ``total_tokens``, by default all tokens there are. ``extra`` names
     columns to carry; result columns take the place of equally named ones.
+    ``pack`` is applied to the rows before they are shuffled; there the ``i``-th
+    of these columns is ``__x{i}``.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("__id"), F.col(f"`{source_col}`").alias("__source"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("\u0000")).alias("__s"),
@@ -99,7 +109,7 @@ def mix_sources(
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("__s", "__b", F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__from")).join(plan, "__s")
     inside = Window.partitionBy("__s", "__b").orderBy("__h", "__n").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("__c", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(offsets, ["__s", "__b"])
+    placed = (pack(rows) if pack else rows).withColumn("__c", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(offsets, ["__s", "__b"])
     start = F.col("__from") + F.col("__c")
     rounds = F.ceil((F.col("__demand") - start).cast("double") / F.col("__supply").cast("double")).cast("int")
     used = placed.withColumn("__start", start).where(F.col("__start") < F.col("__demand"))
@@ -121,6 +131,41 @@ def mix_sources(
     return ordered.select(*[c.alias(name) for name, c in results.items()])
 
 
+def mix_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+    """The rows of ``docs`` in the order of training, once for each epoch; texts are shuffled compressed."""
+    names = docs.columns
+    extra = tuple(c for c in names if c not in (id_col, source_col))
+    spot = f"__x{extra.index(text_col)}"
+
+    def recode(rows: DataFrame, column: str, kind, work) -> DataFrame:
+        at = rows.columns.index(column)
+        fields = [StructField(f.name, kind if f.name == column else f.dataType) for f in rows.schema.fields]
+
+        def run(batch):
+            for part in cut(batch, at, 2 << 20):
+                columns = list(part.columns)
+                columns[at] = work(columns[at].to_pylist())
+                yield columns
+
+        return map_arrow(rows, run, StructType(fields))
+
+    def squeeze(texts):
+        z = zstandard.ZstdCompressor(level=1).compress
+        return pa.array([None if t is None else z(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+
+    def unzip(blobs):
+        z = zstandard.ZstdDecompressor().decompress
+        return pa.array([None if b is None else z(b).decode("utf-8", "surrogatepass") for b in blobs], pa.string())
+
+    # the columns of the result are numbered, as those of ``docs`` may have any name
+    flat = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{source_col}`").alias("s"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(extra)])
+    text = f"c{extra.index(text_col)}"
+    mixed = mix_sources(flat, id_col="i", source_col="s", text_col=text, extra=tuple(f"c{k}" for k in range(len(extra))), pack=lambda rows: recode(rows, spot, BinaryType(), squeeze), **how)
+    full = recode(mixed.drop("n_tokens", "epoch", "position"), text, StringType(), unzip)
+    place = {id_col: "i", source_col: "s"} | {c: f"c{k}" for k, c in enumerate(extra)}
+    return full.select(*[F.col(place[c]).alias(c) for c in names])
+
+
 def mix_oracle(n_docs: str = "(SELECT count(*) FROM documents)", table: str = "documents") -> str:
     """The same placement in DuckDB, for the default schedule and budget."""
     hot = SCHEDULE["src0"]
