@@ -52,10 +52,10 @@ EXCEPTIONS = (
 SAMPLE = 1500
 #: Toxic documents of the sample that must have a learned term, and the least weight of one.
 SUPPORT, LEAST_WEIGHT = 8, 2.0
-#: Lengths of stems.
-STEMS = (5, 6, 7)
+#: Lengths of stems; a stem is left out if one word makes up this share of its documents.
+STEMS, ALONE = (5, 6, 7), 0.8
 PRIOR_WORDS = 40
-THRESHOLD = 0.04
+THRESHOLD = 0.025
 
 #: A letter, and the one that it looks like.
 _LOOKALIKES = {ord(x[0]): x[1] for x in "аa вb гr еe ёe зe іi їi јj кk мm нh оo рp сc тt уy хx ѕs һh ԁd ԛq ԝw ьb αa βb γy εe ηn ιi κk νv οo ρp τt υu χx ωw ɑa ɡg ɩi ıi øo łl đd ßs ℓl ւu օo ցg հh սu".split()}
@@ -183,8 +183,12 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col
     counts = apart.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     odds = F.log((F.col("a") - F.sqrt("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
     kept = counts.where(F.col("a") >= SUPPORT).withColumn("w", F.round(odds, 4)).where(F.col("w") >= LEAST_WEIGHT).collect()
-    words = {r["term"][:-1]: r["w"] for r in kept if r["term"].endswith(" ")}
-    return words, {r["term"]: r["w"] for r in kept if not r["term"].endswith(" ")}
+    words = {r["term"][:-1]: r for r in kept if r["term"].endswith(" ")}
+    # a stem that hardly occurs but in one word says no more than the word
+    support = {r["term"]: r["a"] for r in kept}
+    alone = {w[:k] for w, r in words.items() for k in STEMS if r["a"] >= ALONE * support.get(w[:k], math.inf)}
+    stems = {r["term"]: r["w"] for r in kept if not r["term"].endswith(" ") and r["term"] not in alone}
+    return {w: r["w"] for w, r in words.items()}, stems
 
 
 def fit_lexicon(docs: DataFrame, labels: DataFrame | None, **how) -> Lexicon:
