@@ -40,13 +40,13 @@ from gristmill.session import discard, materialize
 
 MIN_WORDS = 5
 SIMILARITY = 0.9
-FLIPS, RECALL = 0.085, 0.94
+FLIPS, RECALL = 0.105, 0.93
 #: Of the first 128 bits, candidates differ in no more than these.
 NEAR_BITS = 22
 #: Bytes of text for which one line is reckoned when blocks are sized; chance
 #: meetings of a line in a block, to the power of 2; entries of a bucket range;
 #: lines that a task packs at once.
-LINE_BYTES, MEETINGS, RANGE, PACK = 200, 4, 400_000, 200_000
+LINE_BYTES, MEETINGS, RANGE, PACK = 200, 6, 400_000, 200_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
 _LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -57,13 +57,16 @@ def normalise(line: str) -> str:
 
 def block_plan(volume: int) -> tuple[int, int]:
     """Bits of a block, and number of blocks, for a corpus of ``volume`` bytes."""
-    bits = max(14, math.ceil(math.log2(max(2, volume / LINE_BYTES))) - MEETINGS)
+    bits = max(12, math.ceil(math.log2(max(2, volume / LINE_BYTES))) - MEETINGS)
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - FLIPS) ** bits))
 
 
 def simhash(texts: list[bytes], words: int) -> np.ndarray:
-    """SimHashes of ``64 * words`` bits, one row of 64-bit numbers for each folded text."""
-    value, owner = hash_words(texts)
+    """SimHashes of ``64 * words`` bits, one row of 64-bit numbers for each folded text.
+
+    A word counts once, or the frequent ones would make all long lines alike.
+    """
+    value, owner = hash_words([b" ".join(dict.fromkeys(text.split())) for text in texts])
     out = np.zeros((len(texts), words), np.uint64)
     if not len(value):
         return out
