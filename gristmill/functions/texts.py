@@ -42,8 +42,7 @@ def whitespace_tokens(text: Column) -> Column:
 
 def char_tokens(text: Column, window: int = 3) -> Column:
     """Distinct windows side by side, case kept; the last may be shorter."""
-    cuts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text), F.lit(window))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(cuts, lambda i: F.substr(text, i, F.lit(window))))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{window}}}"), F.lit(0)))
 
 
 def token_hash(token: Column) -> Column:
@@ -66,8 +65,11 @@ def fix_text(text: Column) -> Column:
 
 def pii_values(text: Column) -> Column:
     """Array of (kind, value)."""
-    parts = [F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), lambda v, k=k: F.struct(F.lit(k).alias("kind"), v.alias("value"))) for k, p in PII.items()]
-    return F.concat(*parts)
+
+    def tagged(kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    return F.concat(*[tagged(k, p) for k, p in PII.items()])
 
 
 def spans_of(text: Column, pattern: str) -> Column:
@@ -75,7 +77,7 @@ def spans_of(text: Column, pattern: str) -> Column:
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
 
     def step(acc: Column, value: Column) -> Column:
-        found = F.locate_from(value, text, acc["at"]) if hasattr(F, "locate_from") else F.position(value, text, acc["at"])
+        found = F.position(value, text, acc["at"])
         end = found + F.length(value)
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct((found - 1).alias("start"), (end - 1).alias("end")))).alias("out"))
 

@@ -97,10 +97,14 @@ MARKERS = {
 }
 
 
+def marker_count(words: Column, marks: tuple[str, ...]) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(*marks)))
+
+
 def baseline_langid(segment: Column) -> Column:
     """The language with the most marker words, the first of equals; ``und`` without any."""
     words = F.split(F.lower(segment), r"[^\p{L}]+", -1)
-    counts = [F.size(F.filter(words, lambda w, m=m: w.isin(*m))) for m in MARKERS.values()]
+    counts = [marker_count(words, m) for m in MARKERS.values()]
     top = F.greatest(*counts)
     label = F.when(top == 0, "und")
     for name, count in zip(MARKERS, counts):

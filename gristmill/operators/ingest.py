@@ -27,7 +27,7 @@ def merge_sources(meta: DataFrame, text: DataFrame, lang: DataFrame, collection:
 def group_segments(segments: DataFrame, key: str, order: str, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row a key: its segments joined by line ends in order, other columns as arrays."""
     rows = segments.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, text, *carry))).alias("rows"))
-    return rows.select(key, F.array_join(F.transform("rows", lambda r: r[text]), "\n").alias("text"), *[F.transform("rows", lambda r, c=c: r[c]).alias(f"{c}s") for c in carry])
+    return rows.select(key, F.array_join(F.col(f"rows.{text}"), "\n").alias("text"), *[F.col(f"rows.{c}").alias(f"{c}s") for c in carry])
 
 
 def take_external(docs: DataFrame, text: str = "text", own_prefix: str = "own-", id_col: str = "id", excluded_files: str = "literature_contemporary") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType
 
 from gristmill.functions.langs import has_registers
+from gristmill.operators.annotate import marker_count
 
 #: Registers, and words that speak for them in the baseline.
 BASELINE = {"narrative": ("was", "had", "then"), "opinion": ("not", "should", "think"), "informational": ("is", "are", "of"), "howto": ("you", "your", "use")}
@@ -39,6 +40,6 @@ def baseline_registers(docs: DataFrame, text_col: str = "text") -> DataFrame:
     total = F.size(words)
     columns = []
     for name, marks in BASELINE.items():
-        share = F.size(F.filter(words, lambda w, m=marks: w.isin(*m))) / total
+        share = marker_count(words, marks) / total
         columns += [F.lit(name), F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(2.0) - F.lit(40.0) * share)), 3)]
     return docs.withColumn("web_register", F.create_map(*columns))

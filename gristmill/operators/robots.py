@@ -61,7 +61,7 @@ def disallowed_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url") ->
     """
     keys = urls.select(strip_prefix(F.col(url_col)).alias("url")).distinct().withColumn("host", F.regexp_extract("url", r"^([^/]*)", 1))
     named = rules.select(F.col("u").alias("file"), "rule_idx", "allowed", pattern_to_regex(F.col("pattern")).alias("regex"), _host(F.col("pattern")).alias("host"))
-    met = keys.join(named, "host").where(F.col("url").rlike(F.col("regex")))
+    met = keys.join(named, "host").where(F.rlike("url", F.col("regex")))
     last = met.groupBy("url", "file").agg(F.max_by("allowed", "rule_idx").alias("allowed"))
     return last.where(~F.col("allowed")).select("url").distinct()
 

@@ -12,9 +12,10 @@ ROBOTS = (
 )
 #: (robots.txt, rule_idx, pattern, allowed)
 RULES = (
-    ("a", 1, "ththan.example.com/", False), ("a", 2, "ththan.example.com/en/79", True), ("a", 3, "ththan.example.com/*page=2", False),
-    ("b", 1, "tiontion.example.net/*utm_source=feed$", False), ("b", 2, "tiontion.example.net/en/", True), ("b", 3, "tiontion.example.net/en/78", False),
-    ("c", 1, "therhe.example.org/en/84", True), ("c", 2, "therhe.example.org/en/8", False), ("d", 1, "therhe.example.org/en/84", True),
+    ("a", 1, "blog.tionsh.example.net/", False), ("a", 2, "blog.tionsh.example.net/fr/", True), ("a", 3, "blog.tionsh.example.net/*#top$", False),
+    ("b", 1, "thther.example.org/*page=2", False), ("b", 2, "thther.example.org/en/7", True), ("b", 3, "thther.example.org/en/76", False),
+    ("c", 1, "blog.ththan.example.net/fr", True), ("c", 2, "blog.ththan.example.net/*", False), ("d", 1, "m.ththth.example.net/en/25", False),
+    ("e", 1, "ththhe.example.com/*.html$", False), ("f", 1, "ththhe.example.com/", True),
 )
 DOMAINS = (("adult-x.example.net",), ("cheap-pills.example.com",), ("free-bets.example.com",), ("example.org",))
 #: (flores_code, canonical, script)
