@@ -47,8 +47,9 @@ NEAR_BITS = 22
 #: meetings of a line in a block, to the power of 2; entries of a bucket range;
 #: lines that a task packs at once.
 LINE_BYTES, MEETINGS, RANGE, PACK = 200, 6, 400_000, 200_000
+#: Lines that are verified in one task call.
+VERIFY = 20_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
-_LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
 def normalise(line: str) -> str:
@@ -64,37 +65,42 @@ def block_plan(volume: int) -> tuple[int, int]:
 def simhash(texts: list[bytes], words: int) -> np.ndarray:
     """SimHashes of ``64 * words`` bits, one row of 64-bit numbers for each folded text.
 
-    A word counts once, or the frequent ones would make all long lines alike.
+    A text is given as its distinct words, of which there is one at least, or the
+    frequent ones would make all long lines alike.
     """
-    value, owner = hash_words([b" ".join(dict.fromkeys(text.split())) for text in texts])
-    out = np.zeros((len(texts), words), np.uint64)
-    if not len(value):
-        return out
-    lanes = np.empty((len(value), 8 * words), np.uint64)
-    for w in range(words):
-        own = mix(value + np.uint64((w + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        lanes[:, 8 * w : 8 * w + 8] = _LANES[own.view(np.uint8).reshape(-1, 8)]
+    value, owner = hash_words(texts)
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     sizes = np.diff(np.append(starts, len(owner)))
-    turns = (sizes + 254) // 255  # a lane of 8 bits holds 255 words
-    first = np.cumsum(turns) - turns
-    pieces = np.repeat(starts, turns) + 255 * (np.arange(turns.sum()) - np.repeat(first, turns))
-    ones = np.add.reduceat(lanes, pieces, axis=0).view(np.uint8)
-    if (turns > 1).any():
-        ones = np.add.reduceat(ones.astype(np.int32), first, axis=0)
-    bits = 2 * ones.astype(np.int32) > sizes[:, None]
-    out[owner[starts]] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    out = np.empty((len(texts), words), np.uint64)
+    seeds = np.array([(w + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for w in range(words)], np.uint64)
+    step = max(1, 4096 * len(texts) // max(1, len(value)))
+    for at in range(0, len(texts), step):  # a slice at a time stays in the cache
+        size, start = sizes[at : at + step], starts[at : at + step]
+        begin, end = start[0], start[-1] + size[-1]
+        own = mix(value[begin:end, None] + seeds)
+        lanes = np.unpackbits(own.view(np.uint8), bitorder="little").view(np.uint64).reshape(end - begin, 8 * words)
+        if size.max() <= 255:
+            ones = np.add.reduceat(lanes, start - begin, axis=0).view(np.uint8)
+        else:  # a byte holds 255 words
+            turns = (size + 254) // 255
+            first = np.cumsum(turns) - turns
+            pieces = np.repeat(start - begin, turns) + 255 * (np.arange(turns.sum()) - np.repeat(first, turns))
+            ones = np.add.reduceat(np.add.reduceat(lanes, pieces, axis=0).view(np.uint8).astype(np.int32), first, axis=0)
+        out[at : at + step] = np.packbits(ones > (size // 2)[:, None], axis=1, bitorder="little").view(np.uint64)
     return out
 
 
+_LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
+
+
+def words_of(text: str) -> list[tuple[int, list[bytes]]]:
+    """Numbers and normalised words of the lines that are compared."""
+    split = enumerate(map(bytes.split, fold(text).translate(_LINE).split(b"\n")))
+    return [(no, own) for no, own in split if len(own) >= MIN_WORDS]
+
+
 def lines_of(text: str) -> list[tuple[int, bytes]]:
-    """Numbers and normalised bytes of the lines that are compared."""
-    found = []
-    for no, line in enumerate(fold(text).translate(bytes(10 if b == 10 else _SPACE[b] for b in range(256))).split(b"\n")):
-        own = line.split()
-        if len(own) >= MIN_WORDS:
-            found.append((no, b" ".join(own)))
-    return found
+    return [(no, b" ".join(own)) for no, own in words_of(text)]
 
 
 def document_key(text: str) -> bytes:
@@ -160,16 +166,19 @@ def _occurrences(docs: DataFrame, words: int) -> DataFrame:
 
     def work(batch):
         for part in cut(batch, 1, 1 << 20):
-            index, numbers, lines, dkeys = [], [], [], []
+            index, numbers, which, dkeys, kinds, unique = [], [], [], [], {}, []
             for i, text in enumerate(part.column(1).to_pylist()):
-                own = lines_of(text)
-                index += [i] * len(own)
-                numbers += [no for no, _ in own]
-                lines += [line for _, line in own]
-                dkeys += [document_key(text)] * len(own) if own else []
-            kinds = {line: i for i, line in enumerate(dict.fromkeys(lines))}
-            sims, keys = [s.tobytes() for s in simhash(list(kinds), words)], [xxhash.xxh3_128_digest(x) for x in kinds]
-            which = pa.array([kinds[x] for x in lines], pa.int32())
+                lines = words_of(text)
+                for no, own in lines:
+                    line = b" ".join(own)
+                    k = kinds.get(line)
+                    if k is None:
+                        k = kinds[line] = len(unique)
+                        unique.append(b" ".join(dict.fromkeys(own)))
+                    index.append(i), numbers.append(no), which.append(k)
+                dkeys += [document_key(text)] * len(lines) if lines else []
+            sims = [s.tobytes() for s in simhash(unique, words)] if unique else []
+            keys, which = [xxhash.xxh3_128_digest(x) for x in kinds], pa.array(which, pa.int32())
             yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which)]
 
     return map_arrow(docs, work, schema)
@@ -257,24 +266,20 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
     return kinds.select("node", "sim").mapInArrow(spread, schema).groupBy("bucket").applyInArrow(meet, "src long, dst long")
 
 
-def _verify(lines: DataFrame, similarity: float) -> DataFrame:
+def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
     """(node, root) of the kinds of each candidate group that edit similarity connects.
 
     Pairs that are near and not yet connected are tried; before the edit distance
     the surplus of letters, which it can't be below, is held against the bound.
     """
 
-    def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        node, text = np.array(table.column("node")), table.column("line").to_pylist()
-        sim = np.frombuffer(b"".join(table.column("sim").to_pylist()), np.uint64).reshape(len(node), 2)
-        letters = np.zeros((len(node), 64), np.int32)
+    def connect(sim: np.ndarray, text: list[str]) -> np.ndarray:
+        letters = np.zeros((len(text), 64), np.int32)
         for i, line in enumerate(text):
             letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le"), np.uint32) % 64, minlength=64)
         size = np.array(list(map(len, text)))
-        parent = np.arange(len(node))
-
-        for i in range(len(node) - 1):
+        parent = np.arange(len(text))
+        for i in range(len(text) - 1):
             apart = np.bitwise_count(sim[i + 1 :] ^ sim[i]).sum(1)
             near = np.flatnonzero((apart <= NEAR_BITS) & (parent[i + 1 :] != parent[i])) + i + 1
             if not len(near):
@@ -285,9 +290,34 @@ def _verify(lines: DataFrame, similarity: float) -> DataFrame:
                 a, b = parent[i], parent[j]
                 if a != b and similar(text[i], text[j], similarity):  # what is connected needs no proof
                     parent[parent == max(a, b)] = min(a, b)
+        return parent
+
+    def connect_few(sim: list[int], text: list[str]) -> list[int]:
+        parent = list(range(len(text)))
+        for i in range(len(text) - 1):
+            for j in range(i + 1, len(text)):
+                a, b = parent[i], parent[j]
+                if a != b and (sim[i] ^ sim[j]).bit_count() <= NEAR_BITS and similar(text[i], text[j], similarity):
+                    low, high = min(a, b), max(a, b)
+                    parent = [low if x == high else x for x in parent]
+        return parent
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("component", "ascending"), ("node", "ascending")])
+        component, node = np.array(table.column("component")), np.array(table.column("node"))
+        text, sims = table.column("line").to_pylist(), table.column("sim").to_pylist()
+        starts = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1]])).tolist()
+        parent = np.zeros(len(node), np.int64)
+        for a, b in zip(starts, [*starts[1:], len(node)]):
+            if b - a <= 12:
+                own = connect_few([int.from_bytes(x, "little") for x in sims[a:b]], text[a:b])
+            else:
+                own = connect(np.frombuffer(b"".join(sims[a:b]), np.uint64).reshape(b - a, 2), text[a:b])
+            parent[a:b] = np.asarray(own) + a
         return pa.table([pa.array(node), pa.array(node[parent])], ["node", "root"])
 
-    return lines.groupBy("component").applyInArrow(work, "node long, root long")
+    # many groups share a call, as most are of a few lines
+    return lines.withColumn("turn", F.pmod(F.xxhash64("component"), F.lit(calls))).groupBy("turn").applyInArrow(work, "node long, root long")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -375,7 +405,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
 
     texts = map_arrow(base, pack, StructType([base.schema["id"], StructField("z", BinaryType())]))
     lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("sim", BinaryType()), StructField("line", base.schema["text"].dataType)]))
-    roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity), "roots")
+    roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity, math.ceil(members.count() / VERIFY) or 1), "roots")
     discard(members)
     grouped = kinds.select("key", "node", "place", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = grouped.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("total")).where("total > 1")
