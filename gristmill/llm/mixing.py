@@ -73,7 +73,7 @@ def plan_sources(supply: DataFrame, schedule: dict, knots: tuple[int, ...], tota
         width = (knots[k] - knots[k - 1]) / 1000.0
         area = area + F.lit(width) * (F.col(f"__w{k - 1}") + F.col(f"__w{k}")) / F.lit(2.0)
         columns.append(area.alias(f"__d{k}"))
-    return plan.select("*", *columns).withColumn("__demand", F.floor(F.col(f"__d{len(knots) - 1}") * F.col("__budget").cast("double")))
+    return plan.select("*", *columns).withColumn("__demand", F.round(F.col(f"__d{len(knots) - 1}") * F.col("__budget").cast("double")).cast("long"))
 
 
 def mix_sources(
@@ -192,7 +192,7 @@ t AS (SELECT CAST(sum(supply) AS BIGINT) AS budget, {', '.join(f'CAST(sum(supply
 w AS (SELECT s, supply, budget, {', '.join(f'CAST(supply * {weight(k)} AS DOUBLE) / t{k} AS w{k}' for k in range(3))} FROM u, t),
 d AS (SELECT *, CAST(0 AS DOUBLE) AS d0, CAST(0 AS DOUBLE) + CAST({w0} AS DOUBLE) * (w0 + w1) / CAST(2 AS DOUBLE) AS d1 FROM w),
 e AS (SELECT *, d1 + CAST({w1} AS DOUBLE) * (w1 + w2) / CAST(2 AS DOUBLE) AS d2 FROM d),
-f AS (SELECT *, CAST(floor(d2 * CAST(budget AS DOUBLE)) AS BIGINT) AS demand FROM e),
+f AS (SELECT *, CAST(round(d2 * CAST(budget AS DOUBLE)) AS BIGINT) AS demand FROM e),
 g AS (
   SELECT p.doc_id, p.source, p.n, p.start, f.*,
          unnest(range(0, CAST(ceil(CAST(demand - start AS DOUBLE) / CAST(supply AS DOUBLE)) AS BIGINT))) AS epoch
