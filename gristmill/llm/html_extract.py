@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from gristmill.llm.arrow import cut, map_arrow
+from gristmill.llm.sample import key_hash, lowest_hashes
 
 #: Pages that the classifier is trained on, at most.
 TRAIN_PAGES = 1000
@@ -181,8 +182,7 @@ def fit_classifier(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = TRAIN_PAGES) -> np.ndarray:
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html")).where("id is not null and html is not null")
-    hashed = F.md5(F.col("id").cast("string").cast("binary"))
-    chosen = [r["h"] for r in rows.select(hashed.alias("h")).orderBy("h").limit(sample).collect()]
+    chosen = [r["__h"] for r in lowest_hashes(rows.select("id"), "id", sample).collect()]
     if not chosen:
         return DEFAULT_MODEL
     width = len(FEATURES)
@@ -199,7 +199,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
             yield [pa.array(side, pa.int32()), pa.array([r.tobytes() for r in flat], pa.binary())]
 
     # the bound on pages bounds what comes to the driver: a row of features a block, equal ones once
-    seen = map_arrow(rows.where(hashed <= chosen[-1]).select("html"), work, StructType([StructField("y", IntegerType()), StructField("x", BinaryType())]))
+    seen = map_arrow(rows.where(key_hash(F.col("id")) <= chosen[-1]).select("html"), work, StructType([StructField("y", IntegerType()), StructField("x", BinaryType())]))
     counted = seen.groupBy("y", "x").count().collect()
     if len({r["y"] for r in counted}) < 2:
         return DEFAULT_MODEL

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from gristmill.llm.arrow import cut, map_arrow
+from gristmill.llm.sample import lowest_hashes
 from gristmill.llm.words import hash_words, shingles
 
 #: Weights are natural log-odds ratios.
@@ -156,8 +157,7 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col
     """Words and stems with weights, from at most ``sample`` labelled documents of each class."""
     verdicts = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("long").alias("toxic")).where("id is not null and toxic in (0, 1)")
     verdicts = verdicts.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    by_hash = verdicts.withColumn("h", F.md5(F.col("id").cast("string").cast("binary")))
-    chosen = [r for t in (0, 1) for r in by_hash.where(F.col("toxic") == t).orderBy("h", "id").limit(sample).select("id", "toxic").collect()]
+    chosen = [r for t in (0, 1) for r in lowest_hashes(verdicts.where(F.col("toxic") == t), "id", sample).select("id", "toxic").collect()]
     if not any(r["toxic"] for r in chosen) or all(r["toxic"] for r in chosen):
         return {}, {}
     spark = docs.sparkSession
