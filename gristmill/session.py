@@ -28,13 +28,19 @@ def local_session(app: str = "gristmill", cpus: str = "*", partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; set here only where nobody did."""
+    """The folder named by ``spark.checkpoint.dir``; a local session without one gets its own.
+
+    On a cluster a folder of this machine would be of no use to the executors, so
+    there an unset one is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     made = f"file://{tempfile.mkdtemp(prefix='gristmill-')}"
     spark.sparkContext.setCheckpointDir(made)
     spark.conf.set("spark.checkpoint.dir", made)
