@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from gristmill.llm.arrow import cut, map_arrow
+from gristmill.llm.arrow import cut, freeing, map_arrow, release
 from gristmill.llm.words import _SEPARATES, fold, hash_words, mix
 from gristmill.operators.components import connected_components
 from gristmill.session import discard, materialize
@@ -46,7 +46,7 @@ NEAR_BITS = 22
 #: Bytes of text for which one line is reckoned when blocks are sized; chance
 #: meetings of a line in a block, to the power of 2; entries of a bucket range;
 #: lines that a task packs at once.
-LINE_BYTES, MEETINGS, RANGE, PACK = 200, 6, 400_000, 200_000
+LINE_BYTES, MEETINGS, RANGE, PACK = 200, 6, 400_000, 100_000
 #: Lines that are verified in one task call.
 VERIFY = 20_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
@@ -224,6 +224,7 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
                 held = 0
         if held:
             yield flush()
+        release()
 
     def meet(table: pa.Table) -> pa.Table:
         parts = []
@@ -233,6 +234,7 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
         value, node, sim = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(value, kind="stable")
         value, node, sim = value[order], node[order], sim[order]
+        one, two = np.ascontiguousarray(sim[:, 0]), np.ascontiguousarray(sim[:, 1])
         starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
         size = np.diff(np.append(starts, len(value)))
         src, dst = [], []
@@ -240,10 +242,10 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
             first = starts[size == n]
             if n <= 1000:
                 i, j = np.triu_indices(n, 1)
-                step = max(1, 1_000_000 // len(i))
+                step = max(1, 200_000 // len(i))
                 for at in range(0, len(first), step):
                     a, b = first[at : at + step, None] + i, first[at : at + step, None] + j
-                    near = np.bitwise_count(sim[a] ^ sim[b]).sum(2) <= NEAR_BITS
+                    near = np.bitwise_count(one[a] ^ one[b]) + np.bitwise_count(two[a] ^ two[b]) <= NEAR_BITS
                     src.append(a[near]), dst.append(b[near])
                 continue
             for begin in first.tolist():  # each is a seed once, against those that nothing has reached
@@ -263,7 +265,7 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
         index = np.array(_forest(len(node), zip(a.tolist(), b.tolist())), np.int64).reshape(-1, 2)
         return pa.table([pa.array(node[index[:, 0]]), pa.array(node[index[:, 1]])], ["src", "dst"])
 
-    return kinds.select("node", "sim").mapInArrow(spread, schema).groupBy("bucket").applyInArrow(meet, "src long, dst long")
+    return kinds.select("node", "sim").mapInArrow(spread, schema).groupBy("bucket").applyInArrow(freeing(meet), "src long, dst long")
 
 
 def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
@@ -317,7 +319,7 @@ def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
         return pa.table([pa.array(node), pa.array(node[parent])], ["node", "root"])
 
     # many groups share a call, as most are of a few lines
-    return lines.withColumn("turn", F.pmod(F.xxhash64("component"), F.lit(calls))).groupBy("turn").applyInArrow(work, "node long, root long")
+    return lines.withColumn("turn", F.pmod(F.xxhash64("component"), F.lit(calls))).groupBy("turn").applyInArrow(freeing(work), "node long, root long")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
