@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text that are handled at once inside a batch.
 SLICE_BYTES = 4 << 20
+#: Bytes of a group after which memory is handed back.
+LARGE = 1 << 20
 
 
 def cut(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -39,5 +42,27 @@ def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[list]], s
         for batch in batches:
             for columns in work(batch):
                 yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in columns], names)
+        release()
 
     return df.mapInArrow(run, schema)
+
+
+def release() -> None:
+    """Hand freed memory back, as a worker lives on beside the next stages' workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def freeing(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``work`` on groups, with memory handed back after each large one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = work(table)
+        if table.nbytes > LARGE:
+            release()
+        return out
+
+    return run

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from gristmill.llm.arrow import cut, list_array, map_arrow
+from gristmill.llm.arrow import cut, freeing, map_arrow, release
 from gristmill.llm.words import fold, hash_words, shingles
 from gristmill.operators.components import connected_components
 from gristmill.session import discard, materialize
@@ -46,7 +46,7 @@ from gristmill.session import discard, materialize
 N = 5
 THRESHOLD = 0.4
 #: Incidences of a column block, on average; incidences and documents a task packs at once; rows of a tile.
-BLOCK, PACK, PACK_DOCS, TILE = 3_000_000, 2_000_000, 50_000, 256
+BLOCK, PACK, PACK_DOCS, TILE = 1_500_000, 1_500_000, 50_000, 256
 _COLUMNS = 4096
 
 
@@ -137,6 +137,7 @@ def _incidence(docs: DataFrame, n: int, blocks: int) -> DataFrame:
                         yield flush()
         if held:
             yield flush()
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -153,7 +154,8 @@ def _shared_grams(matrix: DataFrame) -> DataFrame:
         if parts:
             gram = np.concatenate([p[1] for p in parts])
             index = np.concatenate([p[2] for p in parts])
-            source = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
+            source = np.repeat(np.array([p[0] for p in parts], np.int32), [len(p[1]) for p in parts])
+            parts = blobs = None
             order = np.argsort(gram)
             gram = gram[order]
             starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
@@ -172,7 +174,7 @@ def _shared_grams(matrix: DataFrame) -> DataFrame:
         keep = pa.array([d is not None or r for d, r in zip(data, table.column("rows").is_valid().to_pylist())])
         return pa.table([table.column("chunk"), pa.array(data, pa.binary()), table.column("ids"), table.column("rows")], ["chunk", "data", "ids", "rows"]).filter(keep)
 
-    return matrix.groupBy("block").applyInArrow(work, schema)
+    return matrix.groupBy("block").applyInArrow(freeing(work), schema)
 
 
 def _rows(shared: DataFrame, threshold: float) -> DataFrame:
@@ -200,7 +202,7 @@ def _rows(shared: DataFrame, threshold: float) -> DataFrame:
         blobs = [gram[e - c : e].tobytes() for e, c in zip(ends.tolist(), count[kept].tolist())]
         return pa.table([ids.take(pa.array(kept)), pa.array([node[i].tobytes() for i in kept], pa.binary()), pa.array(size[kept], pa.int32()), pa.array((count - need + 1)[kept], pa.int32()), pa.array(blobs, pa.binary())], schema.fieldNames())
 
-    return shared.groupBy("chunk").applyInArrow(work, schema)
+    return shared.groupBy("chunk").applyInArrow(freeing(work), schema)
 
 
 def _links(rows: DataFrame, threshold: float, blocks: int) -> DataFrame:
@@ -254,7 +256,7 @@ def _links(rows: DataFrame, threshold: float, blocks: int) -> DataFrame:
         return pa.table([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], ["src", "dst"])
 
     sent = map_arrow(rows.select("node", "size", "prefix", "grams"), pack, packed)
-    return sent.groupBy("block").applyInArrow(link, "src binary, dst binary")
+    return sent.groupBy("block").applyInArrow(freeing(link), "src binary, dst binary")
 
 
 def overlaps(grams: list[np.ndarray], split: int | None = None) -> np.ndarray:
@@ -292,7 +294,7 @@ def _multiply(tiles: DataFrame, threshold: float) -> DataFrame:
         b = b + (split or 0)
         return pa.table([pa.array([node[i] for i in a], pa.binary()), pa.array([node[i] for i in b], pa.binary()), pa.array(over, pa.int64())], ["node_a", "node_b", "overlap"])
 
-    return tiles.groupBy("component", "ta", "tb").applyInArrow(work, "node_a binary, node_b binary, overlap long")
+    return tiles.groupBy("component", "ta", "tb").applyInArrow(freeing(work), "node_a binary, node_b binary, overlap long")
 
 
 def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
