@@ -1,17 +1,22 @@
 """Operator 8: fuzzy line dedup by SimHash blocks and edit similarity.
 
 Lines are normalised (lower case, words parted by single spaces, ASCII
-punctuation gone). Equal normalised lines are one kind. Each kind gets a SimHash
-of its words, cut into blocks; kinds that agree in a whole block and whose
-SimHashes are near are candidates, which are verified by edit similarity.
-Similar kinds form connected groups. Of all lines of a group, the first
-occurrence (lowest document id, then lowest line number) stays.
+punctuation gone). Equal normalised lines are one kind. Candidates are found in
+two ways. Each kind gets a SimHash of its words, cut into blocks; kinds that agree
+in a whole block and whose SimHashes are near are candidates. A few changed words
+turn many bits of a short line, so kinds also meet by keys of what is left of
+their words (see ``keys_of``), held against a bound that edit similarity can't
+pass. Candidates' groups are verified by edit similarity alone. Similar kinds
+form connected groups. Of all lines of a group, the first occurrence (lowest
+document id, then lowest line number) stays.
 
 By the pigeonhole principle every pair that differs in fewer bits than there are
 blocks meets in one of them; farther pairs meet with a probability. The width of
 a block follows the size of the corpus, so that chance meetings per line stay
 constant, and the number of blocks follows the width, so that a pair with a
 share ``FLIPS`` of bits flipped is found with probability ``RECALL`` or more.
+Without chance, keys find pairs that differ in one word (changed, added, missing
+or parted) up to ``ONE_OUT`` words, and in two up to ``TWO_OUT``.
 
 Defined results: lines of fewer than ``MIN_WORDS`` words always stay. Documents
 keep their rows whatever is left of them: a text of which all lines went is
@@ -41,8 +46,14 @@ from gristmill.session import discard, materialize
 MIN_WORDS = 5
 SIMILARITY = 0.9
 FLIPS, RECALL = 0.105, 0.93
-#: Of the first 128 bits, candidates differ in no more than these.
+#: Of the first 128 bits, kinds that meet in a block differ in no more than these.
 NEAR_BITS = 22
+#: Lines up to these words have keys with one and with two words left out; lines
+#: from ``PAIRED`` words have keys of two of five parts, and those of more than
+#: ``ONE_OUT`` words keys of single parts of four words or more, ``PARTS`` at most.
+ONE_OUT, TWO_OUT, PAIRED, PARTS = 25, 12, 10, 12
+#: Buckets of letters in a profile, and keys reckoned for a line.
+LETTERS, KEYS = 8, 25
 #: Bytes of text for which one line is reckoned when blocks are sized; chance
 #: meetings of a line in a block, to the power of 2; entries of a bucket range;
 #: lines that a task packs at once.
@@ -90,6 +101,118 @@ def simhash(texts: list[bytes], words: int) -> np.ndarray:
     return out
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: The bucket of a character by its first byte; other bytes of a character have none.
+_LETTER = np.array([LETTERS if b & 0xC0 == 0x80 else b * 37 % 101 % LETTERS for b in range(256)])
+
+
+def profiles(lines: list[bytes]) -> np.ndarray:
+    """Characters of each line by bucket; a line of which a bucket doesn't fit into a byte has 255 throughout.
+
+    An edit adds one to one bucket at most and takes one from one at most.
+    """
+    sizes = np.array([len(x) for x in lines], np.int64)
+    kind = _LETTER[np.frombuffer(b"".join(lines), np.uint8)]
+    kind += np.repeat(np.arange(len(lines)) * (LETTERS + 1), sizes)
+    count = np.bincount(kind, minlength=len(lines) * (LETTERS + 1)).reshape(len(lines), LETTERS + 1)[:, :LETTERS]
+    count[(count > 254).any(1)] = 255
+    return count.astype(np.uint8)
+
+
+def _spans(size: np.ndarray, parts: int | np.ndarray):
+    """Number, first word, words and owners of parts, half of them counted from the line's end."""
+    parts = np.broadcast_to(parts, size.shape)
+    words = size // parts
+    front = (parts + 1) // 2
+    for i in range(int(parts.max(initial=0))):
+        own = np.flatnonzero(i < front)
+        if len(own):
+            yield i, i * words[own], words[own], own
+        own = np.flatnonzero(i < parts - front)
+        if len(own):
+            yield PARTS + i, size[own] - (i + 1) * words[own], words[own], own
+
+
+def _part_hash(total: np.ndarray, number: int, words: np.ndarray) -> np.ndarray:
+    return mix(total + _STEP * (words.astype(np.uint64) * np.uint64(64) + np.uint64(number))) >> np.uint64(32)
+
+
+def _single_parts(size: np.ndarray) -> np.ndarray:
+    return np.minimum(PARTS, size // 4)
+
+
+def ingredients(lines: list[bytes]) -> list[bytes]:
+    """What the keys of each line are made of: its profile, number of words, and hashes of words or parts."""
+    value, owner = hash_words(lines)
+    value = value >> np.uint64(32)
+    size = np.bincount(owner, minlength=len(lines))
+    starts = np.cumsum(size) - size
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(value))])
+    small = value.astype(np.uint32)
+    long = np.flatnonzero(size > ONE_OUT + 1)
+    parts = np.zeros((len(long), 2 * PARTS), np.uint32)
+    for number, begin, words, own in _spans(size[long], _single_parts(size[long])):
+        at = starts[long[own]] + begin
+        parts[own, number] = _part_hash(total[at + words] - total[at], number, words)
+    count = _single_parts(size[long])
+    front = (count + 1) // 2
+    tails = {}
+    for row, (k, n, f) in enumerate(zip(long.tolist(), count.tolist(), front.tolist())):
+        tails[k] = parts[row, :f].tobytes() + parts[row, PARTS : PARTS + n - f].tobytes()
+    head = np.zeros((len(lines), LETTERS + 4), np.uint8)
+    head[:, :LETTERS] = profiles(lines)
+    head[:, LETTERS:] = size.astype(np.uint32)[:, None].view(np.uint8)
+    blob, bounds = small.tobytes(), (4 * starts).tolist()
+    return [h.tobytes() + (tails[k] if k in tails else blob[b : b + 4 * n]) for k, (h, b, n) in enumerate(zip(head, bounds, size.tolist()))]
+
+
+def keys_of(made: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of lines by their ``ingredients``, and the lines that have them.
+
+    Words count whatever their order. Up to ``TWO_OUT`` words, lines meet if they
+    are equal after up to two words of each are left out, up to ``ONE_OUT`` after
+    one, or two that stand together. From ``PAIRED`` words, lines meet with three words changed, as two of five
+    parts are whole; longer lines if one part is. (Each limit reaches one word
+    further, as a word may be parted.)
+    """
+    found, rows = [], []
+    size = np.array([int.from_bytes(x[LETTERS : LETTERS + 4], "little") for x in made], np.int64)
+    body = [x[LETTERS + 4 :] for x in made]
+
+    def add(key, row, left):
+        key = np.sort(mix(key + np.uint64(int(_STEP) * (left + 1) & (1 << 64) - 1)), axis=1)  # equal words give equal keys
+        new = np.ones(key.shape, bool)
+        new[:, 1:] = key[:, 1:] != key[:, :-1]
+        found.append(key[new]), rows.append(np.broadcast_to(row[:, None], key.shape)[new])
+
+    for n in np.unique(size).tolist():
+        row = np.flatnonzero(size == n)
+        hashes = np.frombuffer(b"".join([body[i] for i in row.tolist()]), np.uint32).reshape(len(row), -1).astype(np.uint64)
+        one = np.full(len(row), n)
+        if n > ONE_OUT + 1:
+            number = np.arange(hashes.shape[1], dtype=np.uint64)
+            front = (hashes.shape[1] + 1) // 2
+            number[front:] += np.uint64(PARTS - front)
+            add(hashes + _STEP * (number << np.uint64(8)), row, 1 << 20)
+            continue
+        word = mix(hashes)
+        whole = word.sum(1, dtype=np.uint64)[:, None]
+        add(whole, row, n)
+        add(whole - word, row, n - 1)
+        i, j = np.triu_indices(n, 1)
+        if n > TWO_OUT + 1:  # neighbours only, as a word may be parted
+            i, j = i[j == i + 1], j[j == i + 1]
+        add(whole - word[:, i] - word[:, j], row, n - 2)
+        if n >= PAIRED:
+            parts = [(number, _part_hash(word[:, begin[0] : begin[0] + words[0]].sum(1, dtype=np.uint64), number, words)) for number, begin, words, _ in _spans(one, 5 if n <= ONE_OUT else _single_parts(one))]
+            if n <= ONE_OUT:
+                pairs = [a * _STEP + b for k, (_, a) in enumerate(parts) for _, b in parts[:k]]
+                add(np.stack(pairs, 1), row, 1 << 21)
+            else:
+                add(np.stack([a for _, a in parts], 1) + _STEP * (np.array([number for number, _ in parts], np.uint64) << np.uint64(8)), row, 1 << 20)
+    return np.concatenate(found), np.concatenate(rows)
+
+
 _LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
 
 
@@ -161,8 +284,8 @@ def _forest(size: int, pairs) -> list[tuple[int, int]]:
 
 
 def _occurrences(docs: DataFrame, words: int) -> DataFrame:
-    """(id, dkey, no, key, sim) of all lines that are compared."""
-    schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType())])
+    """(id, dkey, no, key, sim, made) of all lines that are compared."""
+    schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType()), StructField("made", BinaryType())])
 
     def work(batch):
         for part in cut(batch, 1, 1 << 20):
@@ -178,19 +301,101 @@ def _occurrences(docs: DataFrame, words: int) -> DataFrame:
                     index.append(i), numbers.append(no), which.append(k)
                 dkeys += [document_key(text)] * len(lines) if lines else []
             sims = [s.tobytes() for s in simhash(unique, words)] if unique else []
+            made = ingredients(list(kinds)) if kinds else []
             keys, which = [xxhash.xxh3_128_digest(x) for x in kinds], pa.array(which, pa.int32())
-            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which)]
+            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which), pa.array(made, pa.binary()).take(which)]
 
     return map_arrow(docs, work, schema)
 
 
-def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFrame:
-    """Edges of kinds that agree in a block and are near, as many as connect them.
+def _meetings(kinds: DataFrame, spread, width: int, close) -> DataFrame:
+    """Edges of kinds that agree in a hash and are close, as many as connect them.
 
-    Entries of one block and hash range are packed: 4 bytes of the block's hash,
-    the node, and 128 bits of SimHash for each.
+    ``spread`` packs entries of one hash range: 4 bytes of the hash, the node, and
+    ``width`` bytes for each. ``close`` tells by those bytes, given as the rows of two
+    tables, who is close.
     """
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = []
+        for blob in table.column("data").to_pylist():
+            n = len(blob) // (12 + width)
+            parts.append((np.frombuffer(blob, np.uint32, n), np.frombuffer(blob, np.int64, n, 4 * n), np.frombuffer(blob, np.uint8, width * n, 12 * n).reshape(n, width)))
+        value, node, own = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(value, kind="stable")
+        value = value[order]
+        met = np.zeros(len(value), bool)
+        met[1:] = value[1:] == value[:-1]
+        met[:-1] |= met[1:].copy()
+        order, value = order[met], value[met]
+        node, own = node[order], own[order]
+        starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+        size = np.diff(np.append(starts, len(value)))
+        src, dst = [], []
+        for n in np.unique(size).tolist():  # all buckets of one size at once
+            first = starts[size == n]
+            if n <= 1000:
+                i, j = np.triu_indices(n, 1)
+                step = max(1, 200_000 // len(i))
+                for at in range(0, len(first), step):
+                    a, b = (first[at : at + step, None] + i).ravel(), (first[at : at + step, None] + j).ravel()
+                    near = close(own[a], own[b])
+                    src.append(a[near]), dst.append(b[near])
+                continue
+            for begin in first.tolist():  # each is a seed once, against those that nothing has reached
+                unseen, turn = np.arange(begin, begin + n), []
+                while len(unseen):
+                    if turn:
+                        seed = turn.pop()
+                    else:
+                        seed, unseen = unseen[0], unseen[1:]
+                    near = close(own[unseen], own[seed : seed + 1])
+                    hit, unseen = unseen[near], unseen[~near]
+                    src.append(np.full(len(hit), seed)), dst.append(hit)
+                    turn += hit.tolist()
+        if not src:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64())], ["src", "dst"])
+        a, b = np.concatenate(src), np.concatenate(dst)
+        index = np.array(_forest(len(node), zip(a.tolist(), b.tolist())), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(node[index[:, 0]]), pa.array(node[index[:, 1]])], ["src", "dst"])
+
     schema = StructType([StructField("bucket", IntegerType()), StructField("data", BinaryType())])
+    return kinds.mapInArrow(spread, schema).groupBy("bucket").applyInArrow(freeing(meet), "src long, dst long")
+
+
+def _key_candidates(kinds: DataFrame, similarity: float, ranges: int) -> DataFrame:
+    """Edges of kinds that share a key and whose letters don't rule edit similarity out."""
+
+    def spread(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PACK // 4):
+                part = batch.slice(at, PACK // 4)
+                node, made = np.array(part.column(0)), part.column(1).to_pylist()
+                own = np.frombuffer(b"".join([x[:LETTERS] for x in made]), np.uint8).reshape(-1, LETTERS)
+                value, row = keys_of(made)
+                bucket = (value % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(ranges + 1))
+                buckets, blobs = [], []
+                for r in np.flatnonzero(np.diff(ends)).tolist():
+                    which = order[ends[r] : ends[r + 1]]
+                    buckets.append(r)
+                    blobs.append((value[which] >> np.uint64(32)).astype(np.uint32).tobytes() + node[row[which]].tobytes() + own[row[which]].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "data"])
+        release()
+
+    def close(a, b):
+        a, b = a.astype(np.int16), b.astype(np.int16)
+        gap = a - b
+        more, less = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
+        longest = np.maximum(a.sum(1), b.sum(1))
+        return (np.maximum(more, less) <= np.floor(longest * (1 - similarity) + 1e-9)) | (a[:, 0] == 255) | (b[:, 0] == 255)
+
+    return _meetings(kinds.select("node", "made"), spread, LETTERS, close)
+
+
+def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFrame:
+    """Edges of kinds that agree in a block and are near; 128 bits of SimHash are held against each other."""
 
     def spread(batches):
         nodes, sims, held = [], [], 0
@@ -226,64 +431,30 @@ def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFr
             yield flush()
         release()
 
-    def meet(table: pa.Table) -> pa.Table:
-        parts = []
-        for blob in table.column("data").to_pylist():
-            n = len(blob) // 28
-            parts.append((np.frombuffer(blob, np.uint32, n), np.frombuffer(blob, np.int64, n, 4 * n), np.frombuffer(blob, np.uint64, 2 * n, 12 * n).reshape(n, 2)))
-        value, node, sim = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(value, kind="stable")
-        value, node, sim = value[order], node[order], sim[order]
-        one, two = np.ascontiguousarray(sim[:, 0]), np.ascontiguousarray(sim[:, 1])
-        starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-        size = np.diff(np.append(starts, len(value)))
-        src, dst = [], []
-        for n in np.unique(size[size > 1]).tolist():  # all buckets of one size at once
-            first = starts[size == n]
-            if n <= 1000:
-                i, j = np.triu_indices(n, 1)
-                step = max(1, 200_000 // len(i))
-                for at in range(0, len(first), step):
-                    a, b = first[at : at + step, None] + i, first[at : at + step, None] + j
-                    near = np.bitwise_count(one[a] ^ one[b]) + np.bitwise_count(two[a] ^ two[b]) <= NEAR_BITS
-                    src.append(a[near]), dst.append(b[near])
-                continue
-            for begin in first.tolist():  # each is a seed once, against those that nothing has reached
-                unseen, turn = np.arange(begin, begin + n), []
-                while len(unseen):
-                    if turn:
-                        seed = turn.pop()
-                    else:
-                        seed, unseen = unseen[0], unseen[1:]
-                    near = np.bitwise_count(sim[unseen] ^ sim[seed]).sum(1) <= NEAR_BITS
-                    hit, unseen = unseen[near], unseen[~near]
-                    src.append(np.full(len(hit), seed)), dst.append(hit)
-                    turn += hit.tolist()
-        if not src:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64())], ["src", "dst"])
-        a, b = np.concatenate(src), np.concatenate(dst)
-        index = np.array(_forest(len(node), zip(a.tolist(), b.tolist())), np.int64).reshape(-1, 2)
-        return pa.table([pa.array(node[index[:, 0]]), pa.array(node[index[:, 1]])], ["src", "dst"])
+    def close(a, b):
+        a, b = a.view(np.uint64), b.view(np.uint64)
+        return np.bitwise_count(a[:, 0] ^ b[:, 0]) + np.bitwise_count(a[:, 1] ^ b[:, 1]) <= NEAR_BITS
 
-    return kinds.select("node", "sim").mapInArrow(spread, schema).groupBy("bucket").applyInArrow(freeing(meet), "src long, dst long")
+    return _meetings(kinds.select("node", "sim"), spread, 16, close)
 
 
 def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
     """(node, root) of the kinds of each candidate group that edit similarity connects.
 
-    Pairs that are near and not yet connected are tried; before the edit distance
-    the surplus of letters, which it can't be below, is held against the bound.
+    Pairs that are not yet connected are tried; before the edit distance the
+    difference in length and the surplus of letters, which it can't be below, are
+    held against the bound.
     """
 
-    def connect(sim: np.ndarray, text: list[str]) -> np.ndarray:
+    def connect(text: list[str]) -> np.ndarray:
         letters = np.zeros((len(text), 64), np.int32)
         for i, line in enumerate(text):
             letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le"), np.uint32) % 64, minlength=64)
         size = np.array(list(map(len, text)))
         parent = np.arange(len(text))
         for i in range(len(text) - 1):
-            apart = np.bitwise_count(sim[i + 1 :] ^ sim[i]).sum(1)
-            near = np.flatnonzero((apart <= NEAR_BITS) & (parent[i + 1 :] != parent[i])) + i + 1
+            bound = np.maximum(size[i + 1 :], size[i]) * (1 - similarity) + 1e-9
+            near = np.flatnonzero((np.abs(size[i + 1 :] - size[i]) <= bound) & (parent[i + 1 :] != parent[i])) + i + 1
             if not len(near):
                 continue
             gap = letters[near] - letters[i]
@@ -294,12 +465,12 @@ def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
                     parent[parent == max(a, b)] = min(a, b)
         return parent
 
-    def connect_few(sim: list[int], text: list[str]) -> list[int]:
+    def connect_few(text: list[str]) -> list[int]:
         parent = list(range(len(text)))
         for i in range(len(text) - 1):
             for j in range(i + 1, len(text)):
                 a, b = parent[i], parent[j]
-                if a != b and (sim[i] ^ sim[j]).bit_count() <= NEAR_BITS and similar(text[i], text[j], similarity):
+                if a != b and similar(text[i], text[j], similarity):
                     low, high = min(a, b), max(a, b)
                     parent = [low if x == high else x for x in parent]
         return parent
@@ -307,14 +478,14 @@ def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
     def work(table: pa.Table) -> pa.Table:
         table = table.sort_by([("component", "ascending"), ("node", "ascending")])
         component, node = np.array(table.column("component")), np.array(table.column("node"))
-        text, sims = table.column("line").to_pylist(), table.column("sim").to_pylist()
+        text = table.column("line").to_pylist()
         starts = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1]])).tolist()
         parent = np.zeros(len(node), np.int64)
         for a, b in zip(starts, [*starts[1:], len(node)]):
             if b - a <= 12:
-                own = connect_few([int.from_bytes(x, "little") for x in sims[a:b]], text[a:b])
+                own = connect_few(text[a:b])
             else:
-                own = connect(np.frombuffer(b"".join(sims[a:b]), np.uint64).reshape(b - a, 2), text[a:b])
+                own = connect(text[a:b])
             parent[a:b] = np.asarray(own) + a
         return pa.table([pa.array(node), pa.array(node[parent])], ["node", "root"])
 
@@ -378,13 +549,15 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     found = materialize(_occurrences(base, words), "lines")
     place = F.struct("id", "dkey", "no")
     kinds = materialize(
-        found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"))
+        found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("made").alias("made"))
         .withColumn("node", F.xxhash64("key")), "kinds",
     )
-    edges = _candidates(kinds, bits, blocks, ranges)
-    parts = connected_components(edges)
-    members = materialize(kinds.join(parts, "node").select("node", "component", "place", F.substring("sim", 1, 16).alias("sim")), "members")
-    wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", "component", "sim", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
+    edges = materialize(_candidates(kinds, bits, blocks, ranges), "edges")  # one after the other, for the disk's sake
+    more = materialize(_key_candidates(kinds, similarity, max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))), "edges")
+    parts = connected_components(edges.unionByName(more))
+    discard(edges), discard(more)
+    members = materialize(kinds.join(parts, "node").select("node", "component", "place"), "members")
+    wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", "component", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
 
     def pack(batch):
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -401,12 +574,12 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
                 for wish in wishes:
                     if wish["dkey"] == key:
                         own = own or dict(lines_of(text))
-                        out.append((wish["component"], wish["node"], wish["sim"], own[wish["no"]].decode("utf-8", "replace")))
-            columns = list(zip(*out)) or [()] * 4
-            yield [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.string())]
+                        out.append((wish["component"], wish["node"], own[wish["no"]].decode("utf-8", "replace")))
+            columns = list(zip(*out)) or [()] * 3
+            yield [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())]
 
     texts = map_arrow(base, pack, StructType([base.schema["id"], StructField("z", BinaryType())]))
-    lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("sim", BinaryType()), StructField("line", base.schema["text"].dataType)]))
+    lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
     roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity, math.ceil(members.count() / VERIFY) or 1), "roots")
     discard(members)
     grouped = kinds.select("key", "node", "place", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -254,6 +254,43 @@ def test_line_dedup_against_brute_force(documents):
     assert len(got & want) >= 0.95 * len(want) > 0 and len(got - want) <= 0.02 * len(want)
 
 
+def fuzzy_pairs(rng, words, changes, how):
+    """Pairs of lines with an edit similarity of 0.9 or more: words with a letter changed, or one word more or less."""
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 10))) for _ in range(5000)]
+    while True:
+        a = [rng.choice(vocabulary) for _ in range(words)]
+        b = list(a)
+        if how == "letters":
+            for k in rng.sample(range(words), changes):
+                at = rng.randrange(len(b[k]))
+                b[k] = b[k][:at] + rng.choice("0123456789") + b[k][at + 1 :]
+        elif how == "word":
+            b[rng.randrange(words)] = "".join(rng.choice("0123456789") for _ in range(3))
+        elif how == "more":
+            b.insert(rng.randrange(words + 1), "x1")
+        else:  # a space gone
+            k = rng.randrange(words - 1)
+            b[k : k + 2] = [b[k] + b[k + 1]]
+        if line_dedup.similar(" ".join(a), " ".join(b), 0.9):
+            yield " ".join(a), " ".join(b)
+
+
+def test_line_dedup_finds_fuzzy_pairs_of_any_length(spark):
+    rng = random.Random(3)
+    rows, kinds = [], {}
+    ways = [(w, c, "letters") for w, c in ((5, 1), (5, 2), (6, 2), (7, 2), (9, 2), (12, 2), (10, 3), (14, 3), (20, 3), (25, 3), (28, 5), (40, 6), (60, 9))]
+    ways += [(w, 1, how) for how in ("word", "more", "space") for w in (6, 8, 12, 13, 18, 25)]
+    for way in ways:
+        for a, b in itertools.islice(fuzzy_pairs(rng, *way), 40):
+            kinds[len(rows) + 1] = way
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r["id"] for r in line_dedup.removed_lines(docs).collect()}
+    assert gone <= set(kinds)
+    found = Counter(kinds[i] for i in gone)
+    assert {way: found[way] for way in ways if found[way] < 38} == {}
+
+
 def test_line_dedup_of_fuzzy_lines(spark):
     base = "the quick brown fox jumps over the lazy dog while many other animals are looking at it from afar and wonder"
     rows = [(1, base + "\nshort line"), (2, "something else entirely stands here in this line\n" + base.replace("lazy", "lazyy").upper()), (3, "short line\n" + base + "!"), (4, base.replace("dog", "cow"))]
