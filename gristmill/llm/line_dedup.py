@@ -18,7 +18,10 @@ share ``FLIPS`` of bits flipped is found with probability ``RECALL`` or more.
 Without chance, keys find pairs that differ in one word (changed, added, missing
 or parted) up to ``ONE_OUT`` words, and in two up to ``TWO_OUT``.
 
-Defined results: lines of fewer than ``MIN_WORDS`` words always stay. Documents
+Defined results: lines of fewer than ``MIN_WORDS`` words are compared for equality
+alone, and those of them of at most ``MIN_CHARS`` characters go only if there are
+more than two, as two may meet by chance; a character of a script without spaces
+counts as a word. Lines without words stay. Documents
 keep their rows whatever is left of them: a text of which all lines went is
 empty. A null or empty text stays as it is, and so does a row without an id.
 Rows that share an id are told apart by their text; repeated rows (same id and
@@ -29,6 +32,7 @@ untouched, clashing names included. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +40,16 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from gristmill.llm.arrow import cut, freeing, map_arrow, release
 from gristmill.llm.words import _SEPARATES, fold, hash_words, mix
 from gristmill.operators.components import connected_components
 from gristmill.session import discard, materialize
 
-MIN_WORDS = 5
+#: Lines with fewer words are held against equal lines only; of those up to these
+#: characters, two stay.
+MIN_WORDS, MIN_CHARS = 5, 10
 SIMILARITY = 0.9
 FLIPS, RECALL = 0.105, 0.93
 #: Of the first 128 bits, kinds that meet in a block differ in no more than these.
@@ -141,8 +147,8 @@ def _single_parts(size: np.ndarray) -> np.ndarray:
     return np.minimum(PARTS, size // 4)
 
 
-def ingredients(lines: list[bytes]) -> list[bytes]:
-    """What the keys of each line are made of: its profile, number of words, and hashes of words or parts."""
+def ingredients(lines: list[bytes], spelt: list[bytes]) -> list[bytes]:
+    """What the keys of each line are made of: the profile of how it is spelt, number of words, and hashes of words or parts."""
     value, owner = hash_words(lines)
     value = value >> np.uint64(32)
     size = np.bincount(owner, minlength=len(lines))
@@ -160,7 +166,7 @@ def ingredients(lines: list[bytes]) -> list[bytes]:
     for row, (k, n, f) in enumerate(zip(long.tolist(), count.tolist(), front.tolist())):
         tails[k] = parts[row, :f].tobytes() + parts[row, PARTS : PARTS + n - f].tobytes()
     head = np.zeros((len(lines), LETTERS + 4), np.uint8)
-    head[:, :LETTERS] = profiles(lines)
+    head[:, :LETTERS] = profiles(spelt)
     head[:, LETTERS:] = size.astype(np.uint32)[:, None].view(np.uint8)
     blob, bounds = small.tobytes(), (4 * starts).tolist()
     return [h.tobytes() + (tails[k] if k in tails else blob[b : b + 4 * n]) for k, (h, b, n) in enumerate(zip(head, bounds, size.tolist()))]
@@ -216,14 +222,26 @@ def keys_of(made: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 _LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
 
 
-def words_of(text: str) -> list[tuple[int, list[bytes]]]:
-    """Numbers and normalised words of the lines that are compared."""
-    split = enumerate(map(bytes.split, fold(text).translate(_LINE).split(b"\n")))
-    return [(no, own) for no, own in split if len(own) >= MIN_WORDS]
+#: Thai, Lao, Burmese, Khmer, kana, Chinese and Yi characters.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
+def features(line: bytes) -> list[bytes]:
+    """Words of a normalised line, where each character of a script without spaces is one."""
+    if not line.isascii():
+        text = line.decode("utf-8", "surrogatepass")
+        if _UNSPACED.search(text):
+            return _UNSPACED.sub(r" \1 ", text).encode("utf-8", "surrogatepass").split()
+    return line.split()
 
 
 def lines_of(text: str) -> list[tuple[int, bytes]]:
-    return [(no, b" ".join(own)) for no, own in words_of(text)]
+    """Numbers and normalised lines that are compared."""
+    out = []
+    for no, own in enumerate(map(bytes.split, fold(text).translate(_LINE).split(b"\n"))):
+        if own:
+            out.append((no, b" ".join(own)))
+    return out
 
 
 def document_key(text: str) -> bytes:
@@ -284,26 +302,29 @@ def _forest(size: int, pairs) -> list[tuple[int, int]]:
 
 
 def _occurrences(docs: DataFrame, words: int) -> DataFrame:
-    """(id, dkey, no, key, sim, made) of all lines that are compared."""
-    schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType()), StructField("made", BinaryType())])
+    """(id, dkey, no, key, sim, made, tiny) of all lines that are compared."""
+    schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType()), StructField("made", BinaryType()), StructField("tiny", BooleanType())])
 
     def work(batch):
         for part in cut(batch, 1, 1 << 20):
-            index, numbers, which, dkeys, kinds, unique = [], [], [], [], {}, []
+            index, numbers, which, dkeys, kinds, tiny, fuzzy, unique, whole, spelt = [], [], [], [], {}, [], [], [], [], []
             for i, text in enumerate(part.column(1).to_pylist()):
-                lines = words_of(text)
-                for no, own in lines:
-                    line = b" ".join(own)
+                lines = lines_of(text)
+                for no, line in lines:
                     k = kinds.get(line)
                     if k is None:
-                        k = kinds[line] = len(unique)
-                        unique.append(b" ".join(dict.fromkeys(own)))
+                        k = kinds[line] = len(kinds)
+                        own = features(line)
+                        if len(own) >= MIN_WORDS:
+                            fuzzy.append(k), unique.append(b" ".join(dict.fromkeys(own))), whole.append(b" ".join(own)), spelt.append(line)
+                        tiny.append(len(own) < MIN_WORDS and len(line.decode("utf-8", "surrogatepass")) <= MIN_CHARS)
                     index.append(i), numbers.append(no), which.append(k)
                 dkeys += [document_key(text)] * len(lines) if lines else []
-            sims = [s.tobytes() for s in simhash(unique, words)] if unique else []
-            made = ingredients(list(kinds)) if kinds else []
+            sims, made = [None] * len(kinds), [None] * len(kinds)
+            for k, sim, own in zip(fuzzy, simhash(unique, words) if unique else [], ingredients(whole, spelt) if whole else []):
+                sims[k], made[k] = sim.tobytes(), own
             keys, which = [xxhash.xxh3_128_digest(x) for x in kinds], pa.array(which, pa.int32())
-            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which), pa.array(made, pa.binary()).take(which)]
+            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which), pa.array(made, pa.binary()).take(which), pa.array(tiny, pa.bool_()).take(which)]
 
     return map_arrow(docs, work, schema)
 
@@ -549,11 +570,14 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     found = materialize(_occurrences(base, words), "lines")
     place = F.struct("id", "dkey", "no")
     kinds = materialize(
-        found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("made").alias("made"))
+        found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("made").alias("made"), F.first("tiny").alias("tiny"))
         .withColumn("node", F.xxhash64("key")), "kinds",
     )
-    edges = materialize(_candidates(kinds, bits, blocks, ranges), "edges")  # one after the other, for the disk's sake
-    more = materialize(_key_candidates(kinds, similarity, max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))), "edges")
+    fat, found = found, materialize(found.select("id", "dkey", "no", "key"), "lines")  # the rest is in the kinds
+    discard(fat)
+    fuzzy = kinds.where("sim is not null")
+    edges = materialize(_candidates(fuzzy, bits, blocks, ranges), "edges")  # one after the other, for the disk's sake
+    more = materialize(_key_candidates(fuzzy, similarity, max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))), "edges")
     parts = connected_components(edges.unionByName(more))
     discard(edges), discard(more)
     members = materialize(kinds.join(parts, "node").select("node", "component", "place"), "members")
@@ -582,8 +606,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
     roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity, math.ceil(members.count() / VERIFY) or 1), "roots")
     discard(members)
-    grouped = kinds.select("key", "node", "place", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = grouped.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("total")).where("total > 1")
+    grouped = kinds.select("key", "node", "place", "n", "tiny").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = grouped.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("total"), F.bool_or("tiny").alias("tiny")).where("total > if(tiny, 2, 1)")
     verdicts = grouped.join(groups, "root").select("key", "keep")
     gone = found.select("id", "dkey", "no", "key").join(verdicts, "key").where(~(F.struct("id", "dkey", "no") == F.col("keep")))
     out = materialize(gone.select("id", "dkey", "no").distinct(), "gone")

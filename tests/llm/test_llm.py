@@ -299,6 +299,13 @@ def test_line_dedup_of_fuzzy_lines(spark):
     assert got == {1: rows[0][1], 2: "something else entirely stands here in this line", 3: "short line", 4: ""}
 
 
+def test_line_dedup_of_lines_of_few_words(spark):
+    cjk = "这是一个没有空格的很长的句子我们用它来测试去重"
+    rows = [(1, "Les.\nCookies and privacy\n" + cjk), (2, "les\n\ncookies and privacy!\n---"), (3, "Les.\nother\n" + cjk.replace("测试", "检试") + "\n---"), (4, "Les.\nOther things stand here")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\n---", 3: "other\n---", 4: "Other things stand here"}
+
+
 def test_line_dedup_of_messy_rows(messy, nothing):
     got = line_dedup.dedup_lines(messy)
     assert got.columns == messy.columns
