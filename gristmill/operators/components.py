@@ -1,12 +1,17 @@
-"""Connected components by alternating large-star and small-star rounds."""
+"""Connected components: one task for few edges, alternating large-star and small-star rounds for many."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from gristmill.session import discard, materialize
 
+#: Edges up to which a single task finds the components (some 100 MB); the result is the same either way.
+FEW_EDGES = 1_000_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star round over (u, v): every neighbour is hung on the smallest node around u."""
@@ -24,13 +29,32 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def _solve(table: pa.Table) -> pa.Table:
+    """Components of all edges of a table."""
+    parent: dict = {}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for u, v in zip(table.column("u").to_pylist(), table.column("v").to_pylist()):
+        parent.setdefault(u, u), parent.setdefault(v, v)
+        u, v = root(u), root(v)
+        if u != v:
+            parent[max(u, v)] = min(u, v)
+    kind = table.schema.field("u").type
+    return pa.table([pa.array(list(parent), kind), pa.array([root(x) for x in parent], kind)], ["node", "component"])
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, few: int = FEW_EDGES) -> DataFrame:
     """``(node, component)`` for every node of an undirected edge list.
 
     The component is the smallest node in it. Null ends and self loops are
     ignored, repeated edges count once, an empty list gives an empty frame, and
-    other columns of ``edges`` are not looked at. Each round is written to the
-    shared folder, so a lost executor costs a task and not the history.
+    other columns of ``edges`` are not looked at. Up to ``few`` edges are solved in
+    one task; beyond, each round is written to the shared folder, so a lost
+    executor costs a task and not the history.
     """
     now = materialize(
         edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
@@ -39,6 +63,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         .distinct(),
         "edges",
     )
+    if now.count() <= few:
+        kind = now.schema["u"].dataType
+        return now.groupBy(F.lit(0).alias("all")).applyInArrow(_solve, StructType([StructField("node", kind), StructField("component", kind)]))
     mark = None
     for _ in range(max_rounds):
         seen = now.agg(
