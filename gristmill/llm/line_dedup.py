@@ -1,32 +1,40 @@
 """Operator 8: fuzzy line dedup by SimHash blocks and edit similarity.
 
 Lines are normalised (lower case, words parted by single spaces, ASCII
-punctuation gone). Equal normalised lines are one kind. Candidates are found in
-two ways. Each kind gets a SimHash of its words, cut into blocks; kinds that agree
-in a whole block and whose SimHashes are near are candidates. A few changed words
-turn many bits of a short line, so kinds also meet by keys of what is left of
-their words (see ``keys_of``), held against a bound that edit similarity can't
-pass. Candidates' groups are verified by edit similarity alone. Similar kinds
-form connected groups. Of all lines of a group, the first occurrence (lowest
-document id, then lowest line number) stays.
-
-By the pigeonhole principle every pair that differs in fewer bits than there are
-blocks meets in one of them; farther pairs meet with a probability. The width of
-a block follows the size of the corpus, so that chance meetings per line stay
-constant, and the number of blocks follows the width, so that a pair with a
-share ``FLIPS`` of bits flipped is found with probability ``RECALL`` or more.
-Without chance, keys find pairs that differ in one word (changed, added, missing
-or parted) up to ``ONE_OUT`` words, and in two up to ``TWO_OUT``.
+punctuation gone). Equal normalised lines are one kind, whatever their length.
+Kinds of ``MIN_WORDS`` words or more meet in buckets of two sorts:
+
+- SimHash: the 128 bits of a kind's SimHash are cut into ``BLOCKS`` blocks; kinds
+  that agree in a whole block meet. By the pigeonhole principle all pairs that
+  differ in fewer bits than there are blocks do so.
+- A few changed words turn many bits of a line, so kinds also meet by what is
+  left whole of their words (see ``line_keys``); this is the pigeonhole
+  principle again, with words in the place of bits.
+
+Neither depends on what else is in the table or on its size. In a bucket,
+pairs are held against a bound that edit similarity can't pass (the difference
+of the numbers of letters); what is left is verified by edit similarity. Similar
+kinds form connected groups. Of all lines of a group, the first occurrence
+(lowest document id, then lowest line number) stays.
+
+Without chance, kinds meet that differ in one word (changed, added, missing or
+parted) up to ``ONE_OUT`` words, and in two up to ``TWO_OUT``; that differ in three words
+in their places up to ``ONE_OUT``; and longer ones if one part of six to twelve of the line is
+whole. Other pairs meet with a probability (README has figures).
+
+A bucket of more than ``WIDE`` kinds of which many are close is not paired but
+verified as a crowd: its kinds are sorted by length and cut into tiles, tiles that
+lengths allow meet in one task each, and what is connected already isn't
+compared again. No bucket, group or crowd is cut short.
 
 Defined results: lines of fewer than ``MIN_WORDS`` words are compared for equality
-alone, and those of them of at most ``MIN_CHARS`` characters go only if there are
-more than two, as two may meet by chance; a character of a script without spaces
-counts as a word. Lines without words stay. Documents
+alone; a character of a script without spaces counts as a word, and blanks
+between two such characters don't count. Lines without words stay. Documents
 keep their rows whatever is left of them: a text of which all lines went is
 empty. A null or empty text stays as it is, and so does a row without an id.
 Rows that share an id are told apart by their text; repeated rows (same id and
-text) count as one document and keep the same lines. All other columns are
-untouched, clashing names included. An empty table gives an empty result.
+text) are one document and all get the same result. Other columns are kept as
+they are, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,214 +46,263 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from gristmill.llm.arrow import cut, freeing, map_arrow, release
-from gristmill.llm.words import _SEPARATES, fold, hash_words, mix
+from gristmill.llm.words import _SEPARATES, fold, mix
 from gristmill.operators.components import connected_components
 from gristmill.session import discard, materialize
 
-#: Lines with fewer words are held against equal lines only; of those up to these
-#: characters, two stay.
-MIN_WORDS, MIN_CHARS = 5, 10
+#: Lines with fewer words are held against equal lines only.
+MIN_WORDS = 5
 SIMILARITY = 0.9
-FLIPS, RECALL = 0.105, 0.93
-#: Of the first 128 bits, kinds that meet in a block differ in no more than these.
-NEAR_BITS = 22
-#: Lines up to these words have keys with one and with two words left out; lines
-#: from ``PAIRED`` words have keys of two of five parts, and those of more than
-#: ``ONE_OUT`` words keys of single parts of four words or more, ``PARTS`` at most.
-ONE_OUT, TWO_OUT, PAIRED, PARTS = 25, 12, 10, 12
-#: Buckets of letters in a profile, and keys reckoned for a line.
-LETTERS, KEYS = 8, 25
-#: Bytes of text for which one line is reckoned when blocks are sized; chance
-#: meetings of a line in a block, to the power of 2; entries of a bucket range;
-#: lines that a task packs at once.
-LINE_BYTES, MEETINGS, RANGE, PACK = 200, 6, 400_000, 100_000
-#: Lines that are verified in one task call.
-VERIFY = 20_000
+#: Blocks of 32 bits of a SimHash.
+BLOCKS = 4
+#: Lines up to ``TWO_OUT`` words (and one more) have keys with one and with any two words left out; from
+#: ``PAIRED`` up to ``ONE_OUT`` words keys of two of five parts; longer ones keys of single parts of
+#: ``PART_WORDS`` words or more, ``PARTS`` at most, and of ``SAMPLED`` runs of ``RUN`` words, chosen by hash.
+TWO_OUT, PAIRED, ONE_OUT, PARTS, SAMPLED, RUN = 12, 10, 25, 12, 4, 5
+PART_WORDS = np.array([4] + [int(6 * 1.5**i) for i in range(40)], np.int64)
+#: Buckets of letters in a profile.
+LETTERS = 12
+#: Kinds of a bucket up to which all close ones are paired, and pairs a kind of larger ones up to which they still are.
+WIDE, SPARSE = 64, 32
+#: Kinds of a larger bucket up to which its pairs are looked at, and kinds of a tile.
+PROBED, TILE = 2048, 512
+#: Pairs of a group up to which a task verifies it as a whole, and pairs of a call, on average.
+GROUP, CALL = 200_000, 20_000
+#: Bytes of text for which one line is reckoned, keys reckoned for a line, and entries of a bucket range.
+LINE_BYTES, KEYS, RANGE = 200, 25, 400_000
+#: Bytes of text that are parsed at once, and entries that a task packs at once.
+SLICE, PACK = 2 << 20, 2_000_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
+_LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Thai, Lao, Burmese, Khmer, kana, Chinese and Yi characters.
+_UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿ꀀ-꓏豈-﫿\U00020000-\U0003ffff])")
 
 
 def normalise(line: str) -> str:
     return b" ".join(fold(line).translate(_SPACE).split()).decode("utf-8", "surrogatepass")
 
 
-def block_plan(volume: int) -> tuple[int, int]:
-    """Bits of a block, and number of blocks, for a corpus of ``volume`` bytes."""
-    bits = max(12, math.ceil(math.log2(max(2, volume / LINE_BYTES))) - MEETINGS)
-    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - FLIPS) ** bits))
-
-
-def simhash(texts: list[bytes], words: int) -> np.ndarray:
-    """SimHashes of ``64 * words`` bits, one row of 64-bit numbers for each folded text.
-
-    A text is given as its distinct words, of which there is one at least, or the
-    frequent ones would make all long lines alike.
-    """
-    value, owner = hash_words(texts)
-    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    sizes = np.diff(np.append(starts, len(owner)))
-    out = np.empty((len(texts), words), np.uint64)
-    seeds = np.array([(w + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for w in range(words)], np.uint64)
-    step = max(1, 4096 * len(texts) // max(1, len(value)))
-    for at in range(0, len(texts), step):  # a slice at a time stays in the cache
-        size, start = sizes[at : at + step], starts[at : at + step]
-        begin, end = start[0], start[-1] + size[-1]
-        own = mix(value[begin:end, None] + seeds)
-        lanes = np.unpackbits(own.view(np.uint8), bitorder="little").view(np.uint64).reshape(end - begin, 8 * words)
-        if size.max() <= 255:
-            ones = np.add.reduceat(lanes, start - begin, axis=0).view(np.uint8)
-        else:  # a byte holds 255 words
-            turns = (size + 254) // 255
-            first = np.cumsum(turns) - turns
-            pieces = np.repeat(start - begin, turns) + 255 * (np.arange(turns.sum()) - np.repeat(first, turns))
-            ones = np.add.reduceat(np.add.reduceat(lanes, pieces, axis=0).view(np.uint8).astype(np.int32), first, axis=0)
-        out[at : at + step] = np.packbits(ones > (size // 2)[:, None], axis=1, bitorder="little").view(np.uint64)
+def lines_of(text: str) -> list[tuple[int, bytes]]:
+    """Numbers and normalised forms of the lines that have words."""
+    out = []
+    for no, own in enumerate(map(bytes.split, fold(text).translate(_LINE).split(b"\n"))):
+        if own:
+            out.append((no, b" ".join(own)))
     return out
 
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-#: The bucket of a character by its first byte; other bytes of a character have none.
-_LETTER = np.array([LETTERS if b & 0xC0 == 0x80 else b * 37 % 101 % LETTERS for b in range(256)])
+def document_key(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def profiles(lines: list[bytes]) -> np.ndarray:
-    """Characters of each line by bucket; a line of which a bucket doesn't fit into a byte has 255 throughout.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+_LONG_WORD = 64
 
-    An edit adds one to one bucket at most and takes one from one at most.
-    """
-    sizes = np.array([len(x) for x in lines], np.int64)
-    kind = _LETTER[np.frombuffer(b"".join(lines), np.uint8)]
-    kind += np.repeat(np.arange(len(lines)) * (LETTERS + 1), sizes)
-    count = np.bincount(kind, minlength=len(lines) * (LETTERS + 1)).reshape(len(lines), LETTERS + 1)[:, :LETTERS]
-    count[(count > 254).any(1)] = 255
-    return count.astype(np.uint8)
-
-
-def _spans(size: np.ndarray, parts: int | np.ndarray):
-    """Number, first word, words and owners of parts, half of them counted from the line's end."""
-    parts = np.broadcast_to(parts, size.shape)
-    words = size // parts
-    front = (parts + 1) // 2
-    for i in range(int(parts.max(initial=0))):
-        own = np.flatnonzero(i < front)
-        if len(own):
-            yield i, i * words[own], words[own], own
-        own = np.flatnonzero(i < parts - front)
-        if len(own):
-            yield PARTS + i, size[own] - (i + 1) * words[own], words[own], own
-
-
-def _part_hash(total: np.ndarray, number: int, words: np.ndarray) -> np.ndarray:
-    return mix(total + _STEP * (words.astype(np.uint64) * np.uint64(64) + np.uint64(number))) >> np.uint64(32)
-
-
-def _single_parts(size: np.ndarray) -> np.ndarray:
-    return np.minimum(PARTS, size // 4)
-
-
-def ingredients(lines: list[bytes], spelt: list[bytes]) -> list[bytes]:
-    """What the keys of each line are made of: the profile of how it is spelt, number of words, and hashes of words or parts."""
-    value, owner = hash_words(lines)
-    value = value >> np.uint64(32)
-    size = np.bincount(owner, minlength=len(lines))
-    starts = np.cumsum(size) - size
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(value))])
-    small = value.astype(np.uint32)
-    long = np.flatnonzero(size > ONE_OUT + 1)
-    parts = np.zeros((len(long), 2 * PARTS), np.uint32)
-    for number, begin, words, own in _spans(size[long], _single_parts(size[long])):
-        at = starts[long[own]] + begin
-        parts[own, number] = _part_hash(total[at + words] - total[at], number, words)
-    count = _single_parts(size[long])
-    front = (count + 1) // 2
-    tails = {}
-    for row, (k, n, f) in enumerate(zip(long.tolist(), count.tolist(), front.tolist())):
-        tails[k] = parts[row, :f].tobytes() + parts[row, PARTS : PARTS + n - f].tobytes()
-    head = np.zeros((len(lines), LETTERS + 4), np.uint8)
-    head[:, :LETTERS] = profiles(spelt)
-    head[:, LETTERS:] = size.astype(np.uint32)[:, None].view(np.uint8)
-    blob, bounds = small.tobytes(), (4 * starts).tolist()
-    return [h.tobytes() + (tails[k] if k in tails else blob[b : b + 4 * n]) for k, (h, b, n) in enumerate(zip(head, bounds, size.tolist()))]
-
-
-def keys_of(made: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of lines by their ``ingredients``, and the lines that have them.
-
-    Words count whatever their order. Up to ``TWO_OUT`` words, lines meet if they
-    are equal after up to two words of each are left out, up to ``ONE_OUT`` after
-    one, or two that stand together. From ``PAIRED`` words, lines meet with three words changed, as two of five
-    parts are whole; longer lines if one part is. (Each limit reaches one word
-    further, as a word may be parted.)
-    """
-    found, rows = [], []
-    size = np.array([int.from_bytes(x[LETTERS : LETTERS + 4], "little") for x in made], np.int64)
-    body = [x[LETTERS + 4 :] for x in made]
-
-    def add(key, row, left):
-        key = np.sort(mix(key + np.uint64(int(_STEP) * (left + 1) & (1 << 64) - 1)), axis=1)  # equal words give equal keys
-        new = np.ones(key.shape, bool)
-        new[:, 1:] = key[:, 1:] != key[:, :-1]
-        found.append(key[new]), rows.append(np.broadcast_to(row[:, None], key.shape)[new])
-
-    for n in np.unique(size).tolist():
-        row = np.flatnonzero(size == n)
-        hashes = np.frombuffer(b"".join([body[i] for i in row.tolist()]), np.uint32).reshape(len(row), -1).astype(np.uint64)
-        one = np.full(len(row), n)
-        if n > ONE_OUT + 1:
-            number = np.arange(hashes.shape[1], dtype=np.uint64)
-            front = (hashes.shape[1] + 1) // 2
-            number[front:] += np.uint64(PARTS - front)
-            add(hashes + _STEP * (number << np.uint64(8)), row, 1 << 20)
-            continue
-        word = mix(hashes)
-        whole = word.sum(1, dtype=np.uint64)[:, None]
-        add(whole, row, n)
-        add(whole - word, row, n - 1)
-        i, j = np.triu_indices(n, 1)
-        if n > TWO_OUT + 1:  # neighbours only, as a word may be parted
-            i, j = i[j == i + 1], j[j == i + 1]
-        add(whole - word[:, i] - word[:, j], row, n - 2)
-        if n >= PAIRED:
-            parts = [(number, _part_hash(word[:, begin[0] : begin[0] + words[0]].sum(1, dtype=np.uint64), number, words)) for number, begin, words, _ in _spans(one, 5 if n <= ONE_OUT else _single_parts(one))]
-            if n <= ONE_OUT:
-                pairs = [a * _STEP + b for k, (_, a) in enumerate(parts) for _, b in parts[:k]]
-                add(np.stack(pairs, 1), row, 1 << 21)
-            else:
-                add(np.stack([a for _, a in parts], 1) + _STEP * (np.array([number for number, _ in parts], np.uint64) << np.uint64(8)), row, 1 << 20)
-    return np.concatenate(found), np.concatenate(rows)
 
-
-_LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
+def _hash_runs(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the given runs of bytes; ``data`` goes on for eight bytes at least after the last."""
+    raw = np.ndarray((len(data) - 7,), np.dtype("<u8"), data, 0, (1,))
+    size = end - begin
+    value = mix((raw[begin] & _MASKS[np.minimum(size, 8)]) + size.astype(np.uint64) * _STEP)
+    rest, at = np.flatnonzero(size > 8), 8
+    while len(rest) and at < _LONG_WORD:
+        value[rest] = mix(value[rest] * _STEP + (raw[begin[rest] + at] & _MASKS[np.minimum(size[rest] - at, 8)]))
+        at += 8
+        rest = rest[size[rest] > at]
+    for i in rest.tolist():
+        value[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]])
+    return value
 
 
-#: Thai, Lao, Burmese, Khmer, kana, Chinese and Yi characters.
-_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff])")
+_powers: list[np.ndarray] = []
 
 
-def features(line: bytes) -> list[bytes]:
-    """Words of a normalised line, where each character of a script without spaces is one."""
-    if not line.isascii():
-        text = line.decode("utf-8", "surrogatepass")
-        if _UNSPACED.search(text):
-            return _UNSPACED.sub(r" \1 ", text).encode("utf-8", "surrogatepass").split()
-    return line.split()
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
+    if not _powers or len(_powers[0]) < size:
+        _powers[:] = []
+        for factor in (0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)):
+            row = np.full(max(size, 1 << 20), factor, np.uint64)
+            row[0] = 1
+            _powers.append(np.multiply.accumulate(row))
+    return _powers[0], _powers[1]
 
 
-def lines_of(text: str) -> list[tuple[int, bytes]]:
-    """Numbers and normalised lines that are compared."""
-    out = []
-    for no, own in enumerate(map(bytes.split, fold(text).translate(_LINE).split(b"\n"))):
-        if own:
-            out.append((no, b" ".join(own)))
-    return out
+class Lines:
+    """The lines with words of some texts, as arrays.
 
+    ``doc`` and ``no`` tell where a line is; ``node`` (64 bits) and ``bag`` (a further 64) are
+    hashes of its words; ``value`` has the hashes of all words, of which a line has ``size`` from ``start`` on.
+    """
 
-def document_key(text: str) -> bytes:
-    return xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass"))
+    def __init__(self, texts: list[str | None]):
+        parts = []
+        for text in texts:
+            part = fold(text).translate(_LINE)
+            if not part.isascii() and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
+                part = _UNSPACED.sub("\x1f\\1\x1f", own).encode("utf-8", "surrogatepass")
+            parts.append(part)
+        blob = b"\n".join([*parts, b"       "])
+        data = self.data = np.frombuffer(blob, np.uint8)
+        ends = self.ends = np.flatnonzero(data == 10)  # of lines, whether or not they have words
+        gap = data <= 32
+        turns = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        if len(data) and not gap[0]:
+            turns = np.concatenate([[0], turns])
+        begin, end = turns[::2], turns[1::2]
+        self.begin, self.end = begin, end
+        owner = np.searchsorted(ends, begin)
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+        self.start, self.size = first, np.diff(np.append(first, len(owner)))
+        line = owner[first]
+        lengths = np.array([len(p) + 1 for p in parts], np.int64)
+        edges = np.cumsum(lengths) - lengths
+        self.doc = np.searchsorted(edges, begin[first], "right") - 1
+        before = np.searchsorted(ends, edges)  # lines before a text's first
+        self.no = line - before[self.doc]
+        self.value = _hash_runs(blob, begin, end)
+        power, inverse = _power_tables(len(owner) + 1)
+        self.total = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.value ^ _STEP))])  # of words in any order
+        inorder = np.concatenate([[np.uint64(0)], np.cumsum(self.value * power[: len(owner)])])
+        last = first + self.size
+        self.node = mix((inorder[last] - inorder[first]) * inverse[first] + self.size.astype(np.uint64))
+        self.bag = self.total[last] - self.total[first]
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def profiles(self) -> np.ndarray:
+        """Characters of each line by bucket, ``LETTERS`` bytes; one of which a bucket doesn't fit into a byte has 255 throughout.
+
+        An edit adds one to one bucket at most and takes one from one at most. The blanks
+        between words are in the first bucket, so that the sum is the length.
+        """
+        n = len(self)
+        line = np.full(len(self.ends) + 1, n, np.int64)  # lines without words share a row that is dropped
+        line[np.searchsorted(self.ends, self.begin[self.start])] = np.arange(n)
+        kind = np.repeat(line * (LETTERS + 1), np.diff(np.concatenate([[0], self.ends + 1, [len(self.data)]])))
+        kind += np.frombuffer(self.data.tobytes().translate(_LETTER), np.uint8)
+        wide = np.flatnonzero(self.data >= 0xC0)
+        kind[wide] += _WIDE_LETTER[self.data[wide], self.data[wide + 1]]
+        count = np.bincount(kind, minlength=(n + 1) * (LETTERS + 1)).reshape(n + 1, LETTERS + 1)[:n, :LETTERS]
+        blank = np.cumsum(np.concatenate([[0], self.data == 32])) if (self.data == 31).any() else None
+        inner = np.ones(len(self.begin), bool)
+        if blank is not None:  # gaps that the marks around a character made are none
+            inner[1:] = blank[self.begin[1:]] > blank[self.end[:-1]]
+        inner[self.start] = False
+        count[:, 0] += np.add.reduceat(inner.astype(np.int64), self.start) if n else 0
+        count[(count > 254).any(1)] = 255
+        return count.astype(np.uint8)
+
+    def simhash(self, rows: np.ndarray) -> np.ndarray:
+        """SimHashes of ``BLOCKS * 32`` bits of the lines ``rows``, as blocks; a word counts once in a line."""
+        size, words = self.size[rows], BLOCKS // 2
+        at = np.repeat(self.start[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        tagged = np.repeat(np.arange(len(rows), dtype=np.uint64) << np.uint64(40), size) | self.value[at] >> np.uint64(24)
+        tagged.sort()
+        fresh = np.ones(len(tagged), bool)
+        fresh[1:] = tagged[1:] != tagged[:-1]
+        tagged = tagged[fresh]
+        owner = (tagged >> np.uint64(40)).astype(np.int64)
+        value = tagged & np.uint64((1 << 40) - 1)
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        sizes = np.diff(np.append(starts, len(owner)))
+        seeds = np.array([(w + 1) * int(_STEP) & (1 << 64) - 1 for w in range(words)], np.uint64)
+        out = np.empty((len(rows), words), np.uint64)
+        step = max(1, 8192 * len(rows) // max(1, len(value)))
+        for k in range(0, len(rows), step):  # a slice at a time stays in the cache
+            n, first = sizes[k : k + step], starts[k : k + step]
+            a, b = first[0], first[-1] + n[-1]
+            lanes = np.unpackbits(mix(value[a:b, None] + seeds).view(np.uint8), bitorder="little").view(np.uint64).reshape(b - a, 8 * words)
+            if n.max() <= 255:
+                ones = np.add.reduceat(lanes, first - a, axis=0).view(np.uint8)
+            else:  # a byte holds 255 words
+                turns = (n + 254) // 255
+                head = np.cumsum(turns) - turns
+                pieces = np.repeat(first - a, turns) + 255 * (np.arange(turns.sum()) - np.repeat(head, turns))
+                ones = np.add.reduceat(np.add.reduceat(lanes, pieces, axis=0).view(np.uint8).astype(np.int32), head, axis=0)
+            out[k : k + step] = np.packbits(ones > (n // 2)[:, None], axis=1, bitorder="little").view(np.uint64)
+        return out.view(np.uint32)
+
+
+#: The bucket of a character: frequent letters have their own; further bytes of a character have none (``LETTERS``).
+_LETTER = bytearray(LETTERS if b & 0xC0 == 0x80 or b in (10, 31, 32) else 0 if b >= 0xC0 else b % LETTERS for b in range(256))
+for _group, _letters in enumerate(("", "e", "tz", "ax", "iq", "nj", "owv", "sk", "rp", "lhb", "dyfg", "ucm")):
+    for _letter in _letters:
+        _LETTER[ord(_letter)] = _group
+_LETTER = bytes(_LETTER)
+_WIDE_LETTER = np.array([[(lead * 5 + follow) % LETTERS for follow in range(256)] for lead in range(256)], np.int64)
+
+
+def _part_key(total: np.ndarray, number: int, words) -> np.ndarray:
+    return mix(total + _STEP * (np.atleast_1d(words).astype(np.uint64) * np.uint64(64) + np.uint64(number)))
+
+
+def line_keys(lines: Lines, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit keys of the lines ``rows``, and for each key the position in ``rows`` of its line.
+
+    Words count whatever their order, but for parts, which are counted from the
+    line's front or end. Parts of five have two lengths where two words more
+    would make them longer, so that lines of unequal length have one in common.
+    """
+    found, owners = [], []
+    size = lines.size[rows]
+
+    def add(key, own, left):
+        key = mix(key + np.uint64(int(_STEP) * (left + 1) & (1 << 64) - 1))
+        if key.shape[1] > 1 and left < 1 << 20:  # equal words give equal keys
+            key.sort(axis=1)
+            new = np.ones(key.shape, bool)
+            new[:, 1:] = key[:, 1:] != key[:, :-1]
+            found.append(key[new]), owners.append(np.broadcast_to(own[:, None], key.shape)[new])
+        else:
+            found.append(key.ravel()), owners.append(np.repeat(own, key.shape[1]))
+
+    for n in np.unique(size[size <= ONE_OUT + 1]).tolist():
+        own = np.flatnonzero(size == n)
+        at = lines.start[rows[own]]
+        whole = (lines.total[at + n] - lines.total[at])[:, None]
+        add(whole, own, n)
+        if n <= TWO_OUT + 1:
+            word = lines.total[at[:, None] + np.arange(1, n + 1)] - lines.total[at[:, None] + np.arange(n)]
+            add(whole - word, own, n - 1)
+            i, j = np.triu_indices(n, 1)
+            add(whole - word[:, i] - word[:, j], own, n - 2)
+        if n >= PAIRED:
+            for words in sorted({n // 5, (n + 2) // 5}):
+                places = [(k, k * words) for k in range(3)] + [(PARTS + k, n - (k + 1) * words) for k in range(2)]
+                parts = [_part_key(lines.total[at + p + words] - lines.total[at + p], number, words) for number, p in places]
+                add(np.stack([a * _STEP + b for k, a in enumerate(parts) for b in parts[:k]], 1), own, 1 << 21)
+    long = np.flatnonzero(size >= ONE_OUT - 1)
+    if len(long):
+        at, n = lines.start[rows[long]], size[long]
+        words = PART_WORDS[np.maximum(np.searchsorted(PART_WORDS, n // PARTS, "right") - 1, 0)]
+        parts = np.minimum(PARTS, n // words)
+        front = (parts + 1) // 2
+        for k in range(PARTS):
+            for number, own, begin in ((k, np.flatnonzero(k < front), k * words), (PARTS + k, np.flatnonzero(k < parts - front), n - (k + 1) * words)):
+                if len(own):
+                    p = at[own] + begin[own]
+                    add(_part_key(lines.total[p + words[own]] - lines.total[p], number, words[own])[:, None], long[own], 1 << 20)
+        runs = n - RUN + 1
+        heads = np.cumsum(runs) - runs
+        p = np.repeat(at - heads, runs) + np.arange(runs.sum())
+        run = mix(lines.total[p + RUN] - lines.total[p])
+        for k in range(SAMPLED):
+            least = np.minimum.reduceat(np.where(run & np.uint64(SAMPLED - 1) == k, run, ~np.uint64(0)), heads)
+            own = np.flatnonzero(least != ~np.uint64(0))
+            add(least[own][:, None], long[own], 1 << 22)
+    for k, block in enumerate(lines.simhash(rows).T if len(rows) else []):
+        add(block.astype(np.uint64)[:, None], np.arange(len(rows)), (1 << 23) + k)
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(owners)
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -279,239 +336,446 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return score
 
 
-def similar(a: str, b: str, similarity: float) -> bool:
-    longest = max(len(a), len(b))
-    most = int(longest * (1 - similarity) + 1e-9)
-    return edit_distance(a, b, most) <= most
+#: Words of one line and of the other that a difference between them may take up, in the order tried.
+_SHIFTS = sorted(((s, t) for s in range(5) for t in range(5) if s or t), key=lambda x: (max(x), abs(x[0] - x[1])))
 
 
-def _forest(size: int, pairs) -> list[tuple[int, int]]:
-    """Those of the pairs that connect something new."""
-    parent = list(range(size))
-    out = []
-    for x, y in pairs:
-        rx, ry = x, y
-        while parent[rx] != rx:
-            parent[rx] = rx = parent[parent[rx]]
-        while parent[ry] != ry:
-            parent[ry] = ry = parent[parent[ry]]
-        if rx != ry:
-            parent[ry] = rx
-            out.append((x, y))
+def _at_most(a: str, b: str, most: int) -> bool:
+    """Whether lining up the words greedily shows that the distance is ``most`` or less; False says nothing."""
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y) if v != w) <= most:
+        return True
+    i = j = cost = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for s, t in _SHIFTS:
+            if x[i + s : i + s + 2] == y[j + t : j + t + 2]:
+                cost += max(sum(map(len, x[i : i + s])) + s, sum(map(len, y[j : j + t])) + t)
+                break
+        else:
+            return False
+        if cost > most:
+            return False
+        i, j = i + s, j + t
+    return cost + sum(map(len, x[i:])) + len(x[i:]) + sum(map(len, y[j:])) + len(y[j:]) <= most
+
+
+class Shape:
+    """What bounds the edit distance of a line from below: its numbers of letters and of runs of three."""
+
+    __slots__ = ("letters", "runs")
+
+    def __init__(self, line: str):
+        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.letters = np.bincount(codes & np.uint32(63), minlength=64)
+        size = 1 << max(10, min(18, (2 * len(line)).bit_length()))
+        run = (codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA77) + codes[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(14) if len(codes) > 2 else codes[:0]
+        self.runs = np.bincount(run & np.uint32(size - 1), minlength=size).astype(np.int32)
+
+    def apart(self, other: Shape, most: int) -> bool:
+        """Whether more than ``most`` edits are needed for sure: an edit changes a letter, and three runs at most."""
+        gap = self.letters - other.letters
+        if max(int(gap[gap > 0].sum()), -int(gap[gap < 0].sum())) > most:
+            return True
+        x, y = self.runs, other.runs
+        if len(x) != len(y):  # the longer table folds onto the shorter
+            size = min(len(x), len(y))
+            x, y = x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)
+        gap = x - y
+        return max(int(gap[gap > 0].sum()), -int(gap[gap < 0].sum())) > 3 * most
+
+
+#: Words of 64 bits of a band up to which many pairs are worked on at once, and pairs at once.
+BAND_WORDS, LANES = 16, 512
+#: Numbers that the shapes kept at a time may have.
+MEMO = 8_000_000
+
+
+def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndarray:
+    """Whether each pair's distance is at most ``most``, which is below 32 times ``words``.
+
+    Hyyrö's bit-parallel algorithm in a band around the diagonal, for all pairs
+    at once. The first of a pair is the longer one, and longer than the band reaches.
+    """
+    reach, width, lanes = 32 * words - 1, 64 * words, len(pairs)
+    size_a, size_b = (np.array([len(p[k]) for p in pairs], np.int64) for k in (0, 1))
+    flat = [np.frombuffer("".join(p[k] for p in pairs).encode("utf-32-le", "surrogatepass"), np.uint32) for k in (0, 1)]
+    known, coded = np.unique(np.concatenate(flat), return_inverse=True)
+    coded = (coded + 1).astype(np.uint8 if len(known) < 255 else np.uint32)
+    steps = int(size_b.max())
+    # the top of the window is ``reach`` rows below the diagonal
+    a = np.zeros((lanes, max(int(size_a.max()), steps + reach) + width), coded.dtype)
+    b = np.zeros((lanes, steps), coded.dtype)
+    row = np.repeat(np.arange(lanes), size_a)
+    before = width - reach - 1
+    a[row, before + np.arange(len(flat[0])) - np.repeat(np.cumsum(size_a) - size_a, size_a)] = coded[: len(flat[0])]
+    row = np.repeat(np.arange(lanes), size_b)
+    b[row, np.arange(len(flat[1])) - np.repeat(np.cumsum(size_b) - size_b, size_b)] = coded[len(flat[0]) :]
+    b = np.ascontiguousarray(b.T)
+    b[b == 0] = coded.max() + 1 if len(known) < 255 else len(known) + 2
+    plus = np.zeros((lanes, words), np.uint64)
+    full = ~np.uint64(0)
+    start = [(((1 << reach + 1) - 1) << (width - reach - 1)) >> 64 * w & (1 << 64) - 1 for w in range(words)]
+    plus[:] = np.array(start, np.uint64)
+    minus = np.zeros_like(plus)
+    score = np.full(lanes, reach, np.int64)
+    one, top = np.uint64(1), np.uint64(63)
+    alive, lowest, ends = np.arange(lanes), int(size_a.min()) - reach, set(size_b.tolist())
+    out = np.full(lanes, 1 << 40, np.int64)
+    for j in range(steps):
+        window = a[:, j : j + width] == b[j][:, None]
+        match = np.packbits(window, axis=1, bitorder="little").view(np.uint64)
+        x = match & plus
+        total = x + plus
+        if words > 1:
+            carry = total < x
+            for w in range(1, words):
+                came = carry[:, w - 1]
+                total[:, w] += came
+                carry[:, w] |= came & (total[:, w] == 0)
+        diagonal = (total ^ plus) | match | minus
+        more = minus | ~(diagonal | plus)
+        less = diagonal & plus
+        down = diagonal >> one
+        if words > 1:
+            down[:, :-1] |= diagonal[:, 1:] << top
+        plus = less | ~(down | more)
+        minus = down & more
+        # along the lower edge of the band until the last row, and then along that
+        score += 1 - (diagonal[:, -1] >> top).astype(np.int64)
+        if j >= lowest:
+            low = np.flatnonzero(size_a - reach - j <= 0)
+            bit = size_a[low] - reach - j + width - 2
+            at, shift = bit >> 6, (bit & 63).astype(np.uint64)
+            side = (more[low, at] >> shift & one).astype(np.int64) - (less[low, at] >> shift & one).astype(np.int64)
+            score[low] += side - 1 + (diagonal[low, -1] >> top).astype(np.int64)
+        ended = j + 1 in ends
+        if ended:
+            done = size_b == j + 1
+            out[alive[done]] = score[done]
+        if ended or (j & 63) == 63:
+            # a score may still fall by one a step along the last row
+            left = (size_b - j - 1 > 0) & (score <= most + np.maximum(0, size_b - np.maximum(j + 1, size_a - reach)))
+            if left.mean() < 0.8:
+                a, plus, minus, score, alive, size_a, size_b, most = (v[left] for v in (a, plus, minus, score, alive, size_a, size_b, most))
+                b = np.ascontiguousarray(b[:, left])
+                if not len(score):
+                    break
     return out
 
 
-def _occurrences(docs: DataFrame, words: int) -> DataFrame:
-    """(id, dkey, no, key, sim, made, tiny) of all lines that are compared."""
-    schema = StructType([docs.schema["id"], StructField("dkey", BinaryType()), StructField("no", IntegerType()), StructField("key", BinaryType()), StructField("sim", BinaryType()), StructField("made", BinaryType()), StructField("tiny", BooleanType())])
+def distances_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool]:
+    """Whether the edit distance of each pair is at most the number given for it."""
+    out = [False] * len(pairs)
+    banded: dict[int, list] = {}
+    for k, ((a, b), m) in enumerate(zip(pairs, most)):
+        if abs(len(a) - len(b)) > m:
+            continue
+        if len(a) < len(b):
+            a, b = b, a
+        words = m // 32 + 1
+        if words > BAND_WORDS or len(a) < 32 * words or not b:
+            out[k] = edit_distance(a, b, m) <= m
+        else:
+            banded.setdefault(words, []).append((len(b), k, a, b))
+    for words, own in banded.items():
+        own.sort()
+        for at in range(0, len(own), LANES):
+            some = own[at : at + LANES]
+            limit = np.array([most[k] for _, k, _, _ in some], np.int64)
+            found = _band([(a, b) for _, _, a, b in some], limit, words)
+            for (_, k, _, _), fits in zip(some, (found <= limit).tolist()):
+                out[k] = fits
+    return out
 
-    def work(batch):
-        for part in cut(batch, 1, 1 << 20):
-            index, numbers, which, dkeys, kinds, tiny, fuzzy, unique, whole, spelt = [], [], [], [], {}, [], [], [], [], []
-            for i, text in enumerate(part.column(1).to_pylist()):
-                lines = lines_of(text)
-                for no, line in lines:
-                    k = kinds.get(line)
-                    if k is None:
-                        k = kinds[line] = len(kinds)
-                        own = features(line)
-                        if len(own) >= MIN_WORDS:
-                            fuzzy.append(k), unique.append(b" ".join(dict.fromkeys(own))), whole.append(b" ".join(own)), spelt.append(line)
-                        tiny.append(len(own) < MIN_WORDS and len(line.decode("utf-8", "surrogatepass")) <= MIN_CHARS)
-                    index.append(i), numbers.append(no), which.append(k)
-                dkeys += [document_key(text)] * len(lines) if lines else []
-            sims, made = [None] * len(kinds), [None] * len(kinds)
-            for k, sim, own in zip(fuzzy, simhash(unique, words) if unique else [], ingredients(whole, spelt) if whole else []):
-                sims[k], made[k] = sim.tobytes(), own
-            keys, which = [xxhash.xxh3_128_digest(x) for x in kinds], pa.array(which, pa.int32())
-            yield [part.column(0).take(pa.array(index, pa.int32())), pa.array(dkeys, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()).take(which), pa.array(sims, pa.binary()).take(which), pa.array(made, pa.binary()).take(which), pa.array(tiny, pa.bool_()).take(which)]
-
-    return map_arrow(docs, work, schema)
-
-
-def _meetings(kinds: DataFrame, spread, width: int, close) -> DataFrame:
-    """Edges of kinds that agree in a hash and are close, as many as connect them.
-
-    ``spread`` packs entries of one hash range: 4 bytes of the hash, the node, and
-    ``width`` bytes for each. ``close`` tells by those bytes, given as the rows of two
-    tables, who is close.
-    """
 
-    def meet(table: pa.Table) -> pa.Table:
-        parts = []
-        for blob in table.column("data").to_pylist():
-            n = len(blob) // (12 + width)
-            parts.append((np.frombuffer(blob, np.uint32, n), np.frombuffer(blob, np.int64, n, 4 * n), np.frombuffer(blob, np.uint8, width * n, 12 * n).reshape(n, width)))
-        value, node, own = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(value, kind="stable")
-        value = value[order]
-        met = np.zeros(len(value), bool)
-        met[1:] = value[1:] == value[:-1]
-        met[:-1] |= met[1:].copy()
-        order, value = order[met], value[met]
-        node, own = node[order], own[order]
-        starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
-        size = np.diff(np.append(starts, len(value)))
-        src, dst = [], []
-        for n in np.unique(size).tolist():  # all buckets of one size at once
-            first = starts[size == n]
-            if n <= 1000:
-                i, j = np.triu_indices(n, 1)
-                step = max(1, 200_000 // len(i))
-                for at in range(0, len(first), step):
-                    a, b = (first[at : at + step, None] + i).ravel(), (first[at : at + step, None] + j).ravel()
-                    near = close(own[a], own[b])
-                    src.append(a[near]), dst.append(b[near])
-                continue
-            for begin in first.tolist():  # each is a seed once, against those that nothing has reached
-                unseen, turn = np.arange(begin, begin + n), []
-                while len(unseen):
-                    if turn:
-                        seed = turn.pop()
-                    else:
-                        seed, unseen = unseen[0], unseen[1:]
-                    near = close(own[unseen], own[seed : seed + 1])
-                    hit, unseen = unseen[near], unseen[~near]
-                    src.append(np.full(len(hit), seed)), dst.append(hit)
-                    turn += hit.tolist()
-        if not src:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64())], ["src", "dst"])
-        a, b = np.concatenate(src), np.concatenate(dst)
-        index = np.array(_forest(len(node), zip(a.tolist(), b.tolist())), np.int64).reshape(-1, 2)
-        return pa.table([pa.array(node[index[:, 0]]), pa.array(node[index[:, 1]])], ["src", "dst"])
-
-    schema = StructType([StructField("bucket", IntegerType()), StructField("data", BinaryType())])
-    return kinds.mapInArrow(spread, schema).groupBy("bucket").applyInArrow(freeing(meet), "src long, dst long")
-
-
-def _key_candidates(kinds: DataFrame, similarity: float, ranges: int) -> DataFrame:
-    """Edges of kinds that share a key and whose letters don't rule edit similarity out."""
-
-    def spread(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, PACK // 4):
-                part = batch.slice(at, PACK // 4)
-                node, made = np.array(part.column(0)), part.column(1).to_pylist()
-                own = np.frombuffer(b"".join([x[:LETTERS] for x in made]), np.uint8).reshape(-1, LETTERS)
-                value, row = keys_of(made)
-                bucket = (value % np.uint64(ranges)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                ends = np.searchsorted(bucket[order], np.arange(ranges + 1))
-                buckets, blobs = [], []
-                for r in np.flatnonzero(np.diff(ends)).tolist():
-                    which = order[ends[r] : ends[r + 1]]
-                    buckets.append(r)
-                    blobs.append((value[which] >> np.uint64(32)).astype(np.uint32).tobytes() + node[row[which]].tobytes() + own[row[which]].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "data"])
-        release()
+def similar_pairs(pairs: list[tuple[str, str]], similarity: float) -> list[bool]:
+    """Whether the edit similarity of each pair is ``similarity`` or more; bounds on either side settle most."""
+    out = [False] * len(pairs)
+    open_, most_of = [], []
+    for k, (a, b) in enumerate(pairs):
+        most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+        if abs(len(a) - len(b)) > most:
+            continue
+        if _at_most(a, b, most):
+            out[k] = True
+        elif not Shape(a).apart(Shape(b), most):
+            open_.append(k), most_of.append(most)
+    for k, fits in zip(open_, distances_within([pairs[k] for k in open_], most_of)):
+        out[k] = fits
+    return out
 
-    def close(a, b):
-        a, b = a.astype(np.int16), b.astype(np.int16)
-        gap = a - b
-        more, less = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
-        longest = np.maximum(a.sum(1), b.sum(1))
-        return (np.maximum(more, less) <= np.floor(longest * (1 - similarity) + 1e-9)) | (a[:, 0] == 255) | (b[:, 0] == 255)
-
-    return _meetings(kinds.select("node", "made"), spread, LETTERS, close)
-
-
-def _candidates(kinds: DataFrame, bits: int, blocks: int, ranges: int) -> DataFrame:
-    """Edges of kinds that agree in a block and are near; 128 bits of SimHash are held against each other."""
-
-    def spread(batches):
-        nodes, sims, held = [], [], 0
-
-        def flush():
-            node, sim = np.concatenate(nodes), np.concatenate(sims)
-            nodes.clear(), sims.clear()
-            flat = np.unpackbits(sim.view(np.uint8), axis=1, bitorder="little")
-            buckets, blobs = [], []
-            for b in range(blocks):
-                own = np.zeros((len(node), 64), np.uint8)
-                own[:, :bits] = flat[:, b * bits : (b + 1) * bits]
-                value = mix(np.packbits(own, axis=1, bitorder="little").view(np.uint64)[:, 0])
-                bucket = (value % np.uint64(ranges)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                ends = np.searchsorted(bucket[order], np.arange(ranges + 1))
-                for r in np.flatnonzero(np.diff(ends)).tolist():
-                    which = order[ends[r] : ends[r + 1]]
-                    buckets.append(b * ranges + r)
-                    blobs.append((value[which] >> np.uint64(32)).astype(np.uint32).tobytes() + node[which].tobytes() + np.ascontiguousarray(sim[which, :2]).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "data"])
 
+def similar(a: str, b: str, similarity: float) -> bool:
+    return similar_pairs([(a, b)], similarity)[0]
+
+
+def _close(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether profiles (rows of two tables) allow edit similarity."""
+    a, b = a.astype(np.int16), b.astype(np.int16)
+    gap = a - b
+    more, less = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
+    longest = np.maximum(a.sum(1), b.sum(1))
+    return (np.maximum(more, less) <= np.floor(longest * (1 - similarity) + 1e-9)) | (a[:, 0] == 255) | (b[:, 0] == 255)
+
+
+class Union:
+    """Disjoint sets of any keys."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        parent = self.parent
+        if x not in parent:
+            parent[x] = x
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether this connects something new."""
+        x, y = self.root(x), self.root(y)
+        if x == y:
+            return False
+        self.parent[y] = x
+        return True
+
+
+def _entries(docs: DataFrame, ranges: int) -> DataFrame:
+    """Entries (key, kind, profile) of all lines, packed by range of keys; of a task's equal lines one has them."""
+    names = ["bucket", "data"]
+
+    def pack(keys, nodes, own):
+        squeeze = zstandard.ZstdCompressor(level=1)
+        key, node, own = np.concatenate(keys), np.concatenate(nodes), np.concatenate(own)
+        bucket = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(key)
+        key, node, own, bucket = key[order], node[order], own[order], bucket[order]
+        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        blobs = []
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(key)]):
+            # the lower halves keep apart what meets; of the upper ones the bucket knows most
+            blobs.append(squeeze.compress(key[a:b].tobytes() + node[a:b].tobytes() + np.ascontiguousarray(own[a:b].T).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[heads], pa.int64()), pa.array(blobs, pa.binary())], names)
+
+    def run(batches):
+        keys, nodes, own, held = [], [], [], 0
+        seen: set = set()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            nodes.append(np.array(batch.column(0)))
-            sims.append(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
-            held += batch.num_rows
-            if held >= PACK:
-                yield flush()
-                held = 0
+            for part in cut(batch, 0, SLICE):
+                lines = Lines(part.column(0).to_pylist())
+                rows = np.flatnonzero(lines.size >= MIN_WORDS)
+                rows = rows[np.unique(lines.node[rows], return_index=True)[1]]
+                fresh = np.array([k not in seen for k in lines.node[rows].tolist()], bool)
+                rows = rows[fresh]
+                if not len(rows):
+                    continue
+                seen.update(lines.node[rows].tolist())
+                key, line = line_keys(lines, rows)
+                line = rows[line]
+                keys.append(key), nodes.append(lines.node[line]), own.append(lines.profiles()[line])
+                held += len(key)
+                if held >= PACK:
+                    yield pack(keys, nodes, own)
+                    keys, nodes, own, held = [], [], [], 0
+                    seen.clear()
         if held:
-            yield flush()
+            yield pack(keys, nodes, own)
+        del keys, nodes, own
         release()
 
-    def close(a, b):
-        a, b = a.view(np.uint64), b.view(np.uint64)
-        return np.bitwise_count(a[:, 0] ^ b[:, 0]) + np.bitwise_count(a[:, 1] ^ b[:, 1]) <= NEAR_BITS
+    return docs.select("text").mapInArrow(run, "bucket long, data binary")
 
-    return _meetings(kinds.select("node", "sim"), spread, 16, close)
 
+def _meetings(entries: DataFrame, similarity: float) -> DataFrame:
+    """``(crowd, a, b)``: close pairs of kinds that share a key, with no crowd; and in ``a`` the kinds of large crowds."""
 
-def _verify(lines: DataFrame, similarity: float, calls: int) -> DataFrame:
-    """(node, root) of the kinds of each candidate group that edit similarity connects.
+    def meet(table: pa.Table) -> pa.Table:
+        unzip = zstandard.ZstdDecompressor()
+        keys, nodes, profiles = [], [], []
+        for blob in table.column("data"):
+            raw = unzip.decompress(blob.as_py())
+            n = len(raw) // (16 + LETTERS)
+            keys.append(np.frombuffer(raw, np.uint64, n)), nodes.append(np.frombuffer(raw, np.int64, n, 8 * n))
+            profiles.append(np.frombuffer(raw, np.uint8, LETTERS * n, 16 * n).reshape(LETTERS, n).T)
+        key = np.concatenate(keys)
+        order = np.argsort(key)
+        key = key[order]
+        met = np.zeros(len(key), bool)
+        met[1:] = key[1:] == key[:-1]
+        met[:-1] |= met[1:].copy()
+        order, key = order[met], key[met]
+        node, own = np.concatenate(nodes)[order], np.concatenate(profiles)[order]
+        turn = np.lexsort((node, key))  # the same kind may come from several tasks
+        key, node, own = key[turn], node[turn], own[turn]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node, own = key[fresh], node[fresh], own[fresh]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(heads, len(key)))
+        src, dst, crowds, members = [], [], [], []
+
+        def crowd(first, n):
+            who = node[first : first + n]
+            crowds.append(np.full(n, xxhash.xxh3_64_intdigest(who.tobytes()) - (1 << 63))), members.append(who)
+
+        for n in np.unique(size[size > 1]).tolist():  # all buckets of one size at once
+            first = heads[size == n]
+            if n > PROBED:
+                for x in first.tolist():
+                    crowd(x, n)
+                continue
+            i, j = np.triu_indices(n, 1)
+            step = max(1, 400_000 // len(i))
+            for at in range(0, len(first), step):
+                some = first[at : at + step]
+                a, b = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
+                near = np.concatenate([_close(own[a[k : k + 500_000]], own[b[k : k + 500_000]], similarity) for k in range(0, len(a), 500_000)])
+                if n > WIDE:  # one bucket or a few
+                    dense = near.reshape(len(some), -1).sum(1) > SPARSE * n
+                    for x in some[dense].tolist():
+                        crowd(x, n)
+                    near &= ~np.repeat(dense, len(i))
+                src.append(node[a[near]]), dst.append(node[b[near]])
+        pairs = np.stack([np.concatenate(src), np.concatenate(dst)], 1) if src else np.zeros((0, 2), np.int64)
+        if len(pairs):
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])]
+        crowds, members = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (crowds, members))
+        none = np.zeros(len(members), bool)
+        return pa.table([
+            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), crowds]), mask=np.concatenate([np.ones(len(pairs), bool), none])),
+            pa.array(np.concatenate([pairs[:, 0], members])), pa.array(np.concatenate([pairs[:, 1], members])),
+        ], ["crowd", "a", "b"])
+
+    return entries.groupBy("bucket").applyInArrow(freeing(meet), "crowd long, a long, b long").distinct()
+
+
+def connecting(pairs: list[tuple], line_of, known: Union, similarity: float) -> list[int]:
+    """Numbers of pairs of kinds that are similar and connect what no pair before has connected."""
+    found, open_ = [], []
+    shapes, held = {}, 0  # a memo only
+
+    def shape(kind):
+        nonlocal held
+        if kind not in shapes:
+            if held > MEMO:
+                shapes.clear()
+                held = 0
+            shapes[kind] = Shape(line_of[kind])
+            held += len(shapes[kind].runs)
+        return shapes[kind]
 
-    Pairs that are not yet connected are tried; before the edit distance the
-    difference in length and the surplus of letters, which it can't be below, are
-    held against the bound.
-    """
+    for k, (x, y) in enumerate(pairs):
+        if known.root(x) == known.root(y):
+            continue
+        a, b = line_of[x], line_of[y]
+        most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+        if abs(len(a) - len(b)) > most:
+            continue
+        if _at_most(a, b, most):
+            known.join(x, y)
+            found.append(k)
+        else:
+            open_.append((k, x, y, most))
+    at, many = 0, LANES
+    while at < len(open_):
+        some = []
+        while at < len(open_) and len(some) < many:
+            k, x, y, most = open_[at]
+            if known.root(x) != known.root(y) and not shape(x).apart(shape(y), most):
+                some.append(open_[at])
+            at += 1
+        for (k, x, y, _), fits in zip(some, distances_within([(line_of[x], line_of[y]) for _, x, y, _ in some], [most for *_, most in some])):
+            if fits and known.join(x, y):
+                found.append(k)
+        many = min(4 * LANES, 2 * many)
+    return found
+
+
+def _verify_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Edges among ``(a, b, line_a, line_b)``; what a batch has connected isn't compared again."""
 
-    def connect(text: list[str]) -> np.ndarray:
-        letters = np.zeros((len(text), 64), np.int32)
-        for i, line in enumerate(text):
-            letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le"), np.uint32) % 64, minlength=64)
-        size = np.array(list(map(len, text)))
-        parent = np.arange(len(text))
-        for i in range(len(text) - 1):
-            bound = np.maximum(size[i + 1 :], size[i]) * (1 - similarity) + 1e-9
-            near = np.flatnonzero((np.abs(size[i + 1 :] - size[i]) <= bound) & (parent[i + 1 :] != parent[i])) + i + 1
-            if not len(near):
-                continue
-            gap = letters[near] - letters[i]
-            surplus = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
-            for j in near[surplus <= np.maximum(size[near], size[i]) * (1 - similarity) + 1e-9].tolist():
-                a, b = parent[i], parent[j]
-                if a != b and similar(text[i], text[j], similarity):  # what is connected needs no proof
-                    parent[parent == max(a, b)] = min(a, b)
-        return parent
-
-    def connect_few(text: list[str]) -> list[int]:
-        parent = list(range(len(text)))
-        for i in range(len(text) - 1):
-            for j in range(i + 1, len(text)):
-                a, b = parent[i], parent[j]
-                if a != b and similar(text[i], text[j], similarity):
-                    low, high = min(a, b), max(a, b)
-                    parent = [low if x == high else x for x in parent]
-        return parent
+    def work(batch):
+        known = Union()
+        for part in cut(batch, 2, SLICE):
+            a, b, x, y = (c.to_pylist() for c in part.columns)
+            keep = pa.array(connecting(list(zip(a, b)), dict(zip(a, x)) | dict(zip(b, y)), known, similarity), pa.int64())
+            yield [part.column(0).take(keep), part.column(1).take(keep)]
+
+    return map_arrow(pairs, work, StructType([StructField("src", LongType()), StructField("dst", LongType())]))
+
+
+def _verify_groups(pairs: DataFrame, lines: DataFrame, similarity: float, calls: int) -> DataFrame:
+    """Edges among pairs ``(component, a, b)`` of lines ``(component, node, line)``, groups taken as a whole; many share a call."""
+
+    def work(pairs: pa.Table, lines: pa.Table) -> pa.Table:
+        line_of = dict(zip(lines.column("node").to_pylist(), lines.column("line").to_pylist()))
+        both = pairs.select(["a", "b"]).sort_by([("a", "ascending"), ("b", "ascending")])
+        keep = pa.array(connecting(list(zip(both.column("a").to_pylist(), both.column("b").to_pylist())), line_of, Union(), similarity), pa.int64())
+        return both.take(keep).rename_columns(["src", "dst"])
+
+    def by_turn(df):  # a fixed number of partitions, as a few MB keep a task busy for long
+        turn = F.pmod(F.xxhash64("component"), F.lit(calls)).alias("turn")
+        return df.toDF(*df.columns).select("*", turn).repartition(calls, "turn").groupBy("turn")
+
+    return by_turn(pairs).cogroup(by_turn(lines)).applyInArrow(work, "src long, dst long")
+
+
+def connect(lines: list[str], split: int, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of similar lines that connect all that are; from ``split`` on with those before alone, if it isn't 0."""
+    letters = np.zeros((len(lines), 64), np.int32)
+    for i, line in enumerate(lines):
+        letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) % 64, minlength=64)
+    size = np.array(list(map(len, lines)))
+    pairs = []
+    for i in range(split or len(lines) - 1):
+        begin = split or i + 1
+        bound = np.floor(np.maximum(size[begin:], size[i]) * (1 - similarity) + 1e-9)
+        near = np.flatnonzero(np.abs(size[begin:] - size[i]) <= bound)
+        gap = letters[begin + near] - letters[i]
+        surplus = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
+        pairs += [(i, j) for j in (begin + near[surplus <= bound[near]]).tolist()]
+    return [pairs[k] for k in connecting(pairs, lines, Union(), similarity)]
+
+
+def _verify_crowds(crowds: DataFrame, similarity: float) -> DataFrame:
+    """Edges within each crowd of ``(crowd, node, line)``."""
+    order = Window.partitionBy("crowd").orderBy(F.length("line"), "node")
+    placed = materialize(crowds.withColumn("tile", F.floor((F.row_number().over(order) - 1) / F.lit(TILE)).cast("int")).withColumn("chars", F.length("line")), "crowds")
+    spans = placed.groupBy("crowd", "tile").agg(F.min("chars").alias("low"), F.max("chars").alias("high"))
+    a, b = spans.alias("a"), spans.alias("b")
+    tasks = a.join(b, (F.col("a.crowd") == F.col("b.crowd")) & (F.col("a.tile") <= F.col("b.tile")) & (F.col("a.high") >= F.col("b.low") * F.lit(similarity) - F.lit(1e-9)))
+    wanted = tasks.select(F.col("a.crowd").alias("crowd"), F.col("a.tile").alias("ta"), F.col("b.tile").alias("tb")).select("crowd", "ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("tile"))
 
     def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("component", "ascending"), ("node", "ascending")])
-        component, node = np.array(table.column("component")), np.array(table.column("node"))
-        text = table.column("line").to_pylist()
-        starts = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1]])).tolist()
-        parent = np.zeros(len(node), np.int64)
-        for a, b in zip(starts, [*starts[1:], len(node)]):
-            if b - a <= 12:
-                own = connect_few(text[a:b])
-            else:
-                own = connect(text[a:b])
-            parent[a:b] = np.asarray(own) + a
-        return pa.table([pa.array(node), pa.array(node[parent])], ["node", "root"])
-
-    # many groups share a call, as most are of a few lines
-    return lines.withColumn("turn", F.pmod(F.xxhash64("component"), F.lit(calls))).groupBy("turn").applyInArrow(freeing(work), "node long, root long")
+        table = table.sort_by([("tile", "ascending"), ("chars", "ascending"), ("node", "ascending")])
+        tile = np.array(table.column("tile"))
+        split = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0
+        pairs = np.array(connect(table.column("line").to_pylist(), split, similarity), np.int64).reshape(-1, 2)
+        node = np.array(table.column("node"))
+        return pa.table([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["src", "dst"])
+
+    return wanted.join(placed, ["crowd", "tile"]).groupBy("crowd", "ta", "tb").applyInArrow(freeing(work), "src long, dst long")
+
+
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs``, whose last is a text, with the text compressed as ``z``."""
+
+    def work(batch):
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        at = batch.num_columns - 1
+        for part in cut(batch, at):
+            yield [*part.columns[:-1], pa.array([None if t is None else squeeze(t.encode("utf-8", "surrogatepass")) for t in part.column(at).to_pylist()], pa.binary())]
+
+    return map_arrow(docs, work, StructType([*docs.schema.fields[:-1], StructField("z", BinaryType())]))
+
+
+def _unsqueezed(z: bytes | None) -> str | None:
+    return None if z is None else zstandard.ZstdDecompressor().decompress(z).decode("utf-8", "surrogatepass")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -520,39 +784,29 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     Besides the columns of ``docs`` nothing is returned; see ``removed_lines`` for the decisions.
     """
     removed = removed_lines(docs, similarity, id_col, text_col)
-    lists = removed.groupBy(F.col("id").alias("__id"), F.col("dkey").alias("__dkey")).agg(F.collect_list("no").alias("__nos"))
-    per_id = lists.groupBy("__id").agg(F.collect_list(F.struct("__dkey", "__nos")).alias("__gone"))
+    gone = removed.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("dkey", "no")).alias("__gone"))
     others = [f for f in docs.schema.fields if f.name != text_col]
     place = docs.columns.index(text_col)
-    packed_fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(others)] + [StructField("z", BinaryType())]
-    unpacked_fields = packed_fields[:-1] + [StructField("text", docs.schema[text_col].dataType)]
-
-    def pack(batch):
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for part in cut(batch, len(others)):
-            yield [*part.columns[:-1], pa.array([None if t is None else squeeze(t.encode("utf-8", "surrogatepass")) for t in part.column(len(others)).to_pylist()], pa.binary())]
+    unpacked = [StructField(f"c{i}", f.dataType) for i, f in enumerate(others)] + [StructField("text", docs.schema[text_col].dataType)]
 
     def rebuild(batch):
-        unzip = zstandard.ZstdDecompressor().decompress
-        for part in cut(batch, len(others), 2 << 20):
+        for part in cut(batch, len(others), SLICE):
             texts = []
-            for z, gone in zip(part.column(len(others)).to_pylist(), part.column(len(others) + 1).to_pylist()):
-                text = None if z is None else unzip(z).decode("utf-8", "surrogatepass")
-                if text and gone:
+            for z, lines in zip(part.column(len(others)).to_pylist(), part.column(len(others) + 1).to_pylist()):
+                text = _unsqueezed(z)
+                if text and lines:
                     key = document_key(text)
-                    for own in gone:
-                        if own["__dkey"] == key:
-                            drop = set(own["__nos"])
-                            text = "\n".join(x for no, x in enumerate(text.split("\n")) if no not in drop)
-                            break
+                    drop = {x["no"] for x in lines if x["dkey"] == key}
+                    if drop:
+                        text = "\n".join(x for no, x in enumerate(text.split("\n")) if no not in drop)
                 texts.append(text)
             yield [*part.columns[: len(others)], pa.array(texts, pa.string())]
 
     flat = docs.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(others)], F.col(f"`{text_col}`").alias("text"))
     at = [f.name for f in others].index(id_col)
-    packed = map_arrow(flat, pack, StructType(packed_fields))
-    joined = packed.join(per_id, packed[f"c{at}"] == per_id["__id"], "left").select(*[f.name for f in packed_fields], "__gone")
-    done = map_arrow(joined, rebuild, StructType(unpacked_fields))
+    packed = _squeezed(flat)
+    joined = packed.join(gone, packed[f"c{at}"] == gone["__id"], "left").select(*packed.columns, "__gone")
+    done = map_arrow(joined, rebuild, StructType(unpacked))
     names = [f.name for f in others]
     names.insert(place, text_col)
     order = [f"c{i}" for i in range(len(others))]
@@ -560,56 +814,87 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     return done.select(*[F.col(c).alias(n) for c, n in zip(order, names)])
 
 
-def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, dkey, no)``: the lines that go, by document id, hash of its text, and line number from 0."""
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
-    volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits, blocks = block_plan(volume)
-    words = max(2, math.ceil(bits * blocks / 64))
-    ranges = max(1, math.ceil(volume / LINE_BYTES / RANGE))
-    found = materialize(_occurrences(base, words), "lines")
-    place = F.struct("id", "dkey", "no")
-    kinds = materialize(
-        found.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("made").alias("made"), F.first("tiny").alias("tiny"))
-        .withColumn("node", F.xxhash64("key")), "kinds",
-    )
-    fat, found = found, materialize(found.select("id", "dkey", "no", "key"), "lines")  # the rest is in the kinds
-    discard(fat)
-    fuzzy = kinds.where("sim is not null")
-    edges = materialize(_candidates(fuzzy, bits, blocks, ranges), "edges")  # one after the other, for the disk's sake
-    more = materialize(_key_candidates(fuzzy, similarity, max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))), "edges")
-    parts = connected_components(edges.unionByName(more))
-    discard(edges), discard(more)
-    members = materialize(kinds.join(parts, "node").select("node", "component", "place"), "members")
-    wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", "component", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
-
-    def pack(batch):
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for part in cut(batch, 1):
-            yield [part.column(0), pa.array([squeeze(t.encode("utf-8", "surrogatepass")) for t in part.column(1).to_pylist()], pa.binary())]
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """(id, dkey, no, node, bag) of all lines with words."""
+
+    def work(batch):
+        for part in cut(batch, 1, SLICE):
+            texts = part.column(1).to_pylist()
+            lines = Lines(texts)
+            dkeys = np.array([document_key(t) for t in texts], np.int64)
+            yield [part.column(0).take(pa.array(lines.doc)), pa.array(dkeys[lines.doc]), pa.array(lines.no, pa.int32()), pa.array(lines.node.view(np.int64)), pa.array(lines.bag.view(np.int64))]
+
+    return map_arrow(docs, work, StructType([docs.schema["id"], StructField("dkey", LongType()), StructField("no", IntegerType()), StructField("node", LongType()), StructField("bag", LongType())]))
+
+
+def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
+    """``(node, line)``: the normalised lines of ``members`` ``(node, place)``, picked out of their documents."""
+    wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
 
     def pick(batch):
-        unzip = zstandard.ZstdDecompressor().decompress
-        for part in cut(batch, 0, 2 << 20):
-            out = []
+        for part in cut(batch, 0, SLICE):
+            nodes, lines = [], []
             for z, wishes in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                text = unzip(z).decode("utf-8", "surrogatepass")
+                text = _unsqueezed(z)
                 key, own = document_key(text), None
                 for wish in wishes:
                     if wish["dkey"] == key:
-                        own = own or dict(lines_of(text))
-                        out.append((wish["component"], wish["node"], own[wish["no"]].decode("utf-8", "replace")))
-            columns = list(zip(*out)) or [()] * 3
-            yield [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())]
-
-    texts = map_arrow(base, pack, StructType([base.schema["id"], StructField("z", BinaryType())]))
-    lines = map_arrow(texts.join(wanted, "id").select("z", "wanted"), pick, StructType([StructField("component", LongType()), StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
-    roots = materialize(_verify(lines.dropDuplicates(["component", "node"]), similarity, math.ceil(members.count() / VERIFY) or 1), "roots")
-    discard(members)
-    grouped = kinds.select("key", "node", "place", "n", "tiny").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = grouped.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("total"), F.bool_or("tiny").alias("tiny")).where("total > if(tiny, 2, 1)")
-    verdicts = grouped.join(groups, "root").select("key", "keep")
-    gone = found.select("id", "dkey", "no", "key").join(verdicts, "key").where(~(F.struct("id", "dkey", "no") == F.col("keep")))
-    out = materialize(gone.select("id", "dkey", "no").distinct(), "gone")
+                        own = own or fold(text).translate(_LINE).split(b"\n")
+                        nodes.append(wish["node"])
+                        lines.append(b" ".join(own[wish["no"]].split()).decode("utf-8", "replace"))
+            yield [pa.array(nodes, pa.int64()), pa.array(lines, pa.string())]
+
+    texts = _squeezed(base).join(wanted, "id").select("z", "wanted")
+    # repeated rows have the same lines
+    return map_arrow(texts, pick, StructType([StructField("node", LongType()), StructField("line", base.schema["text"].dataType)])).dropDuplicates(["node"])
+
+
+def similar_kinds(base: DataFrame, kinds: DataFrame, similarity: float, volume: int) -> DataFrame:
+    """``(node, root)`` of the kinds that others are connected with."""
+    ranges = max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))
+    met = materialize(_meetings(_entries(base, ranges), similarity), "met")
+    pairs, crowds = met.where("crowd is null").select("a", "b"), met.where("crowd is not null").select("crowd", F.col("a").alias("node"))
+    nodes = met.select(F.explode(F.array_distinct(F.array("a", F.coalesce("b", "a")))).alias("node")).distinct()
+    lines = materialize(_texts_of(base, kinds.join(nodes, "node").select("node", "place")), "lines")
+    # pairs go where their group is; the pairs of groups that are too large for a task go by themselves
+    groups = materialize(connected_components(pairs, "a", "b"), "groups")
+    count = pairs.count()
+    parts = pairs.join(groups.select(F.col("node").alias("a"), "component"), "a")
+    large = materialize(parts.groupBy("component").count().where(F.col("count") > GROUP).select("component"), "large")
+    some_large = not large.isEmpty()
+    small, own = parts, lines.join(groups, "node")
+    if some_large:
+        small, own = small.join(large, "component", "left_anti"), own.join(large, "component", "left_anti")
+    edges = _verify_groups(small.select("component", "a", "b"), own.select("component", "node", "line"), similarity, math.ceil(count / CALL) or 1)
+    if some_large:
+        first = parts.join(large, "component", "left_semi").join(lines.select(F.col("node").alias("a"), F.col("line").alias("line_a")), "a")
+        edges = edges.unionByName(_verify_pairs(first.join(lines.select(F.col("node").alias("b"), F.col("line").alias("line_b")), "b").select("a", "b", "line_a", "line_b"), similarity))
+    if not crowds.isEmpty():
+        edges = edges.unionByName(_verify_crowds(crowds.join(lines, "node"), similarity))
+    roots = materialize(connected_components(edges).withColumnRenamed("component", "root"), "roots")
+    for frame in (met, lines, groups, large):
+        discard(frame)
+    return roots
+
+
+def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, dkey, no)``: the lines that go, by document id, hash of its text, and line number from 0.
+
+    Where rows repeat, so do these.
+    """
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
+    volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = materialize(_occurrences(base), "found")
+    place = F.struct("id", "dkey", "no")
+    kinds = materialize(found.groupBy("node", "bag").agg(F.min(place).alias("place"), F.count("*").alias("n")), "kinds")
+    roots = similar_kinds(base, kinds, similarity, volume)
+    # of a kind that nothing is similar to, the whole hash is the group's; else the root is
+    grouped = kinds.join(roots, "node", "left").select("node", "bag", "place", "n", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("bag")).otherwise(F.lit(0)).alias("apart"))
+    single = grouped.where("n > 1 and apart <> 0").select("node", "bag", F.col("place").alias("keep"))
+    joint = grouped.where("apart = 0")
+    keep = joint.groupBy("root").agg(F.min("place").alias("keep"))
+    verdicts = single.unionByName(joint.join(keep, "root").select("node", "bag", "keep"))
+    gone = found.join(verdicts, ["node", "bag"]).where(~(place == F.col("keep"))).select("id", "dkey", "no")
+    out = materialize(gone, "gone")
     discard(found), discard(kinds), discard(roots)
     return out

@@ -248,9 +248,8 @@ def brute_lines(rows):
 
 
 def test_line_dedup_against_brute_force(documents):
-    some = documents.where("n_chars < 3000")
-    want = brute_lines([(r["doc_id"], r["text"]) for r in some.collect()])
-    got = {(r["id"], r["no"]) for r in line_dedup.removed_lines(some).collect()}
+    want = brute_lines([(r["doc_id"], r["text"]) for r in documents.collect()])
+    got = {(r["id"], r["no"]) for r in line_dedup.removed_lines(documents).collect()}
     assert len(got & want) >= 0.95 * len(want) > 0 and len(got - want) <= 0.02 * len(want)
 
 
@@ -296,7 +295,7 @@ def test_line_dedup_of_fuzzy_lines(spark):
     rows = [(1, base + "\nshort line"), (2, "something else entirely stands here in this line\n" + base.replace("lazy", "lazyy").upper()), (3, "short line\n" + base + "!"), (4, base.replace("dog", "cow"))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}
-    assert got == {1: rows[0][1], 2: "something else entirely stands here in this line", 3: "short line", 4: ""}
+    assert got == {1: rows[0][1], 2: "something else entirely stands here in this line", 3: "", 4: ""}
 
 
 def test_line_dedup_of_lines_of_few_words(spark):
@@ -310,11 +309,45 @@ def test_line_dedup_of_messy_rows(messy, nothing):
     got = line_dedup.dedup_lines(messy)
     assert got.columns == messy.columns
     rows = Counter((r["doc_id"], r["text"]) for r in got.collect())
-    assert rows[1, TEXT] == 1 and rows[2, ""] == 0 and rows[2, "".join([])] == 0 or rows[2, ""] == 2
-    assert rows[None, TEXT] == 1 and rows[None, None] == 1 and rows[4, None] == 1 and rows[3, ""] == 1 and rows[5, LONG] == 1 and sum(rows.values()) == len(ROWS)
+    assert rows == Counter({(1, TEXT): 1, (2, ""): 2, (3, ""): 1, (4, None): 1, (None, TEXT): 1, (None, None): 1, (5, LONG): 1, (6, "   \n\n "): 1, (7, "one"): 1, (7, ROWS[-1][1]): 1})
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_by_crowds_and_large_groups(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for _ in range(4):
+        base = [word() for _ in range(20)]
+        for _ in range(30):
+            own = list(base)
+            for k in rng.sample(range(20), rng.randint(0, 3)):
+                own[k] = own[k][:-1] + rng.choice("xyz")
+            rows.append((len(rows), " ".join(own)))
+        rows += [(len(rows) + k, " ".join(base[:10] + [word() for _ in range(10)])) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_lines(rows)
+    usual = {(r["id"], r["no"]) for r in line_dedup.removed_lines(docs).collect()}
+    for name, value in {"WIDE": 3, "SPARSE": 0, "PROBED": 5, "TILE": 4, "GROUP": 1}.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    assert usual == want == {(r["id"], r["no"]) for r in line_dedup.removed_lines(docs).collect()}
+
+
+def test_distances_of_many_pairs():
+    rng = random.Random(4)
+    pairs, most = [], []
+    for _ in range(600):
+        a = [rng.choice("abcdé字") for _ in range(rng.choice([3, 40, 90, 300, 600]))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 7 + 1)):
+            k = rng.randrange(len(b))
+            b[k : k + 1] = rng.choice([[], ["x"], ["y", b[k]]]) if len(b) > 1 else ["x"]
+        pairs.append(("".join(a), "".join(b)) if rng.random() < 0.5 else ("".join(b), "".join(a)))
+        most.append(int(max(len(a), len(b)) * 0.1) + rng.randrange(3))
+    want = [line_dedup.edit_distance(a, b, 10**6) <= m for (a, b), m in zip(pairs, most)]
+    assert line_dedup.distances_within(pairs, most) == want and 0 < sum(want) < len(want)
+
+
 def test_edit_distance():
     rng = random.Random(1)
 
