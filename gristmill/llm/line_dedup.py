@@ -62,8 +62,8 @@ SIMILARITY = 0.9
 BLOCKS = 4
 #: Lines up to ``TWO_OUT`` words (and one more) have keys with one and with any two words left out; from
 #: ``PAIRED`` up to ``ONE_OUT`` words keys of two of five parts; longer ones keys of single parts of
-#: ``PART_WORDS`` words or more, ``PARTS`` at most, and of ``SAMPLED`` runs of ``RUN`` words, chosen by hash.
-TWO_OUT, PAIRED, ONE_OUT, PARTS, SAMPLED, RUN = 12, 10, 25, 12, 4, 5
+#: ``PART_WORDS`` words or more, ``PARTS`` at most.
+TWO_OUT, PAIRED, ONE_OUT, PARTS = 12, 10, 25, 12
 PART_WORDS = np.array([4] + [int(6 * 1.5**i) for i in range(40)], np.int64)
 #: Buckets of letters in a profile.
 LETTERS = 12
@@ -290,14 +290,6 @@ def line_keys(lines: Lines, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 if len(own):
                     p = at[own] + begin[own]
                     add(_part_key(lines.total[p + words[own]] - lines.total[p], number, words[own])[:, None], long[own], 1 << 20)
-        runs = n - RUN + 1
-        heads = np.cumsum(runs) - runs
-        p = np.repeat(at - heads, runs) + np.arange(runs.sum())
-        run = mix(lines.total[p + RUN] - lines.total[p])
-        for k in range(SAMPLED):
-            least = np.minimum.reduceat(np.where(run & np.uint64(SAMPLED - 1) == k, run, ~np.uint64(0)), heads)
-            own = np.flatnonzero(least != ~np.uint64(0))
-            add(least[own][:, None], long[own], 1 << 22)
     for k, block in enumerate(lines.simhash(rows).T if len(rows) else []):
         add(block.astype(np.uint64)[:, None], np.arange(len(rows)), (1 << 23) + k)
     if not found:
@@ -362,35 +354,12 @@ def _at_most(a: str, b: str, most: int) -> bool:
     return cost + sum(map(len, x[i:])) + len(x[i:]) + sum(map(len, y[j:])) + len(y[j:]) <= most
 
 
-class Shape:
-    """What bounds the edit distance of a line from below: its numbers of letters and of runs of three."""
-
-    __slots__ = ("letters", "runs")
-
-    def __init__(self, line: str):
-        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.letters = np.bincount(codes & np.uint32(63), minlength=64)
-        size = 1 << max(10, min(18, (2 * len(line)).bit_length()))
-        run = (codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA77) + codes[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(14) if len(codes) > 2 else codes[:0]
-        self.runs = np.bincount(run & np.uint32(size - 1), minlength=size).astype(np.int32)
-
-    def apart(self, other: Shape, most: int) -> bool:
-        """Whether more than ``most`` edits are needed for sure: an edit changes a letter, and three runs at most."""
-        gap = self.letters - other.letters
-        if max(int(gap[gap > 0].sum()), -int(gap[gap < 0].sum())) > most:
-            return True
-        x, y = self.runs, other.runs
-        if len(x) != len(y):  # the longer table folds onto the shorter
-            size = min(len(x), len(y))
-            x, y = x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)
-        gap = x - y
-        return max(int(gap[gap > 0].sum()), -int(gap[gap < 0].sum())) > 3 * most
-
-
 #: Words of 64 bits of a band up to which many pairs are worked on at once, and pairs at once.
 BAND_WORDS, LANES = 16, 512
-#: Numbers that the shapes kept at a time may have.
-MEMO = 8_000_000
+#: Different characters of a batch up to which their places are kept as bits.
+SYMBOLS = 128
+#: Buckets of pairs of neighbouring characters.
+BIGRAMS = 512
 
 
 def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndarray:
@@ -414,7 +383,17 @@ def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndar
     row = np.repeat(np.arange(lanes), size_b)
     b[row, np.arange(len(flat[1])) - np.repeat(np.cumsum(size_b) - size_b, size_b)] = coded[len(flat[0]) :]
     b = np.ascontiguousarray(b.T)
-    b[b == 0] = coded.max() + 1 if len(known) < 255 else len(known) + 2
+    if tabled := len(known) <= SYMBOLS:  # the places of each symbol as bits, so that a window is a shift
+        across = (a.shape[1] + 63) // 64 + words + 2
+        table = np.zeros((len(known) + 1, lanes, 8 * across), np.uint8)
+        for k in range(1, len(known) + 1):
+            bits = np.packbits(a == k, axis=1, bitorder="little")
+            table[k, :, : bits.shape[1]] = bits
+        table, a = table.view(np.uint64).ravel(), np.zeros((lanes, 0), np.uint8)
+        b = (b.astype(np.int64) * lanes + np.arange(lanes)) * across
+        reach_of = np.arange(words + 1)
+    else:
+        b[b == 0] = len(known) + 2
     plus = np.zeros((lanes, words), np.uint64)
     full = ~np.uint64(0)
     start = [(((1 << reach + 1) - 1) << (width - reach - 1)) >> 64 * w & (1 << 64) - 1 for w in range(words)]
@@ -425,8 +404,11 @@ def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndar
     alive, lowest, ends = np.arange(lanes), int(size_a.min()) - reach, set(size_b.tolist())
     out = np.full(lanes, 1 << 40, np.int64)
     for j in range(steps):
-        window = a[:, j : j + width] == b[j][:, None]
-        match = np.packbits(window, axis=1, bitorder="little").view(np.uint64)
+        if tabled:
+            found = table[(b[j] + (j >> 6))[:, None] + reach_of]
+            match = found[:, :-1] if not j & 63 else found[:, :-1] >> np.uint64(j & 63) | found[:, 1:] << np.uint64(64 - (j & 63))
+        else:
+            match = np.packbits(a[:, j : j + width] == b[j][:, None], axis=1, bitorder="little").view(np.uint64)
         x = match & plus
         total = x + plus
         if words > 1:
@@ -458,6 +440,10 @@ def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndar
         if ended or (j & 63) == 63:
             # a score may still fall by one a step along the last row
             left = (size_b - j - 1 > 0) & (score <= most + np.maximum(0, size_b - np.maximum(j + 1, size_a - reach)))
+            if (j & 63) == 63:  # every way goes through this column: its least value must be in reach
+                steps_up = np.unpackbits(plus.view(np.uint8), axis=1, bitorder="little").view(np.int8) - np.unpackbits(minus.view(np.uint8), axis=1, bitorder="little").view(np.int8)
+                least = score - np.cumsum(steps_up[:, ::-1], axis=1, dtype=np.int16).max(1).clip(0)
+                left &= (least <= most) | (size_a - reach - j <= 1)
             if left.mean() < 0.8:
                 a, plus, minus, score, alive, size_a, size_b, most = (v[left] for v in (a, plus, minus, score, alive, size_a, size_b, most))
                 b = np.ascontiguousarray(b[:, left])
@@ -491,25 +477,8 @@ def distances_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool
     return out
 
 
-def similar_pairs(pairs: list[tuple[str, str]], similarity: float) -> list[bool]:
-    """Whether the edit similarity of each pair is ``similarity`` or more; bounds on either side settle most."""
-    out = [False] * len(pairs)
-    open_, most_of = [], []
-    for k, (a, b) in enumerate(pairs):
-        most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
-        if abs(len(a) - len(b)) > most:
-            continue
-        if _at_most(a, b, most):
-            out[k] = True
-        elif not Shape(a).apart(Shape(b), most):
-            open_.append(k), most_of.append(most)
-    for k, fits in zip(open_, distances_within([pairs[k] for k in open_], most_of)):
-        out[k] = fits
-    return out
-
-
 def similar(a: str, b: str, similarity: float) -> bool:
-    return similar_pairs([(a, b)], similarity)[0]
+    return bool(connecting([(0, 1)], (a, b), Union(), similarity))
 
 
 def _close(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -654,45 +623,60 @@ def _meetings(entries: DataFrame, similarity: float) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(freeing(meet), "crowd long, a long, b long").distinct()
 
 
+def _lost_pairs(lines: list[str], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """For each pair of lines, the pairs of neighbouring characters that one has more often; an edit changes two at most."""
+    table = np.empty((len(lines), BIGRAMS), np.int16)
+    for at in range(0, len(lines), 2048):
+        some = lines[at : at + 2048]
+        codes = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.array(list(map(len, some)), np.int64)
+        owner = np.repeat(np.arange(len(some)), size)
+        both = (codes[:-1] * np.uint32(0x9E3779B1) + codes[1:]) * np.uint32(0x85EBCA77) >> np.uint32(12) & np.uint32(BIGRAMS - 1)
+        inside = owner[1:] == owner[:-1]
+        count = np.bincount((owner[:-1] * BIGRAMS + both)[inside], minlength=len(some) * BIGRAMS)
+        table[at : at + 2048] = np.minimum(count, 32767).reshape(len(some), BIGRAMS)
+    out = np.empty(len(first), np.int64)
+    for at in range(0, len(first), 4096):
+        gap = table[first[at : at + 4096]] - table[second[at : at + 4096]]
+        out[at : at + 4096] = np.maximum(np.maximum(gap, 0).sum(1, dtype=np.int64), np.maximum(-gap, 0).sum(1, dtype=np.int64))
+    return out
+
+
 def connecting(pairs: list[tuple], line_of, known: Union, similarity: float) -> list[int]:
-    """Numbers of pairs of kinds that are similar and connect what no pair before has connected."""
+    """Numbers of pairs of kinds that are similar and connect what no other pair has connected; the most alike go first."""
+    if not pairs:
+        return []
+    kinds = list(dict.fromkeys(x for pair in pairs for x in pair))
+    number = {x: k for k, x in enumerate(kinds)}
+    lines = [line_of[x] for x in kinds]
+    first, second = (np.array([number[pair[k]] for pair in pairs], np.int64) for k in (0, 1))
+    size = np.array(list(map(len, lines)), np.int64)
+    most = (np.maximum(size[first], size[second]) * (1 - similarity) + 1e-9).astype(np.int64)
+    lost = _lost_pairs(lines, first, second)
+    may = np.flatnonzero((np.abs(size[first] - size[second]) <= most) & (lost <= 2 * most))
+    order = may[np.argsort(lost[may] / np.maximum(1, most[may]), kind="stable")]
     found, open_ = [], []
-    shapes, held = {}, 0  # a memo only
-
-    def shape(kind):
-        nonlocal held
-        if kind not in shapes:
-            if held > MEMO:
-                shapes.clear()
-                held = 0
-            shapes[kind] = Shape(line_of[kind])
-            held += len(shapes[kind].runs)
-        return shapes[kind]
-
-    for k, (x, y) in enumerate(pairs):
+    for k in order.tolist():
+        x, y = pairs[k]
         if known.root(x) == known.root(y):
             continue
-        a, b = line_of[x], line_of[y]
-        most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
-        if abs(len(a) - len(b)) > most:
-            continue
-        if _at_most(a, b, most):
+        if _at_most(line_of[x], line_of[y], int(most[k])):
             known.join(x, y)
             found.append(k)
         else:
-            open_.append((k, x, y, most))
+            open_.append(k)
     at, many = 0, LANES
     while at < len(open_):
         some = []
         while at < len(open_) and len(some) < many:
-            k, x, y, most = open_[at]
-            if known.root(x) != known.root(y) and not shape(x).apart(shape(y), most):
+            x, y = pairs[open_[at]]
+            if known.root(x) != known.root(y):
                 some.append(open_[at])
             at += 1
-        for (k, x, y, _), fits in zip(some, distances_within([(line_of[x], line_of[y]) for _, x, y, _ in some], [most for *_, most in some])):
-            if fits and known.join(x, y):
+        for k, fits in zip(some, distances_within([(line_of[pairs[k][0]], line_of[pairs[k][1]]) for k in some], [int(most[k]) for k in some])):
+            if fits and known.join(*pairs[k]):
                 found.append(k)
-        many = min(4 * LANES, 2 * many)
+        many = min(8 * LANES, 2 * many)
     return found
 
 
