@@ -15,15 +15,16 @@ These five and two names aren't features, so pages without them can be read too.
 
 Defined results: a null html gives null text and null counts; empty html, or
 html without text, gives an empty text and no blocks; broken html is read as far
-as it goes; repeated rows are extracted each; null ids are carried along, but not
+as it goes, and in time that grows with its length; repeated rows are extracted each; null ids are carried along, but not
 learned from; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,11 @@ TRAIN_PAGES = 1000
 SMOOTH, STEEPEST = 0.8, 6.0
 RIDGE = 1.0
 
-_TOKEN = re.compile(
-    r"<(script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_START = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9:-]*)|[!?])")
+_RAW = frozenset("script style noscript template textarea svg iframe title".split())
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in _RAW}
+_ATTRIBUTES = re.compile(r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>""")
+_QUOTES = re.compile(r"""[>"']""")
 _CLASS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 _INLINE = frozenset("a b i u s em strong span small big code sub sup mark abbr cite q font label tt kbd var time del ins bdi bdo".split())
@@ -62,10 +63,81 @@ FEATURES = ("bias", "log_words", "link_share", "punctuation", "sentence_end", "m
 
 
 class Block:
-    __slots__ = ("text", "path", "tag", "linked", "bad", "good", "side")
+    __slots__ = ("text", "node", "tree", "tag", "linked", "bad", "good", "side")
+
+    def __init__(self, text, node, tree, tag, linked, bad, good, side):
+        self.text, self.node, self.tree, self.tag, self.linked, self.bad, self.good, self.side = text, node, tree, tag, linked, bad, good, side
+
+
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of ``>`` and quotes, and for each where a tag that goes on there ends, or -1; quotes go in pairs."""
+    after: dict[str, int] = {}
+    found = [m.start() for m in _QUOTES.finditer(page)]
+    end = [-1] * (len(found) + 1)
+    for i in range(len(found) - 1, -1, -1):
+        sign = page[found[i]]
+        if sign == ">":
+            end[i] = found[i]
+        else:
+            close = after.get(sign)
+            end[i] = end[close + 1] if close is not None else -1
+            after[sign] = i
+    return found, end
 
-    def __init__(self, text, path, tag, linked, bad, good, side):
-        self.text, self.path, self.tag, self.linked, self.bad, self.good, self.side = text, path, tag, linked, bad, good, side
+
+def _tokens(page: str):
+    """``(start, end, kind, tag, closing, attributes)`` of the markup in order; kind is tag, raw, cdata or skip.
+
+    What has no end is text, but for comments and raw elements, which go on to the
+    page's end. The page is gone over a few times at most, whatever stands in it.
+    """
+    at, size, last, ends = 0, len(page), page.rfind(">"), None
+    cdata = page.rfind("]]>")
+    while True:
+        start = page.find("<", at)
+        if start < 0 or start > last and not page.startswith("<!--", start):
+            # without a further end only a comment can still begin
+            start = page.find("<!--", max(start, at)) if start >= 0 else -1
+            if start < 0:
+                return
+        m = _START.match(page, start)
+        if m is None:
+            at = start + 1
+            continue
+        tag = m.group(2)
+        if tag is None:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                at = size if end < 0 else end + 3
+                yield start, at, "skip", "", "", ""
+            elif cdata > start and page.startswith("<![CDATA[", start):
+                at = page.find("]]>", start + 9) + 3
+                yield start, at, "cdata", "", "", ""
+            else:
+                at = page.find(">", start) + 1
+                yield start, at, "skip", "", "", ""
+            continue
+        tag = tag.lower()
+        whole = re.split("[:-]", tag, maxsplit=1)[0]
+        if whole in _RAW and not m.group(1):
+            opened = page.find(">", m.end()) + 1
+            close = _RAW_ENDS[whole].search(page, opened)
+            at = close.end() if close else size
+            yield start, at, "raw", whole, "", ""
+            continue
+        if ends is None:
+            found = _ATTRIBUTES.match(page, m.end())
+            if found:
+                at = found.end()
+                yield start, at, "tag", tag, m.group(1), page[m.end() : at - 1]
+                continue
+            ends = _tag_ends(page)  # quotes that don't close: look up from now on, or each tag would search the rest
+        stop = ends[1][bisect.bisect_left(ends[0], m.end())]
+        if stop < 0:
+            at = start + 1
+            continue
+        at = stop + 1
+        yield start, at, "tag", tag, m.group(1), page[m.end() : stop]
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -73,10 +145,12 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     # open elements: (tag, number, bad hint, good hint, side)
     stack: list[tuple[str, int, int, int, int]] = []
+    opened: Counter = Counter()
+    # each element's parent and depth; the page itself is element 0
+    tree: tuple[list[int], list[int]] = ([0], [0])
     parts: list[str] = []
     linked = number = in_link = at = 0
     top = root = ("", 0, 0, 0, 0)
-    path: tuple[int, ...] = ()
 
     def flush():
         nonlocal linked
@@ -84,24 +158,27 @@ def blocks_of(page: str) -> list[Block]:
         parts.clear()
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
-            out.append(Block(text, path, top[0], min(linked, len(text)), top[2], top[3], top[4]))
+            out.append(Block(text, top[1], tree, top[0], min(linked, len(text)), top[2], top[3], top[4]))
         linked = 0
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
+    def pop():
+        opened[stack.pop()[0]] -= 1
+
+    for start, end, kind, tag, closing, attributes in _tokens(page):
+        if start > at:
+            parts.append(page[at:start])
             if in_link:
                 linked += len(parts[-1].strip())
-        at = m.end()
-        tag = m.group(3)
-        if tag is None:
-            if m.group(1):
-                if parts:
-                    flush()
-            elif page.startswith("<![CDATA[", m.start()):
-                parts.append(page[m.start() + 9 : at - 3])
+        at = end
+        if kind == "raw":
+            if parts:
+                flush()
+            continue
+        if kind == "cdata":
+            parts.append(page[start + 9 : end - 3])
+            continue
+        if kind == "skip":
             continue
-        tag, closing, attributes = tag.lower(), m.group(2), m.group(4)
         if tag == "a":
             in_link = 0 if closing else 1
             continue
@@ -113,30 +190,31 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             flush()
         if closing:  # an end tag closes the elements inside it; one that isn't open is ignored
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    in_link = 0
-                    break
+            if opened[tag]:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+                in_link = 0
         elif tag in _VOID or attributes.endswith("/"):
             continue
         else:
             for same in _ENDS.get(tag, ()):
                 if stack and stack[-1][0] == same:
-                    stack.pop()
+                    pop()
             if tag not in _ENDS:
                 while stack and stack[-1][0] == "p":  # a block ends an open paragraph
-                    stack.pop()
+                    pop()
             number += 1
-            _, _, bad, good, side = stack[-1] if stack else root
+            _, parent, bad, good, side = stack[-1] if stack else root
+            tree[0].append(parent), tree[1].append(len(stack) + 1)
             if attributes:
                 names = " ".join(x or y or z for x, y, z in _CLASS.findall(attributes))
                 if names:
                     bad, good = bad or int(bool(_HINTS[0].search(names))), good or int(bool(_HINTS[1].search(names)))
             side = -1 if tag in _BOILER else 1 if tag in _CONTENT and side == 0 else side
             stack.append((tag, number, bad, good, side))
+            opened[tag] += 1
         top = stack[-1] if stack else root
-        path = tuple([x[1] for x in stack])
     if at < len(page):
         parts.append(page[at:])
     flush()
@@ -215,20 +293,22 @@ def smooth_edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
     edges: dict[tuple[int, int], float] = {}
 
     def link(i: int, j: int):
-        a, b = blocks[i].path, blocks[j].path
-        same = 0
-        for x, y in zip(a, b):
-            if x != y:
-                break
-            same += 1
-        apart = len(a) + len(b) - 2 * same
+        a, b = blocks[i].node, blocks[j].node
+        parent, depth = blocks[i].tree
+        apart = 0  # a block is no farther from the one before than there are tags between them
+        while a != b:
+            if depth[a] >= depth[b]:
+                a = parent[a]
+            else:
+                b = parent[b]
+            apart += 1
         edges[i, j] = SMOOTH / (1 + apart)
 
     last: dict[int, int] = {}
     for j, block in enumerate(blocks):
         if j:
             link(j - 1, j)
-        parent = block.path[-2] if len(block.path) > 1 else 0
+        parent = block.tree[0][block.node]
         i = last.get(parent)
         if i is not None and i != j - 1:
             link(i, j)

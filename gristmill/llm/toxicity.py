@@ -23,6 +23,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
@@ -136,7 +138,13 @@ class Lexicon:
         self._scan(self._plain, folded, found, safe)
         if _MIXED.search(folded):
             self._scan(self._read, fold_digits(folded), found, safe)
-        hits = [(a, b, w) for a, (b, w) in sorted(found.items()) if not any(x <= a and b <= y for x, y in safe)]
+        safe.sort()
+        starts, ends = [x for x, _ in safe], list(itertools.accumulate((y for _, y in safe), max))
+        hits = []
+        for a, (b, w) in sorted(found.items()):
+            k = bisect.bisect_right(starts, a)  # of the phrases that begin no later, the farthest reaching
+            if not k or ends[k - 1] < b:
+                hits.append((a, b, w))
         return folded.count(" ") + 1, [(folded[a : b + 1], w) for a, b, w in hits]
 
     def score(self, text: str) -> tuple[int, int, float, list[str]]:
