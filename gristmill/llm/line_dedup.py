@@ -82,6 +82,8 @@ _LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Thai, Lao, Burmese, Khmer, kana, Chinese and Yi characters.
 _UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿ꀀ-꓏豈-﫿\U00020000-\U0003ffff])")
+#: Bytes that characters of these begin with.
+_HIGH = re.compile(b"[\xe0-\xf4]")
 
 
 def normalise(line: str) -> str:
@@ -145,7 +147,7 @@ class Lines:
         parts = []
         for text in texts:
             part = fold(text).translate(_LINE)
-            if not part.isascii() and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
+            if _HIGH.search(part) and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
                 part = _UNSPACED.sub("\x1f\\1\x1f", own).encode("utf-8", "surrogatepass")
             parts.append(part)
         blob = b"\n".join([*parts, b"       "])
@@ -758,8 +760,9 @@ def _squeezed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, work, StructType([*docs.schema.fields[:-1], StructField("z", BinaryType())]))
 
 
-def _unsqueezed(z: bytes | None) -> str | None:
-    return None if z is None else zstandard.ZstdDecompressor().decompress(z).decode("utf-8", "surrogatepass")
+def _unsqueezed(column) -> list[str | None]:
+    unzip = zstandard.ZstdDecompressor().decompress
+    return [None if z is None else unzip(z).decode("utf-8", "surrogatepass") for z in column.to_pylist()]
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -776,8 +779,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     def rebuild(batch):
         for part in cut(batch, len(others), SLICE):
             texts = []
-            for z, lines in zip(part.column(len(others)).to_pylist(), part.column(len(others) + 1).to_pylist()):
-                text = _unsqueezed(z)
+            for text, lines in zip(_unsqueezed(part.column(len(others))), part.column(len(others) + 1).to_pylist()):
                 if text and lines:
                     key = document_key(text)
                     drop = {x["no"] for x in lines if x["dkey"] == key}
@@ -818,8 +820,7 @@ def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
     def pick(batch):
         for part in cut(batch, 0, SLICE):
             nodes, lines = [], []
-            for z, wishes in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                text = _unsqueezed(z)
+            for text, wishes in zip(_unsqueezed(part.column(0)), part.column(1).to_pylist()):
                 key, own = document_key(text), None
                 for wish in wishes:
                     if wish["dkey"] == key:
