@@ -47,7 +47,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_join(_read(spark, sf_dir, "documents"))
+    return ngram_join.ngram_classes(_read(spark, sf_dir, "documents"))
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,7 +183,7 @@ def test_em_by_patterns_equals_em_by_documents():
 
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    got = quality.judge(docs).join(labels, "doc_id").groupBy("quality_1" if False else labels["quality"].alias("truth"), "keep").count().collect()
+    got = quality.judge(docs).join(labels, "doc_id").groupBy(labels["quality"].alias("truth"), "keep").count().collect()
     n = {(r["truth"], r["keep"]): r["count"] for r in got}
     assert n.get((1, False), 0) <= 0.005 * n[1, True]
     assert n[0, False] / (n[0, False] + n.get((0, True), 0)) >= 0.85
@@ -367,27 +367,72 @@ def test_edit_distance():
 # 9: n-gram Jaccard join
 
 
-def brute_pairs(rows, threshold):
-    sets = [(i, set(shingles(*hash_words([fold(t)]), ngram_join.N)[0].tolist())) for i, t in rows if i is not None and t]
+def check_classes(docs, rows, threshold=ngram_join.THRESHOLD):
+    """Classes, copies and links of every id, and the pairs of sets, against all pairs of rows."""
+    sets = [(i, frozenset(shingles(*hash_words([fold(t)]), ngram_join.N)[0].tolist())) for i, t in rows if i is not None and t]
     sets = [(i, s) for i, s in sets if s]
-    return Counter(
-        tuple(sorted((a, b))) for (a, s), (b, t) in itertools.combinations(sets, 2) if min(len(s), len(t)) >= threshold * max(len(s), len(t)) and len(s & t) / len(s | t) >= threshold - 1e-12
-    )
+    ids = {i for i, _ in rows if i is not None}
+    parent = {i: i for i in ids}
 
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
 
-def found_pairs(result):
-    out = Counter()
-    for r in result.collect():
-        same = r["docs_a"] == r["docs_b"]
-        for a, b in itertools.combinations(r["docs_a"], 2) if same else itertools.product(r["docs_a"], r["docs_b"]):
-            out[tuple(sorted((a, b)))] += 1
-    return out
+    near = defaultdict(set)
+    kinds, lowest = Counter(s for _, s in sets), {}
+    for i, s in sets:
+        lowest[s] = min(i, lowest.get(s, i))
+    for s, t in itertools.combinations(kinds, 2):
+        if min(len(s), len(t)) >= threshold * max(len(s), len(t)) and len(s & t) / len(s | t) >= threshold - 1e-12:
+            near[s].add(t), near[t].add(s)
+    for i, s in sets:
+        for j in [lowest[s], *(lowest[t] for t in near[s])]:
+            a, b = sorted((root(i), root(j)))
+            parent[b] = a
+    # rows under one id don't connect classes of their own accord
+    copies, links, classes = Counter(), Counter(), defaultdict(list)
+    of_set = {}
+    for s in kinds:
+        seen, stack = {s}, [s]
+        while stack:
+            for t in near[stack.pop()] - seen:
+                seen.add(t), stack.append(t)
+        of_set[s] = min(lowest[t] for t in seen)
+    for i, s in set(sets):
+        copies[i] += kinds[s] - 1
+        links[i] += sum(kinds[t] for t in near[s])
+        classes[i].append(of_set[s])
+    got = {r[0]: tuple(r)[1:] for r in ngram_join.ngram_classes(docs).collect()}
+    assert got == {i: (min(classes[i], default=i), copies[i], links[i]) for i in ids}
+    pairs = Counter((r["doc_a"], r["doc_b"]) for r in ngram_join.ngram_join(docs).collect())
+    assert pairs == Counter(tuple(sorted((lowest[s], lowest[t]))) for s in near for t in near[s] if id(s) < id(t))
+    return sum(links.values())
 
 
 def test_ngram_join_against_brute_force(documents):
-    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
-    want = set(brute_pairs(rows, ngram_join.THRESHOLD))
-    assert set(found_pairs(ngram_join.ngram_join(documents))) == want and want
+    assert check_classes(documents, [(r["doc_id"], r["text"]) for r in documents.collect()]) > 0
+
+
+def test_ngram_join_of_hot_ngrams(spark):
+    """A passage that all documents share, in texts of many lengths; many more than a hot n-gram needs."""
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(30)]
+    rows = [(k, " ".join([f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 0, 1, 5, 20, 40, 80]))] + shared)) for k in range(150)]
+    assert check_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), rows) > 0
+
+
+def test_thinning_keeps_what_connects():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        size = np.sort(rng.integers(1, 2000, 300) ** rng.integers(1, 3))
+        sent, joined = ngram_join.thin(np.zeros(300, np.uint64), size, 0.4, 5)
+        assert {0, 299} <= set(sent.tolist()) and len(sent) < 150
+        for other in rng.integers(1, size[-1] + 1, 50):  # a row that may meet some may meet one that is sent
+            if ((np.minimum(size, other) >= 0.4 * np.maximum(size, other))).any() and size[0] <= other:
+                below = size[sent][size[sent] <= other][-1]
+                above = size[sent][size[sent] >= other][:1]
+                assert below >= 0.4 * other or (len(above) and other >= 0.4 * above[0])
 
 
 def test_ngram_join_keeps_one(spark):
@@ -398,11 +443,10 @@ def test_ngram_join_keeps_one(spark):
 
 
 def test_ngram_join_of_messy_rows(messy, nothing):
-    got = set(found_pairs(ngram_join.ngram_join(messy)))
-    assert got == set(brute_pairs([(r[0], r[1]) for r in ROWS], ngram_join.THRESHOLD))
+    check_classes(messy, [(r[0], r[1]) for r in ROWS])
     kept = ngram_join.keep_one(messy)
     assert kept.columns == messy.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "4", "5", "6", "7", "7", "None", "None"])
-    assert ngram_join.ngram_join(nothing).count() == 0 and ngram_join.keep_one(nothing).count() == 0
+    assert ngram_join.ngram_join(nothing).count() == 0 and ngram_join.ngram_classes(nothing).count() == 0 and ngram_join.keep_one(nothing).count() == 0
 
 
 # 10: HTML extraction
