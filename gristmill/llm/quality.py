@@ -11,6 +11,12 @@ There are at most ``3 ** len(RULES)`` patterns however large the corpus is, so
 the driver iterates over a small table; the documents are read once to count and
 once to judge.
 
+Rules know no language but by a table: a document whose ``lang`` (its first two
+letters) has no list of stop words gets no bad vote for lack of them, nor does one
+without a language. In scripts without spaces each character counts as a word.
+However rare a bad vote is among good documents, it isn't held to be rarer than
+``LEAST_BAD``, so a single one doesn't outweigh many good ones.
+
 Defined results: a null or wordless text has no votes and a null quality, and is
 rejected because it holds nothing. Repeated rows are judged each and count each;
 null ids are carried along; other columns are ignored, and kept as they are by
@@ -40,25 +46,36 @@ ROUNDS, SETTLED = 500, 1e-10
 #: votes: most documents are good; a fault shows to few of the rules, so a bad
 #: document gets a bad vote from one rule in four, a good one hardly any.
 PRIOR, GOOD_SHARE, BAD_VOTES_OF_BAD, BAD_VOTES_OF_GOOD = 0.02, 0.85, 0.25, 0.005
-
-STOP_WORDS = frozenset(
-    "the be to of and that have with a is in it for was on are this from an as at by or not you"  # en
-    " le la les de des du et que une dans est un en au pour qui avec sur par pas il ne se"  # fr
-    " der die und das ist nicht von zu den mit ein eine dem sich des auf im für auch als"  # de
-    " el los las del y una por con para es lo su al más como se no".split()  # es
-)
+#: The least chance of a bad vote that a good document is given.
+LEAST_BAD = 0.02
+
+#: By language; what isn't here abstains.
+STOP_WORDS = {
+    "en": frozenset("the be to of and that have with a is in it for was on are this from an as at by or not you".split()),
+    "fr": frozenset("le la les de des du et que une dans est un en au pour qui avec sur par pas il ne se".split()),
+    "de": frozenset("der die und das ist nicht von zu den mit ein eine dem sich des auf im für auch als".split()),
+    "es": frozenset("el la de que en los las del y una por con para es lo su al más como se no".split()),
+}
+_ANY_STOP_WORDS = frozenset().union(*STOP_WORDS.values())
+#: Characters of scripts without spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]")
 _MARKS = frozenset("#$%&*<>{}[]|\\^~=_+@")
 _MARK = re.compile(r"[#$%&*<>{}\[\]\\^~=_+@]{2,}")
-_END = (".", "!", "?", ":", ";", '"', "'", ")", "…", "»", "”")
+_END = (".", "!", "?", ":", ";", '"', "'", ")", "…", "»", "”", "“", "’", "。", "！", "？", "：", "；", "」", "』", "）", "।", "؟", "۔", "։", "።")
 
 
 class Facts:
     """What the rules look at, of one text with words."""
 
-    __slots__ = ("words", "n", "lines", "text", "distinct", "counts")
+    __slots__ = ("words", "n", "lines", "text", "distinct", "counts", "unspaced", "lang")
 
-    def __init__(self, text: str, words: list[str]):
-        self.text, self.words, self.n = text, words, len(words)
+    def __init__(self, text: str, words: list[str], lang: str | None = None):
+        self.unspaced = False
+        if not text.isascii() and _UNSPACED.search(text):
+            inside = len(_UNSPACED.findall(text))
+            if inside > 0.3 * len(text.replace(" ", "")):
+                self.unspaced, words = True, _UNSPACED.sub(lambda m: f" {m.group()} ", text).split()
+        self.text, self.words, self.n, self.lang = text, words, len(words), lang
         self.lines = [x for x in (line.strip() for line in text.split("\n")) if x]
         self.counts = Counter(words)
         self.distinct = len(self.counts)
@@ -70,7 +87,7 @@ def _vote(value: float, good: float, bad: float) -> int:
 
 
 def word_length(f: Facts) -> int:
-    if f.n < 5:
+    if f.n < 5 or f.unspaced:
         return ABSTAIN
     mean = (len(f.text) - f.text.count(" ")) / f.n
     return BAD if mean < 2.5 or mean > 14 else GOOD if 3 <= mean <= 11 else ABSTAIN
@@ -121,10 +138,12 @@ def commonest(f: Facts) -> int:
 
 
 def stop_words(f: Facts) -> int:
-    if f.n < 20:
+    if f.n < 20 or f.unspaced:
         return ABSTAIN
-    found = sum(c for w, c in f.counts.items() if w in STOP_WORDS or w.lower() in STOP_WORDS)
-    return GOOD if found / f.n >= 0.06 else BAD if found / f.n < 0.01 else ABSTAIN
+    own = STOP_WORDS.get(f.lang[:2].lower()) if f.lang else None
+    known = own or _ANY_STOP_WORDS
+    found = sum(c for w, c in f.counts.items() if w in known or w.lower() in known)
+    return GOOD if found / f.n >= 0.06 else BAD if own and found / f.n < 0.01 else ABSTAIN
 
 
 def sentences(f: Facts) -> int:
@@ -145,18 +164,18 @@ def bars(f: Facts) -> int:
 RULES = (word_length, capitals, marks, exclamations, stutter, repeated_lines, vocabulary, commonest, stop_words, sentences, bars)
 
 
-def votes_of(text: str | None) -> list[int] | None:
+def votes_of(text: str | None, lang: str | None = None) -> list[int] | None:
     """The votes of all rules on a text, or None if it has no words."""
     words = text.split() if text else []
     if not words:
         return None
-    facts = Facts(text, words)
+    facts = Facts(text, words, lang)
     return [rule(facts) for rule in RULES]
 
 
-def pattern_of(text: str | None) -> int:
+def pattern_of(text: str | None, lang: str | None = None) -> int:
     """The votes as digits to base 3; -1 for a text without words."""
-    votes = votes_of(text)
+    votes = votes_of(text, lang)
     return -1 if votes is None else sum(v * 3**i for i, v in enumerate(votes))
 
 
@@ -189,6 +208,8 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rules: int = len(RULES)) -> tu
         if abs(now - before) < SETTLED:
             break
         before = now
+    table[GOOD, :, BAD] = np.maximum(table[GOOD, :, BAD], LEAST_BAD)
+    table[GOOD, :, GOOD] = 1 - table[GOOD, :, BAD]
     return share, table
 
 
@@ -200,17 +221,14 @@ def posterior(patterns: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.
     return 1 / (1 + np.exp(joint[:, BAD] - joint[:, GOOD]))
 
 
-def count_patterns(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(pattern, n)`` over all documents; each batch is counted before anything is shuffled."""
+def _with_language(docs: DataFrame, text_col: str, lang_col: str):
+    """Text and language columns; a table without the latter has none."""
+    lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    return F.col(f"`{text_col}`").alias("text"), lang.alias("lang")
 
-    def work(batch):
-        found: Counter = Counter()
-        for part in cut(batch, 0):
-            found.update(map(pattern_of, part.column(0).to_pylist()))
-        yield [pa.array(list(found.keys()), pa.int64()), pa.array(list(found.values()), pa.int64())]
 
-    schema = StructType([StructField("pattern", LongType()), StructField("n", LongType())])
-    return map_arrow(docs.select(F.col(f"`{text_col}`").alias("text")), work, schema).groupBy("pattern").agg(F.sum("n").alias("n"))
+def _patterns(part: pa.RecordBatch, at: int) -> pa.Array:
+    return pa.array(list(map(pattern_of, part.column(at).to_pylist(), part.column(at + 1).to_pylist())), pa.int64())
 
 
 def posteriors(counts: DataFrame) -> dict[int, float]:
@@ -226,7 +244,7 @@ def letters(pattern: int) -> str:
     return "".join("bg-"[pattern // 3**i % 3] for i in range(len(RULES))) if pattern >= 0 else "-" * len(RULES)
 
 
-def judge(docs: DataFrame, keep_at: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, keep_at: float = KEEP, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(id, votes, quality, keep)`` for every row.
 
     ``votes`` has a letter for each of ``RULES``: g good, b bad, - abstains. The
@@ -236,10 +254,10 @@ def judge(docs: DataFrame, keep_at: float = KEEP, id_col: str = "doc_id", text_c
 
     def work(batch):
         for part in cut(batch, 1):
-            yield [part.column(0), pa.array(list(map(pattern_of, part.column(1).to_pylist())), pa.int64())]
+            yield [part.column(0), _patterns(part, 1)]
 
     kind = docs.schema[id_col].dataType
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), *_with_language(docs, text_col, lang_col))
     rows = materialize(map_arrow(slim, work, StructType([StructField("id", kind), StructField("pattern", LongType())])), "votes")
     chances = docs.sparkSession.sparkContext.broadcast(posteriors(rows.groupBy("pattern").agg(F.count("*").alias("n"))))
 
@@ -253,17 +271,21 @@ def judge(docs: DataFrame, keep_at: float = KEEP, id_col: str = "doc_id", text_c
     return map_arrow(rows, look_up, StructType([StructField(id_col, kind), StructField("votes", StringType()), StructField("quality", DoubleType()), StructField("keep", BooleanType())]))
 
 
-def keep_good(docs: DataFrame, keep_at: float = KEEP, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rejected rows; all columns as they are, nothing is shuffled but pattern counts."""
-    chances = docs.sparkSession.sparkContext.broadcast(posteriors(count_patterns(docs, text_col)))
-    at = docs.columns.index(text_col)
-    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+def keep_good(docs: DataFrame, keep_at: float = KEEP, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the rejected rows; all columns as they are, nothing is shuffled but pattern counts.
 
-    def work(batch):
-        known = chances.value
-        for part in cut(batch, at):
-            # what occurs in the corpus has a posterior; a text without words has none
-            stay = pa.array([known.get(pattern_of(t), 0.0) >= keep_at for t in part.column(at).to_pylist()], pa.bool_())
-            yield [pc.filter(c, stay) for c in part.columns]
+    The rules are applied once: rows are written to the shared folder with their patterns.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    flat = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], *_with_language(docs, text_col, lang_col))
+    last = len(names)
 
-    return map_arrow(flat, work, flat.schema).toDF(*docs.columns)
+    def work(batch):
+        for part in cut(batch, last):
+            yield [*part.columns[:last], _patterns(part, last)]
+
+    rows = materialize(map_arrow(flat, work, StructType([*flat.schema.fields[:last], StructField("pattern", LongType())])), "judged")
+    chances = posteriors(rows.groupBy("pattern").agg(F.count("*").alias("n")))
+    good = [(p,) for p, chance in chances.items() if chance >= keep_at]
+    known = docs.sparkSession.createDataFrame(good, "good long")  # 3 ** rules at most
+    return rows.join(F.broadcast(known), rows["pattern"] == known["good"], "left_semi").select(*names).toDF(*docs.columns)
