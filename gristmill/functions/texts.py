@@ -73,15 +73,22 @@ def pii_values(text: Column) -> Column:
 
 
 def spans_of(text: Column, pattern: str) -> Column:
-    """Half-open code-point spans of all matches, by walking the matched values from left to right."""
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(acc: Column, value: Column) -> Column:
-        found = F.position(value, text, acc["at"])
-        end = found + F.length(value)
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct((found - 1).alias("start"), (end - 1).alias("end")))).alias("out"))
-
-    return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), start, step, lambda acc: acc["out"])
+    """Half-open code-point spans of all matches, by cutting the text at them.
+
+    The pieces between matches and the matches themselves alternate; their lengths
+    add up to the places, however often a matched value stands elsewhere.
+    """
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+
+    def step(acc: Column, pair: Column) -> Column:
+        begin = acc["at"] + F.length(pair["piece"])
+        end = begin + F.length(pair["value"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("out"))
+
+    # a text that begins with a match has an empty piece before it, so pieces are one more than matches
+    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(values))
+    return F.aggregate(F.zip_with(pieces, values, lambda p, v: F.struct(p.alias("piece"), v.alias("value"))), start, step, lambda acc: acc["out"])
 
 
 def pii_spans(text: Column) -> Column:

@@ -20,7 +20,16 @@ RULES = (
 DOMAINS = (("adult-x.example.net",), ("cheap-pills.example.com",), ("free-bets.example.com",), ("example.org",))
 #: (flores_code, canonical, script)
 LANG_MAP = (("en", "eng_Latn", "Latn"), ("de", "deu_Latn", "Latn"), ("fr", "fra_Latn", "Latn"))
-CODES = tuple((c,) for c in "cmn_Hans pes_Arab zsm_Latn swa_Latn ary_Arab ltg_Latn und fra_Latn hbs_Cyrl yue_Hant arb_Arab prs_Arab ace_Arab ekk_Latn eng_Latn".split())
+#: The codes of a web corpus by script, and some that need care.
+SCRIPTS = {
+    "Latn": "ace afr als ast ayr azj bam ban bem bjn bos bug cat ceb ces cjk crh cym dan deu dik ekk eng epo eus ewe fao fij fil fin fon fra frp fur fuv gaz gla gle glg gug hat hau hrv hun ibo ilo ind isl ita"
+    " jav kab kac kam kbp kea kik kin kmb kmr knc ktu lat lij lim lin lit lmo ltg ltz lua lug luo lus lvs min mlt mos mri nld nno nob nso nus nya oci pag pap plt pol por quy ron run sag scn slk slv smo sna som sot spa"
+    " srd ssw sun swe swh szl taq tpi tsn tso tuk tum tur twi umb uzn vec vie war wol xho yor zsm zul",
+    "Cyrl": "bak bel bul kaz khk kir mkd rus srp tat tgk ukr hbs", "Arab": "ace ara fas arb azb bjn ckb kas knc min pbt prs pes snd uig urd ary acm aeb", "Deva": "awa bho hin hne kas mag mai mar npi san",
+    "Hans": "cmn zho", "Hant": "cmn yue", "Beng": "asm ben mni", "Ethi": "amh tir", "Hebr": "heb ydd", "Tibt": "bod dzo", "Tfng": "taq zgh", "Mymr": "mya shn", "Grek": "ell", "Armn": "hye", "Geor": "kat", "Gujr": "guj",
+    "Guru": "pan", "Hang": "kor", "Jpan": "jpn", "Khmr": "khm", "Knda": "kan", "Laoo": "lao", "Mlym": "mal", "Olck": "sat", "Orya": "ory", "Sinh": "sin", "Taml": "tam", "Telu": "tel", "Thai": "tha", "Zxxx": "zxx",
+}
+CODES = tuple((f"{c}_{s}",) for s, codes in SCRIPTS.items() for c in codes.split()) + (("und",), ("unk",), ("swa_Latn",))
 PATHS = (("batch_0007",), ("a/007/batch_010",), ("x_0_00",), ("plain",))
 FILES = (("CC-MAIN-2019-35-x.warc.gz",), ("GOV_AR-1.warc",), ("WIDE-2015.warc",), ("archivebot-3.warc",), ("other.warc",))
 

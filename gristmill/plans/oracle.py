@@ -91,6 +91,18 @@ def lang_case(table: dict[str, str], key: str) -> str:
     return "CASE " + " ".join(f"WHEN {key} = '{a}' THEN '{b}'" for a, b in table.items()) + " END"
 
 
+#: Written apart from the engine's table: three-letter codes of the query's languages with their two-letter ones.
+ISO = dict(x.split("-") for x in (
+    "afr-af ara-ar amh-am asm-as bak-ba bam-bm bel-be ben-bn bod-bo bos-bs bul-bg cat-ca ces-cs cym-cy dan-da deu-de dzo-dz ell-el eng-en epo-eo eus-eu ewe-ee fao-fo fas-fa fij-fj fin-fi fra-fr gla-gd gle-ga glg-gl guj-gu hat-ht hau-ha"
+    " heb-he hin-hi hrv-hr hun-hu hye-hy ibo-ig ind-id isl-is ita-it jav-jv jpn-ja kan-kn kas-ks kat-ka kaz-kk khm-km kik-ki kin-rw kir-ky kor-ko lat-la lao-lo lim-li lin-ln lit-lt ltz-lb lug-lg mal-ml mar-mr mkd-mk mlt-mt mri-mi mya-my"
+    " nld-nl nno-nn nob-nb nya-ny oci-oc pan-pa pol-pl por-pt ron-ro run-rn rus-ru sag-sg san-sa sin-si slk-sk slv-sl smo-sm sna-sn snd-sd som-so sot-st spa-es srd-sc srp-sr ssw-ss sun-su swa-sw swe-sv tam-ta tat-tt tel-te tgk-tg"
+    " tha-th tir-ti tsn-tn tso-ts tuk-tk tur-tr twi-tw uig-ug ukr-uk urd-ur vie-vi wol-wo xho-xh yor-yo zho-zh zul-zu"
+).split())
+OF_MACRO = dict(x.split("-") for x in (
+    "acm-ar aeb-ar arb-ar ary-ar als-sq ayr-ay azb-az azj-az bjn-ms min-ms zsm-ms ckb-ku kmr-ku cmn-zh yue-zh ekk-et fuv-ff gaz-om gug-gn khk-mn knc-kr ltg-lv lvs-lv npi-ne ory-or pbt-ps pes-fa prs-fa plt-mg quy-qu swh-sw uzn-uz ydd-yi"
+).split())
+
+
 def in_list(names) -> str:
     return "(" + ", ".join(f"'{x}'" for x in names) + ")"
 
@@ -134,6 +146,12 @@ PARSED = (
     ("http://therhe.example.org/robots.txt", "therhe.example.org/en/84", True), ("http://therhe.example.org/robots.txt", "therhe.example.org/en/8", False),
 )
 
+#: The same areas by integration on the same grid; of equal costs the fewest rows.
+LSH_PARAMS = """
+WITH g AS (SELECT (unnest(range(1000)) + 0.5) / 1000 AS s), r AS (SELECT unnest(range(1, 256)) AS rows), t AS (SELECT unnest([0.5, 0.7, 0.8, 0.9]) AS threshold),
+c AS (SELECT threshold, 255 // rows AS bands, rows, sum(CASE WHEN s >= threshold THEN pow(1 - pow(s, rows), 255 // rows) ELSE 1 - pow(1 - pow(s, rows), 255 // rows) END) AS cost FROM g, r, t GROUP BY ALL)
+SELECT threshold, CAST(bands AS BIGINT) AS bands, CAST(rows AS BIGINT) AS rows FROM c QUALIFY row_number() OVER (PARTITION BY threshold ORDER BY round(cost, 8), rows) = 1"""
+
 SQL = {
     "segment_stats": f"SELECT doc_id, {N} AS segments, {WORDS} AS words, {CHARS} AS chars, {WORDS} / {N} AS word_avg FROM documents",
     "length_filter": "SELECT doc_id FROM documents WHERE length(text) > 500",
@@ -161,6 +179,7 @@ WHEN regexp_matches(file, '^CC-MAIN-[0-9]{{4}}') THEN substr(file, 1, 12) WHEN s
     "exact_dedup": "SELECT doc_id, lang, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
     "exact_dup_report": r"SELECT sha256(regexp_replace(text, '\s+$', '')) AS digest, count(*) AS copies FROM documents GROUP BY 1 HAVING count(*) > 1",
     "minhash_signature": f"WITH {minhash()} SELECT doc_id, sig FROM documents LEFT JOIN sig USING (doc_id)",
+    "lsh_params": LSH_PARAMS,
     "lsh_bands": f"WITH {minhash()}, {bands()} SELECT * FROM band",
     "lsh_single_band": f"WITH {minhash()}, {bands('[3]')} SELECT * FROM band",
     "near_dup_edges": f"WITH {minhash()}, {bands()}, {edges()} SELECT * FROM edge",
@@ -179,8 +198,8 @@ SELECT code,
   CASE WHEN code IN ('und', 'unk') THEN code WHEN {CODE} IN ('prs', 'pes') THEN 'fas_' || {SCRIPT} WHEN {CODE} IN ('cmn', 'yue') THEN 'zho_' || {SCRIPT}
        WHEN code = 'zsm_Latn' THEN 'msa_Latn' WHEN code = 'swa_Latn' THEN 'swh_Latn' WHEN {CODE} IN {in_list(langs.ARABIC)} THEN 'arb_' || {SCRIPT}
        WHEN {CODE} IN ('lvs', 'ltg') THEN 'lav_Latn' ELSE code END AS score_lang,
-  CASE WHEN {SCRIPT} IN ('Hans', 'Hant') THEN 'zh' ELSE coalesce({lang_case(langs.TWO_LETTER, CODE)}, CASE WHEN {CODE} = 'hbs' THEN 'hbs' END, {lang_case(langs.MACRO, CODE)}, 'any') END AS fixing_lang,
-  CASE WHEN {CODE} = 'hbs' THEN 'hbs' ELSE coalesce({lang_case(langs.TWO_LETTER, CODE)}, 'any') END AS pii_lang,
+  CASE WHEN {SCRIPT} IN ('Hans', 'Hant') THEN 'zh' ELSE coalesce({lang_case(ISO, CODE)}, CASE WHEN {CODE} = 'hbs' THEN 'hbs' END, {lang_case(OF_MACRO, CODE)}, 'any') END AS fixing_lang,
+  CASE WHEN {CODE} = 'hbs' THEN 'hbs' ELSE coalesce({lang_case(ISO, CODE)}, 'any') END AS pii_lang,
   {CODE} IN {in_list(langs.CJK)} AS cjk
 FROM ({inline.values(inline.CODES, 'code')})""",
     "register_lang_gate": f"SELECT code, substr(code, 1, 3) IN {in_list(langs.REGISTER_LANGS)} AS supported, CASE WHEN code IN {in_list(langs.OWN_SCOPE)} THEN 'c1' ELSE 'global' END AS scope FROM ({inline.values(inline.CODES, 'code')})",
@@ -190,7 +209,11 @@ FROM ({inline.values(inline.CODES, 'code')})""",
     "secrets_filter": f"""
 WITH s AS (SELECT DISTINCT secret FROM (SELECT unnest(regexp_extract_all(text, {quoted(texts.SECRET)}, 1)) AS secret FROM documents) WHERE length(secret) > 10)
 SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM s WHERE contains(text, secret))""",
-    "pii_spans": " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(text, {quoted(p)})) AS value FROM documents" for k, p in texts.PII.items()),
+    "pii_spans": " UNION ALL ".join(
+        f"""SELECT doc_id, '{k}' AS kind, v[i] AS value, CAST(before AS INTEGER) AS span_start, CAST(before + length(v[i]) AS INTEGER) AS span_end FROM (
+  SELECT doc_id, v, i, list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: length(x))), 0) AS before
+  FROM (SELECT doc_id, v, p, unnest(range(1, len(v) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {quoted(p)}) AS v, string_split_regex(text, {quoted(p)}) AS p FROM documents)))""" for k, p in texts.PII.items()
+    ),
     "text_fix": f"SELECT doc_id, md5(array_to_string(list_transform(string_split(text, chr(10)), lambda s: CASE WHEN length(s) < {texts.FIX_BELOW} THEN {fixed('s')} ELSE s END), chr(10))) AS digest FROM documents",
     "replacement_char_filter": "SELECT doc_id FROM documents WHERE doc_id % 9 <> 0 AND doc_id % 5 <> 0",
     "clean": f"SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE {REASON} = 'keep' AND quality * 10 >= 5 AND (doc_id % 3 <> 0 OR doc_id % 2 = 0)",

@@ -152,6 +152,12 @@ def minhash_signature(spark, read):
     return minhash.minhash_signature(read("documents"))
 
 
+@query
+def lsh_params(spark, read):
+    """Bands and rows for some thresholds; a function of numbers, not of a table."""
+    return spark.createDataFrame([(t, *minhash.lsh_params(t)) for t in (0.5, 0.7, 0.8, 0.9)], "threshold double, bands long, rows long")
+
+
 @query
 def lsh_bands(spark, read):
     return minhash.lsh_bands(minhash.minhash_signature(read("documents")))
@@ -264,10 +270,11 @@ def secrets_filter(spark, read):
 
 @query
 def pii_spans(spark, read):
-    """Kind and text of each span; the text is cut out by its span."""
+    """Kind, place and text of each span; the text is cut out by its span."""
     docs = read("documents").select("doc_id", "text", *[texts.spans_of(F.col("text"), p).alias(k) for k, p in texts.PII.items()])
+    begin, end = F.col("s.start"), F.col("s.end")
     parts = [
-        docs.select("doc_id", F.lit(k).alias("kind"), "text", F.explode(k).alias("s")).select("doc_id", "kind", F.substr("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("value"))
+        docs.select("doc_id", F.lit(k).alias("kind"), "text", F.explode(k).alias("s")).select("doc_id", "kind", F.substr("text", begin + 1, end - begin).alias("value"), begin.alias("span_start"), end.alias("span_end"))
         for k in texts.PII
     ]
     return ingest.union_collections(*parts)

@@ -7,7 +7,7 @@ import io
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
@@ -35,6 +35,35 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | None = DOCUM
     return raw.select(*[F.coalesce(F.col(f"`{n}`"), *[F.col(f"`{o}`") for o in new_of[n]]).alias(n) for n in schema.fieldNames()])
 
 
+#: Splits of files up to which their numbers of lines are broadcast.
+FEW_SPLITS = 100_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(part, line_no, value)``: lines numbered from 0 in each file; ``part`` is the folder the file is in.
+
+    Files that belong together line by line lie in one folder. No line is moved: a
+    split's lines are counted, and what stands before it in its file is added to the
+    places within it. Compressed files are a split each.
+    """
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__from")]
+    raw = spark.read.text(path).select("value", *place).withColumn("__at", F.monotonically_increasing_id())
+    splits = raw.groupBy("__file", "__from").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("__file").orderBy("__from").rowsBetween(Window.unboundedPreceding, -1)
+    base = splits.select("__file", "__from", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    if base.limit(FEW_SPLITS + 1).count() <= FEW_SPLITS:
+        base = F.broadcast(base)
+    found = raw.join(base, ["__file", "__from"])
+    return found.select(F.regexp_replace("__file", "/[^/]*$", "").alias("part"), (F.col("__base") + F.col("__at") - F.col("__first")).alias("line_no"), "value")
+
+
+def numbered_json(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """``(part, line_no, ...)``: JSON lines with their numbers; a line that can't be read is left out, and counts."""
+    lines = numbered_lines(spark, path).where(~F.contains("value", F.lit("\ufffd")))
+    parsed = lines.withColumn("__x", F.from_json("value", schema)).where("__x is not null")
+    return parsed.select("part", "line_no", "__x.*")
+
+
 def read_external(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines with the file they are from."""
     return spark.read.json(path).withColumn("file", F.input_file_name())

@@ -66,12 +66,120 @@ def test_exact_dedup_and_report(spark):
     assert sorted(r["copies"] for r in dedup.exact_dup_report(frame).collect()) == [2, 3]
 
 
+CLASH = ["component", "cluster_size", "batch", "id", "key", "scope", "band", "n"]
+
+
+def messy(spark):
+    """Repeated ids and rows, null ids and texts, an empty and a very long text, columns with names used inside."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, None), (4, None), (5, ""), (6, ""), (None, "a b c d"), (None, None), (7, long), (8, long), (9, "x y"), (9, "other words")]
+    return spark.createDataFrame([(i, t, *["x"] * len(CLASH)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASH))
+
+
+def ids(frame):
+    return sorted((r["doc_id"] is None, r["doc_id"]) for r in frame.collect())
+
+
+def test_dedup_of_messy_rows(spark):
+    docs = messy(spark)
+    kept = dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns
+    assert [i for _, i in ids(kept)] == [1, 3, 5, 7, 9, 9, None, None]
+    found = minhash.find_components(docs)
+    assert {r["doc_id"]: r["component"] for r in found.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 7, 9: 9}
+    near = dedup.near_dedup(docs, found, add_cluster_size=True)
+    assert [i for _, i in ids(near)] == [1, 1, 3, 4, 5, 6, 7, 9, 9, None, None]
+    assert {r["doc_id"]: r["cluster_size"] for r in near.collect()} == {1: 2, 3: 1, 4: 1, 5: 1, 6: 1, 7: 2, 9: 1, None: 1}
+    assert [i for _, i in ids(dedup.near_dedup(docs, found, duplicates_only=True))] == [2, 8]
+    none = docs.limit(0)
+    assert dedup.exact_dedup(none).count() == 0 and dedup.near_dedup(none, minhash.find_components(none)).count() == 0
+
+
+def test_signatures_equal_the_expressions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars < 2000")
+    a, b = zip(*minhash.coefficients(20))
+    for how in ("whitespace", "char", "vectorizer"):
+        want = docs.select("doc_id", minhash.hashed_tokens(F.col("text"), how).alias("h")).collect()
+        got = {r["doc_id"]: r["sig"] for r in minhash.minhash_signature(docs, 20, how).collect()}
+        for r in want:
+            assert got[r["doc_id"]] == ([min((x * h + y) % minhash.PRIME for h in r["h"]) for x, y in zip(a, b)] if r["h"] else None)
+
+
+def test_near_dedup_reads_texts_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = minhash.minhash_signature(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert "MapInArrow" not in dedup.near_dedup(docs, minhash.find_components(docs))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_text_is_shuffled_for_batches(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = batching.assign_batches(docs.select("doc_id", "source", "text"), 1000, "source").select("doc_id", "batch")._jdf.queryExecution().executedPlan().toString()
+    assert not any("text" in line for line in plan.split("\n") if "Exchange" in line)
+
+
+def test_batches_of_messy_rows(spark):
+    rows = [("a", 1, 5), ("a", 1, 5), ("a", None, 3), (None, 2, 9), ("a", 2, None), ("b", 3, 20)]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], "g string, i int, s long, batch string, __p string")
+    for work in (batching.pack_files, batching.rotate_batches):
+        got = sorted((str(r["g"]), str(r["i"]), r["batch"]) for r in work(frame, "g", "i", "s", 10).collect())
+        assert got == [("None", "2", 1), ("a", "1", 2 if work is batching.pack_files else 1), ("a", "1", 2 if work is batching.pack_files else 1), ("a", "2", 2), ("a", "None", 1), ("b", "3", 1)]
+        assert work(frame.limit(0), "g", "i", "s", 10).count() == 0
+    texts_of = frame.withColumn("text", F.expr("repeat('x', cast(s as int))")).drop("batch")
+    got = sorted((str(r["g"]), str(r["i"]), r["batch"]) for r in batching.assign_batches(texts_of, 10, "g", "i").collect())
+    assert got == [("None", "2", 1), ("a", "1", 1), ("a", "1", 1), ("a", "2", 2), ("a", "None", 1), ("b", "3", 1)]
+
+
+def test_lines_of_files_are_merged(spark, tmp_path):
+    import zstandard
+
+    for part in ("one", "two"):
+        (tmp_path / part).mkdir()
+        for name, lines in (
+            ("metadata", [json.dumps({"u": f"{part}{i}"}) if i != 2 else '{"u": "\ufffd"}' for i in range(40)]), ("text", [json.dumps({"t": f"{part} {i}" if i != 5 else ""}) for i in range(40)]),
+            ("lang", [json.dumps({"lang": ["eng_Latn"] if i != 7 else [], "prob": [0.9 if i != 9 else 0.1]}) for i in range(40)]),
+        ):
+            (tmp_path / part / f"{name}.jsonl.zst").write_bytes(zstandard.ZstdCompressor().compress("\n".join(lines).encode()))
+    read = lambda name, schema: readers.numbered_json(spark, f"{tmp_path}/*/{name}.jsonl.zst", schema)
+    merged = ingest.merge_sources(read("metadata", "u string"), read("text", "t string"), read("lang", "lang array<string>, prob array<double>"), "c")
+    got = merged.collect()
+    assert len(got) == 72 and all(r["text"] == f"{r['u'][:3]} {r['line_no']}" and r["u"] == f"{r['u'][:3]}{r['line_no']}" for r in got)
+    (tmp_path / "plain.txt").write_text("\n".join(map(str, range(5000))))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        lines = readers.numbered_lines(spark, f"{tmp_path}/plain.txt")
+        assert lines.rdd.getNumPartitions() > 1 and all(int(r["value"]) == r["line_no"] for r in lines.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_segments_keep_their_places(spark):
+    rows = spark.createDataFrame([("u1", 0, "This is a test", "en"), ("u1", 1, None, "en"), ("u1", 2, "More Sentences", "en"), ("u2", 0, "Second document", "es")], "url string, k int, text string, lang string")
+    got = {r["url"]: (r["text"], r["langs"]) for r in ingest.group_segments(rows, "url", "k", "text", ("lang",)).collect()}
+    assert got == {"u1": ("This is a test\n\nMore Sentences", ["en", "en", "en"]), "u2": ("Second document", ["es"])}
+    docs = spark.createDataFrame([(1, None), (2, "a\ufffd"), (3, "b")], "i int, text string")
+    assert sorted(r["i"] for r in ingest.take_external(docs).collect()) == [1, 3]
+
+
+def test_two_letter_codes_are_those_of_the_jvm(spark):
+    locale = spark._jvm.java.util.Locale
+    known = {}
+    for two in locale.getISOLanguages():
+        found = locale.forLanguageTag(two)
+        known[found.getISO3Language()] = {"iw": "he", "ji": "yi", "in": "id"}.get(two, two)  # as they were once
+    assert len(langs.TWO_LETTER) > 180
+    for three, two in langs.TWO_LETTER.items():
+        assert known.get(three, two) == two, three
+
+
 def test_components_of_a_known_graph(spark):
     edges = spark.createDataFrame([(0, 1), (1, 7), (7, 10), (15, 10), (16, 15), (17, 16), (3, 3), (None, 4), (0, 1)], "src long, dst long")
     found = {r["node"]: r["component"] for r in components.connected_components(edges).collect()}
     assert found == dict.fromkeys((0, 1, 7, 10, 15, 16, 17), 0)
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "src long, dst long")
-    assert {r["component"] for r in components.connected_components(chain).collect()} == {0}
+    for few in (0, 1000):
+        assert {r["component"] for r in components.connected_components(chain, few=few).collect()} == {0}
+        assert {r["node"]: r["component"] for r in components.connected_components(edges, few=few).collect()} == found
     assert components.connected_components(edges.limit(0)).count() == 0
 
 
@@ -110,6 +218,9 @@ def test_fix_and_spans(spark):
     text = "😀 a@b.com and 10.0.0.1"
     spans = [(s["start"], s["end"]) for s in one(spark, texts.pii_spans(F.lit(text)))]
     assert [text[a:b] for a, b in spans] == ["a@b.com", "10.0.0.1"]
+    for text, want in (("x1.2.3.4 1.2.3.4", [(9, 16)]), ("1.2.3.4 and 1.2.3.4", [(0, 7), (12, 19)]), ("", []), ("none", [])):
+        assert [(s["start"], s["end"]) for s in one(spark, texts.pii_spans(F.lit(text)))] == want
+    assert one(spark, texts.pii_spans(F.lit(None).cast("string"))) is None
 
 
 def test_secrets(spark):
@@ -161,6 +272,17 @@ def test_writers(spark, tmp_path):
     writers.write_stage(docs, str(tmp_path / "stage"))
     writers.write_stage(docs.limit(0), str(tmp_path / "stage"))
     assert spark.read.parquet(str(tmp_path / "stage")).count() == 20
+    (tmp_path / "stage" / "_SUCCESS").unlink()  # as after a crash
+    writers.write_stage(docs.limit(3), str(tmp_path / "stage"))
+    assert spark.read.parquet(str(tmp_path / "stage")).count() == 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_by_language(docs, str(tmp_path / "many"), task_bytes=64)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 20 and len(list((tmp_path / "many" / "label=en").glob("*.parquet"))) > 1
+    writers.write_sidecar(docs.withColumn("allowed", F.col("doc_id") % 2 == 0), str(tmp_path / "side"), order="doc_id")
+    assert [r["allowed"] for r in spark.read.json(str(tmp_path / "side")).collect()][:3] == [True, False, True]
 
 
 def test_stream(spark, tmp_path, sf_dir):

@@ -2,8 +2,7 @@ import pytest
 
 from gristmill.plans import oracle, reference
 
-#: Held against SQL on sf0.001 by the driver's gate too; here one of each family, the costly ones left to it.
-NAMES = sorted(set(reference.QUERIES) - {"near_dedup_char", "near_dedup_vectorizer", "near_dedup_verified", "near_dedup_by_scope", "near_dups_only", "lsh_bands", "near_dup_components"})
+NAMES = sorted(reference.QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
