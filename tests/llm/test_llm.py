@@ -1,6 +1,7 @@
 import datetime
 import itertools
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -78,6 +79,31 @@ def test_folding_and_exceptions():
     assert toxicity.Lexicon({}, {}, ()).score("idiot") == (1, 0, 0.0, [])
 
 
+def test_exceptions_against_brute_force():
+    lexicon = toxicity.Lexicon({"trash": 6.0, "clown": 5.0, "loser": 4.0}, {}, ("trash can", "class clown", "sore loser", "clown car crash"))
+    rng = random.Random(2)
+    for _ in range(300):
+        text = " ".join(rng.choice(["trash", "can", "class", "clown", "sore", "loser", "car", "crash", "ok"]) for _ in range(12))
+        words, want, at = text.split(), 0, 0
+        places = []
+        for w in words:
+            places.append((at, at + len(w)))
+            at += len(w) + 1
+        safe = [(m, m + len(x)) for x in lexicon.exceptions for m in range(len(text)) if text.startswith(x, m) and (m == 0 or text[m - 1] == " ") and (m + len(x) == len(text) or text[m + len(x)] == " ")]
+        for w, (a, b) in zip(words, places):
+            want += w in lexicon.words and not any(x <= a and b <= y for x, y in safe)
+        assert lexicon.score(text)[1] == want, text
+
+
+def test_long_texts_take_linear_time():
+    began = time.time()
+    assert toxicity.Lexicon(toxicity.BASE_LEXICON).score("trash can " * 100_000)[1] == 0
+    pages = ("<a \"" * 250_000, "<script" * 140_000, "<div>" * 200_000, "<div>x" * 100_000 + "</div>" * 100_000, "<div>" * 20_000 + "</p>" * 200_000, '<a " > " ' * 110_000, "<![CDATA[" * 110_000, "<!" * 500_000, "<!-- " * 200_000)
+    for page in pages:
+        html_extract.smooth_edges(html_extract.blocks_of(page))
+    assert time.time() - began < 2 * (len(pages) + 1)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     learned, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "truth")
@@ -99,35 +125,41 @@ def test_toxicity_of_messy_rows(spark, messy, nothing):
 # 4: URL filters
 
 
-def brute_block(url, day, events):
+def brute_hit(url, day, events):
+    """(entry, category) that decides, by comparing with every entry."""
+
+    def parts_of(rest):
+        host, _, path = rest.partition("/")
+        return host.lower(), [x for x in path.split("/") if x]
+
     active = defaultdict(list)
     for entry, category, action, at in sorted(events, key=lambda e: (e[3], e[2])):
-        log = active[entry, category]
+        host, parts = parts_of(entry)
+        log = active[host, tuple(parts), category]
         if action == "add" and (not log or log[-1][1] is not None):
             log.append([at, None])
         elif action == "remove" and log and log[-1][1] is None:
             log[-1][1] = at
-    rest = url.split("://")[-1]
-    host, _, path = rest.partition("/")
-    path = "/" + path.split("?")[0].split("#")[0]
-    for (entry, _), spans in active.items():
-        name, _, prefix = entry.partition("/")
-        inside = host == name or host.endswith("." + name)
-        below = not prefix or path == "/" + prefix or path.startswith("/" + prefix + "/")
-        if inside and below and any(a <= day and (b is None or day < b) for a, b in spans):
-            return True
-    return False
+    host, parts = parts_of(url.split("://")[-1].split("?")[0].split("#")[0])
+    hits = []
+    for (name, prefix, category), spans in active.items():
+        if (host == name or host.endswith("." + name)) and tuple(parts[: len(prefix)]) == prefix:
+            entry = "/".join([name, *prefix])
+            hits += [(-len(entry), [-ord(c) for c in a], category, entry) for a, b in spans if a <= day and (b is None or day < b)]
+    return (min(hits)[3], min(hits)[2]) if hits else None
 
 
 def test_url_filters_brute_force(spark):
     rng = random.Random(5)
-    events = [(e, c, a, f"2024-0{rng.randint(1, 9)}-01") for e in ("a.com", "b.a.com", "a.com/x", "c.org/x/y") for c in ("s", "t") for a in ("add", "remove", "add")]
-    urls = [f"http://{h}{p}" for h in ("a.com", "b.a.com", "ba.com", "c.org", "z.c.org") for p in ("/", "/x", "/x/y", "/xy", "/x/y/z?q#f")]
+    entries = ("a.com", "b.a.com", "a.com/x", "c.org/x/y", "C.org/X/", "a.com//x/y/", "org", "A.com/1/2/3/4/5/6", "z.c.org/x/y/z", "a.com/")
+    events = [(e, c, a, f"2024-0{rng.randint(1, 9)}-01") for e in entries for c in ("spam", "scam", "t") for a in ("add", "remove", "add")]
+    urls = [f"http://{h}{p}" for h in ("a.com", "b.A.com", "ba.com", "c.org", "z.c.org", "zip", "u@c.org:80") for p in ("", "/", "/x", "/x/y", "/X", "/xy", "//x//y/z?q#f", "/1/2/3/4/5/6", "/1/2/3/4/5/6/7/", "/1/2/3/4/5")]
     rows = [(i, u, f"2024-{m:02d}-01") for i, (u, m) in enumerate(itertools.product(urls, range(1, 13)))]
     pages = spark.createDataFrame(rows, "page_id long, url string, day string").withColumn("day", F.to_date("day"))
     log = spark.createDataFrame(events, "entry string, category string, action string, at string").withColumn("at", F.to_date("at"))
-    got = {r["page_id"]: r["blocked"] for r in url_filters.filter_urls(pages, log, F.col("day")).collect()}
-    assert got == {i: brute_block(u, d, events) for i, u, d in rows}
+    got = {r["page_id"]: (r["entry"], r["category"]) if r["blocked"] else None for r in url_filters.filter_urls(pages, log, F.col("day")).collect()}
+    assert got == {i: brute_hit(u.replace("u@", "").replace(":80", ""), d, events) for i, u, d in rows}
+    assert len({x[0] for x in got.values() if x}) >= 8
 
 
 def test_url_filters_of_messy_rows(spark):
@@ -189,6 +221,58 @@ def test_quality_held_out(spark):
     assert n[0, False] / (n[0, False] + n.get((0, True), 0)) >= 0.85
 
 
+RUSSIAN = "Старый дом стоял на берегу широкой реки, и каждое утро над водой поднимался густой туман.\nДети бегали по саду, собирали яблоки и слушали рассказы бабушки о далёких странах.\nК вечеру вся семья собиралась за большим столом, и отец читал вслух новую книгу."
+FINNISH = "Vanha talo seisoi leveän joen rannalla, ja joka aamu veden yllä nousi sakea sumu.\nLapset juoksivat puutarhassa, keräsivät omenoita ja kuuntelivat isoäidin kertomuksia kaukaisista maista.\nIllalla koko perhe kokoontui suuren pöydän ääreen, ja isä luki ääneen uutta kirjaa."
+CHINESE = "老房子坐落在宽阔的河边,每天早晨水面上都会升起浓雾。\n孩子们在花园里奔跑,摘苹果,听祖母讲述遥远国度的故事。\n傍晚全家人围坐在大桌子旁,父亲大声朗读一本新书。"
+JAPANESE = "古い家は広い川のほとりに立っていて、毎朝水の上に濃い霧が立ちこめた。\n子どもたちは庭を走り回り、りんごを集め、遠い国々についての祖母の話を聞いた。\n夕方になると家族全員が大きな食卓を囲み、父が新しい本を声に出して読んだ。"
+
+
+def test_quality_keeps_other_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    texts = {-1: (RUSSIAN, "ru"), -2: (FINNISH, "fi"), -3: (CHINESE, "zh"), -4: (JAPANESE, "ja"), -5: (RUSSIAN, None), -6: (FINNISH, None), -7: (" ".join(CHINESE), "zh"), -8: (CHINESE.replace("\n", ""), None)}
+    more = spark.createDataFrame([(i, *x) for i, x in texts.items()], "doc_id long, text string, lang string")
+    got = quality.judge(docs.unionByName(more)).where("doc_id < 0").collect()
+    assert {r["doc_id"] for r in got if r["keep"]} == set(texts), got
+
+
+def test_a_lone_bad_vote_does_not_reject(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lone = [r for r in quality.judge(docs).collect() if r["votes"].count("b") == 1 and r["votes"].count("g") >= 8]
+    assert lone and all(r["keep"] for r in lone)
+
+
+def test_judge_against_brute_force(documents):
+    """Votes of each document by its own rules, and EM over documents instead of patterns."""
+    rows = documents.collect()
+    votes = {r["doc_id"]: quality.votes_of(r["text"], r["lang"]) for r in rows}
+    some = [i for i, v in votes.items() if v]
+    patterns = np.array([sum(v * 3**k for k, v in enumerate(votes[i])) for i in some])
+    share, table = quality.fit(patterns, np.ones(len(some)))
+    want = {}
+    for i in some:
+        like = np.log(share)
+        for k, v in enumerate(votes[i]):
+            if v != quality.ABSTAIN:
+                like = like + np.log(table[:, k, v])
+        want[i] = 1 / (1 + np.exp(like[0] - like[1]))
+    for r in quality.judge(documents).collect():
+        i = r["doc_id"]
+        assert r["votes"] == ("".join("bg-"[v] for v in votes[i]) if votes[i] else "-" * len(quality.RULES))
+        assert (r["quality"] is None) == (i not in want) and (r["quality"] is None or abs(r["quality"] - want[i]) < 1e-4)
+
+
+def test_single_rules():
+    assert quality.capitals(quality.Facts("AA BB CC DD ee", "AA BB CC DD ee".split())) == quality.BAD
+    assert quality.stutter(quality.Facts("a a a a b", "a a a a b".split())) == quality.BAD
+    lines = "x y\nx y\nx y\nz"
+    assert quality.repeated_lines(quality.Facts(lines, lines.split())) == quality.BAD
+    bars = "a | b | c | d | e |"
+    assert quality.bars(quality.Facts(bars, bars.split())) == quality.BAD
+    plain = " ".join(["xq"] * 30)
+    assert [quality.stop_words(quality.Facts(plain, plain.split(), lang)) for lang in ("en", "fi", None)] == [quality.BAD, quality.ABSTAIN, quality.ABSTAIN]
+    assert quality.stop_words(quality.Facts("the of and " * 10, ("the of and " * 10).split(), None)) == quality.GOOD
+
+
 def test_quality_of_messy_rows(messy, nothing):
     got = quality.judge(messy).collect()
     assert len(got) == len(ROWS) and sum(r["quality"] is None for r in got) == 4
