@@ -340,20 +340,31 @@ def _at_most(a: str, b: str, most: int) -> bool:
     if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y) if v != w) <= most:
         return True
     i = j = cost = 0
+    apart = []
     while i < len(x) and j < len(y):
         if x[i] == y[j]:
             i, j = i + 1, j + 1
             continue
         for s, t in _SHIFTS:
             if x[i + s : i + s + 2] == y[j + t : j + t + 2]:
-                cost += max(sum(map(len, x[i : i + s])) + s, sum(map(len, y[j : j + t])) + t)
                 break
         else:
             return False
-        if cost > most:
+        own = max(sum(map(len, x[i : i + s])) + s, sum(map(len, y[j : j + t])) + t)
+        cost += own
+        if cost > 2 * most:
             return False
+        if s and t:
+            apart.append((own, i, i + s, j, j + t))
         i, j = i + s, j + t
-    return cost + sum(map(len, x[i:])) + len(x[i:]) + sum(map(len, y[j:])) + len(y[j:]) <= most
+    cost += sum(map(len, x[i:])) + len(x[i:]) + sum(map(len, y[j:])) + len(y[j:])
+    if cost > 2 * most:
+        return False
+    for own, i, k, j, m in apart:  # what takes the other's place may be alike in part
+        if cost <= most:
+            break
+        cost += edit_distance(" ".join(x[i:k]), " ".join(y[j:m]), own) - own
+    return cost <= most
 
 
 #: Words of 64 bits of a band up to which many pairs are worked on at once, and pairs at once.
@@ -442,9 +453,9 @@ def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndar
         if ended or (j & 63) == 63:
             # a score may still fall by one a step along the last row
             left = (size_b - j - 1 > 0) & (score <= most + np.maximum(0, size_b - np.maximum(j + 1, size_a - reach)))
-            if (j & 63) == 63:  # every way goes through this column: its least value must be in reach
+            if (j & 63) == 63:  # every way goes through this column, whose lowest row is one above the window's: its least value must be in reach
                 steps_up = np.unpackbits(plus.view(np.uint8), axis=1, bitorder="little").view(np.int8) - np.unpackbits(minus.view(np.uint8), axis=1, bitorder="little").view(np.int8)
-                least = score - np.cumsum(steps_up[:, ::-1], axis=1, dtype=np.int16).max(1).clip(0)
+                least = score - np.cumsum(steps_up[:, -2::-1], axis=1, dtype=np.int16).max(1).clip(0)
                 left &= (least <= most) | (size_a - reach - j <= 1)
             if left.mean() < 0.8:
                 a, plus, minus, score, alive, size_a, size_b, most = (v[left] for v in (a, plus, minus, score, alive, size_a, size_b, most))
@@ -523,12 +534,13 @@ def _entries(docs: DataFrame, ranges: int) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1)
         key, node, own = np.concatenate(keys), np.concatenate(nodes), np.concatenate(own)
         bucket = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(key)
+        order = np.argsort(bucket.astype(np.uint16) if ranges <= 1 << 16 else bucket, kind="stable")
         key, node, own, bucket = key[order], node[order], own[order], bucket[order]
+        key = key.view(np.uint8).reshape(-1, 8)[:, :6]
         heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         blobs = []
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(key)]):
-            # the lower halves keep apart what meets; of the upper ones the bucket knows most
+            # six bytes of a key keep apart what meets; of the upper two the bucket knows most
             blobs.append(squeeze.compress(key[a:b].tobytes() + node[a:b].tobytes() + np.ascontiguousarray(own[a:b].T).tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(bucket[heads], pa.int64()), pa.array(blobs, pa.binary())], names)
 
@@ -569,9 +581,11 @@ def _meetings(entries: DataFrame, similarity: float) -> DataFrame:
         keys, nodes, profiles = [], [], []
         for blob in table.column("data"):
             raw = unzip.decompress(blob.as_py())
-            n = len(raw) // (16 + LETTERS)
-            keys.append(np.frombuffer(raw, np.uint64, n)), nodes.append(np.frombuffer(raw, np.int64, n, 8 * n))
-            profiles.append(np.frombuffer(raw, np.uint8, LETTERS * n, 16 * n).reshape(LETTERS, n).T)
+            n = len(raw) // (14 + LETTERS)
+            key = np.zeros((n, 8), np.uint8)
+            key[:, :6] = np.frombuffer(raw, np.uint8, 6 * n).reshape(n, 6)
+            keys.append(key.view(np.uint64)[:, 0]), nodes.append(np.frombuffer(raw[6 * n : 14 * n], np.int64))
+            profiles.append(np.frombuffer(raw, np.uint8, LETTERS * n, 14 * n).reshape(LETTERS, n).T)
         key = np.concatenate(keys)
         order = np.argsort(key)
         key = key[order]
@@ -830,8 +844,8 @@ def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
             yield [pa.array(nodes, pa.int64()), pa.array(lines, pa.string())]
 
     texts = _squeezed(base).join(wanted, "id").select("z", "wanted")
-    # repeated rows have the same lines
-    return map_arrow(texts, pick, StructType([StructField("node", LongType()), StructField("line", base.schema["text"].dataType)])).dropDuplicates(["node"])
+    # repeated rows give their lines repeatedly, which does no harm
+    return map_arrow(texts, pick, StructType([StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
 
 
 def similar_kinds(base: DataFrame, kinds: DataFrame, similarity: float, volume: int) -> DataFrame:
