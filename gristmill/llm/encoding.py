@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, L
 
 from gristmill.llm.arrow import cut, list_array, map_arrow
 from gristmill.llm.bpe import DEFAULT_VOCAB, Encoder, read_vocab
+from gristmill.session import materialize
 
 #: Mean, least and greatest bytes of a chunk.
 MEAN, LEAST, MOST = 1024, 128, 8192
@@ -221,7 +222,8 @@ def encode_documents(docs: DataFrame, vocab_path: str = DEFAULT_VOCAB, id_col: s
             yield [part.column(0), pa.array([None if t is None else squeeze(t.encode()) for t in part.column(1).to_pylist()], pa.binary())]
 
     keyed = map_arrow(base, chunk_rows, StructType([kind, StructField("keys", ArrayType(BinaryType(), False), False)]))
-    chunks = keyed.select("id", F.explode("keys").alias("key")).repartition("key")
+    # written, so that the join below may be split where documents without number share a chunk
+    chunks = materialize(keyed.select("id", F.explode("keys").alias("key")), "chunks")
     owners = chunks.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("owner")).where("n > 1")
     duties = owners.groupBy("owner").agg(F.collect_list("key").alias("duty")).withColumnRenamed("owner", "id")
     packed = map_arrow(base, pack, StructType([kind, StructField("z", BinaryType())])).repartition("id")
