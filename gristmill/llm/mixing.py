@@ -1,8 +1,12 @@
 """Operator 5: mixing sources to target weights that change over training.
 
-Each source has a weight at each knot of training progress, linear in between.
-The weights of all sources are normalised at the knots, so they add up to one
-throughout. The integral of a source's share, times the token budget, is its
+Each source has a target share of the training tokens at each knot of training
+progress, linear in between; the shares of all sources add up to one throughout.
+A source that the schedule names has the share it says, whatever its supply. The
+others divide what is left; the schedule says how far they have moved from shares
+in proportion to their supply to shares in proportion to its square root, by which
+a source that has most of the tokens fades and small ones grow, whatever they are
+called. A named source that isn't there leaves its part to the others. The integral of a source's share, times the token budget, is its
 cumulative demand. A document that begins at token ``c`` of its source, in an
 order shuffled by hash, is trained on at the progress at which that demand
 reaches ``c``: the demand is inverted in closed form. Sources with more tokens
@@ -15,8 +19,8 @@ range-sorted by position.
 Defined results: a null source is a source of its own; a null text and an empty
 one count one token; rows that share an id follow each other by
 tokens; repeated rows are all placed; rows without an id are placed under an
-empty id. A source without an entry in the schedule has the default's. An empty table
-gives an empty result.
+empty id. Shares that add up to more than one are an error. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -32,11 +36,11 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from gristmill.llm.arrow import cut, map_arrow
 
-#: Knots of training progress, as parts of 1000, and each source's weight there,
-#: in parts of 1000 of its tokens; None stands for all others. The hot source
-#: fades, so that the others grow.
+#: Knots of training progress, as parts of 1000, and each named source's target
+#: share there, in parts of 1000; under None, how far in parts of 1000 the other
+#: sources have moved from the shares of their supply to those of its square root.
 KNOTS = (0, 500, 1000)
-SCHEDULE: dict[str | None, tuple[int, ...]] = {"src0": (1000, 800, 600), None: (1000, 1000, 1000)}
+SCHEDULE: dict[str | None, tuple[int, ...]] = {"src3": (50, 100, 200), None: (0, 400, 1000)}
 SEED = 17
 #: Documents of a bucket, on average over all sources.
 BUCKET_DOCS = 5_000
@@ -53,19 +57,36 @@ def bucket_bits(n_docs: int) -> int:
 
 
 def plan_sources(supply: DataFrame, schedule: dict, knots: tuple[int, ...], total_tokens: int | None) -> DataFrame:
-    """Per source ``__s``: supply, demand, budget, and the cumulative share at each knot with the share there."""
-    scaled = []
+    """Per source ``__s``: supply, demand, budget, and the cumulative share at each knot with the share there.
+
+    What is summed over sources are whole numbers, so their order doesn't matter.
+    """
+    named = {name: row for name, row in schedule.items() if name is not None}
+    moved = schedule.get(None, (0,) * len(knots))
+    if any(sum(row[k] for row in named.values()) > 1000 for k in range(len(knots))):
+        raise ValueError("target shares add up to more than 1000")
+    own = F.col("__s").isin(*named) if named else F.lit(False)
+    plan = supply.select("__s", "__supply", own.alias("__named"), F.when(own, F.lit(0).cast("long")).otherwise(F.col("__supply")).alias("__o"))
+    plan = plan.withColumn("__q", F.floor(F.sqrt(F.col("__o").cast("double")) * F.lit(1000.0)).cast("long"))
+    parts = []
     for k in range(len(knots)):
-        weight = F.lit(schedule[None][k])
-        for name, row in schedule.items():
-            if name is not None:
-                weight = F.when(F.col("__s") == name, F.lit(row[k])).otherwise(weight)
-        scaled.append(F.col("__supply") * weight.cast("long"))
-    plan = supply.select("__s", "__supply", *[x.alias(f"__r{k}") for k, x in enumerate(scaled)])
-    everything = plan.agg(F.sum("__supply").alias("__all"), *[F.sum(f"__r{k}").alias(f"__t{k}") for k in range(len(knots))])
-    plan = plan.crossJoin(everything)
+        part = F.lit(0)
+        for name, row in named.items():
+            part = F.when(F.col("__s") == name, F.lit(row[k])).otherwise(part)
+        parts.append(part.cast("long").alias(f"__p{k}"))
+    plan = plan.select("*", *parts)
+    sums = [F.sum("__supply").alias("__all"), F.sum("__o").alias("__others"), F.sum("__q").alias("__roots"), *[F.sum(f"__p{k}").alias(f"__t{k}") for k in range(len(knots))]]
+    plan = plan.crossJoin(plan.agg(*sums))  # with the one row of totals
     budget = F.lit(total_tokens).cast("long") if total_tokens is not None else F.col("__all")
-    share = [F.coalesce(F.col(f"__r{k}").cast("double") / F.nullif(F.col(f"__t{k}"), F.lit(0)).cast("double"), F.lit(0.0)) for k in range(len(knots))]
+    share = []
+    for k in range(len(knots)):
+        alone = F.col("__others") == 0
+        target = F.col(f"__p{k}").cast("double") / F.when(alone, F.nullif(F.col(f"__t{k}"), F.lit(0))).otherwise(F.lit(1000)).cast("double")
+        left = F.lit(1.0) - F.col(f"__t{k}").cast("double") / F.lit(1000.0)
+        natural = F.col("__o").cast("double") / F.nullif(F.col("__others"), F.lit(0)).cast("double")
+        rooted = F.col("__q").cast("double") / F.nullif(F.col("__roots"), F.lit(0)).cast("double")
+        rest = left * (F.lit((1000 - moved[k]) / 1000.0) * natural + F.lit(moved[k] / 1000.0) * rooted)
+        share.append(F.coalesce(F.when(F.col("__named"), target).otherwise(rest), F.lit(0.0)))
     plan = plan.select("__s", "__supply", budget.alias("__budget"), *[x.alias(f"__w{k}") for k, x in enumerate(share)])
     area = F.lit(0.0)
     columns = [area.alias("__d0")]
@@ -168,9 +189,14 @@ def mix_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 def mix_oracle(n_docs: str = "(SELECT count(*) FROM documents)", table: str = "documents") -> str:
     """The same placement in DuckDB, for the default schedule and budget."""
-    hot = SCHEDULE["src0"]
-    other = SCHEDULE[None]
-    weight = lambda k: f"(CASE WHEN s = 'src0' THEN {hot[k]} ELSE {other[k]} END)"
+    named = {name: row for name, row in SCHEDULE.items() if name is not None}
+    names = "(" + ", ".join(f"'{n}'" for n in named) + ")"
+    part = lambda k: "CASE s " + " ".join(f"WHEN '{n}' THEN {row[k]}" for n, row in named.items()) + " ELSE 0 END"
+    share = lambda k: (
+        f"CASE WHEN s IN {names} THEN CAST(p{k} AS DOUBLE) / CAST(CASE WHEN others = 0 THEN t{k} ELSE 1000 END AS DOUBLE) "
+        f"ELSE (CAST(1 AS DOUBLE) - CAST(t{k} AS DOUBLE) / CAST(1000 AS DOUBLE)) * (CAST({(1000 - SCHEDULE[None][k]) / 1000.0} AS DOUBLE) * (CAST(o AS DOUBLE) / CAST(others AS DOUBLE)) "
+        f"+ CAST({SCHEDULE[None][k] / 1000.0} AS DOUBLE) * (CAST(q AS DOUBLE) / CAST(roots AS DOUBLE))) END"
+    )
     w0, w1 = (KNOTS[1] - KNOTS[0]) / 1000.0, (KNOTS[2] - KNOTS[1]) / 1000.0
 
     def here(k: int, width: float) -> str:
@@ -188,8 +214,10 @@ WITH r AS (
 p AS (
   SELECT *, CAST(sum(n) OVER (PARTITION BY s ORDER BY h, n ROWS UNBOUNDED PRECEDING) - n AS BIGINT) AS start FROM r),
 u AS (SELECT s, CAST(sum(n) AS BIGINT) AS supply FROM r GROUP BY s),
-t AS (SELECT CAST(sum(supply) AS BIGINT) AS budget, {', '.join(f'CAST(sum(supply * {weight(k)}) AS DOUBLE) AS t{k}' for k in range(3))} FROM u),
-w AS (SELECT s, supply, budget, {', '.join(f'CAST(supply * {weight(k)} AS DOUBLE) / t{k} AS w{k}' for k in range(3))} FROM u, t),
+v AS (SELECT s, supply, CASE WHEN s IN {names} THEN 0 ELSE supply END AS o, {', '.join(f'{part(k)} AS p{k}' for k in range(3))} FROM u),
+x AS (SELECT *, CAST(floor(sqrt(CAST(o AS DOUBLE)) * CAST(1000 AS DOUBLE)) AS BIGINT) AS q FROM v),
+t AS (SELECT CAST(sum(supply) AS BIGINT) AS budget, CAST(sum(o) AS BIGINT) AS others, CAST(sum(q) AS BIGINT) AS roots, {', '.join(f'CAST(sum(p{k}) AS BIGINT) AS t{k}' for k in range(3))} FROM x),
+w AS (SELECT s, supply, budget, {', '.join(f'{share(k)} AS w{k}' for k in range(3))} FROM x, t),
 d AS (SELECT *, CAST(0 AS DOUBLE) AS d0, CAST(0 AS DOUBLE) + CAST({w0} AS DOUBLE) * (w0 + w1) / CAST(2 AS DOUBLE) AS d1 FROM w),
 e AS (SELECT *, d1 + CAST({w1} AS DOUBLE) * (w1 + w2) / CAST(2 AS DOUBLE) AS d2 FROM d),
 f AS (SELECT *, CAST(round(d2 * CAST(budget AS DOUBLE)) AS BIGINT) AS demand FROM e),

@@ -179,15 +179,29 @@ def test_url_filters_of_messy_rows(spark):
 def test_mixing_follows_the_schedule(spark):
     rows = [(i, "a" if i < 3000 else "b", "x" * 40) for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    got = mixing.mix_sources(docs, {"a": (1000, 0), None: (0, 1000)}, (0, 1000)).collect()
+    got = mixing.mix_sources(docs, {"a": (1000, 0)}, (0, 1000)).collect()
     assert [r["position"] for r in got] == sorted(r["position"] for r in got)
     early = [r["source"] for r in got if r["position"] < 6000]
     assert 0.85 < early.count("a") / len(early) < 0.95  # the share is 1 - x over the first tenth... of the budget
     assert abs(Counter(r["source"] for r in got)["a"] - 3000) < 5
 
 
+def test_mixing_meets_targets_whatever_the_supply(spark):
+    supply = {"a": 5000, "b": 600, "c": 200, "d": 200}
+    rows = [(f"{s}{i}", s, "x" * 40) for s, n in supply.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id string, source string, text string")
+    n = Counter(r["source"] for r in mixing.mix_sources(docs, {"b": (400, 400), "gone": (100, 100), None: (0, 0)}, (0, 1000)).collect())
+    assert abs(n["b"] - 0.4 * 6000) < 5 and abs(n["a"] - 0.5 * 6000 * 5000 / 5400 * 1.0) < 0.1 * 6000  # what the absent one leaves goes to the others
+    assert abs(sum(n.values()) - 6000) < 10
+    n = Counter(r["source"] for r in mixing.mix_sources(docs, {None: (1000, 1000)}, (0, 1000)).collect())
+    total = sum(v**0.5 for v in supply.values())
+    assert all(abs(n[s] - 6000 * supply[s] ** 0.5 / total) < 5 for s in supply)
+    with pytest.raises(ValueError):
+        mixing.mix_sources(docs, {"a": (900, 900), "b": (200, 200)}, (0, 1000))
+
+
 def test_mixing_of_messy_rows(messy, nothing):
-    got = mixing.mix_documents(messy, schedule={None: (1, 1)}, knots=(0, 1000))
+    got = mixing.mix_documents(messy, schedule={}, knots=(0, 1000))
     assert got.columns == messy.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, messy.collect()))
     assert mixing.mix_documents(nothing).count() == 0
