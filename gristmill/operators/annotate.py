@@ -1,4 +1,13 @@
-"""Annotation and cleaning of documents."""
+"""Annotation and cleaning of documents.
+
+Defined results: rows are judged each by themselves, so repeated rows and ids get
+equal results, null ids are carried along, and nothing is dropped but by ``clean`` and
+``drop_secrets``; a null text has no segments, spans or score, is kept by the filter
+and goes in ``clean`` for want of a score; a null URL is on no list; an empty text is one empty
+segment; texts of any length are taken whole; columns keep their values whatever
+their names, but those that a function names as its result are replaced; empty tables
+and empty lists give empty results and no hits.
+"""
 
 from __future__ import annotations
 
@@ -57,19 +66,29 @@ def list_secrets(docs: DataFrame, pattern: str = texts.SECRET, least: int = 10,
     return docs.select(F.explode(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(1))).alias("secret")).where(F.length("secret") > least).distinct()
 
 
-def drop_secrets(docs: DataFrame, secrets: DataFrame, text_col: str = "text") -> DataFrame:
+def drop_secrets(docs: DataFrame, secrets: DataFrame, text_col: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` without those that contain a secret.
 
-    The list is written once and each worker matches it by Aho-Corasick, one pass
-    over a text however long the list is.
+    Each worker matches the list by Aho-Corasick, one pass over a text however long
+    the list is. Of a list of more than ``most`` secrets as many are sent at a time,
+    and what the documents lose by them is written before the next.
     """
+    known = materialize(secrets.select("secret").where("secret <> ''").distinct(), "secrets")
+    turns = -(-known.count() // most)
+    for turn in range(turns):
+        own = [r["secret"] for r in known.where(F.pmod(F.xxhash64("secret"), F.lit(turns)) == turn).collect()]
+        if own:
+            docs = _without(docs, own, text_col)
+            if turn < turns - 1:
+                docs = materialize(docs, "unsecret")
+    return docs
+
+
+def _without(docs: DataFrame, words: list[str], text_col: str) -> DataFrame:
     import ahocorasick
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    words = [r["secret"] for r in materialize(secrets.select("secret"), "secrets").where("secret <> ''").toLocalIterator()]
-    if not words:
-        return docs
     shared = docs.sparkSession.sparkContext.broadcast(words)
     at = docs.columns.index(text_col)
     held: list = []
@@ -85,7 +104,8 @@ def drop_secrets(docs: DataFrame, secrets: DataFrame, text_col: str = "text") ->
             clean = [t is None or next(held[0].iter(t), None) is None for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(clean, pa.bool_())) for c in batch.columns], schema=batch.schema)
 
-    return docs.mapInArrow(work, docs.schema)
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return flat.mapInArrow(work, flat.schema).toDF(*docs.columns)
 
 
 #: Words by which the baseline tells a segment's language.
@@ -135,12 +155,19 @@ def clean(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     return docs.where(ok)
 
 
-def annotate(docs: DataFrame, lang: str = "lang", text_col: str = "text", adult: Column | None = None) -> DataFrame:
-    """Fixed text, segment languages (of the text as it was), filter reason, spans and score."""
-    return (
-        docs.withColumn("seg_langs", segment_langs(F.col(text_col)))
+def annotate(docs: DataFrame, lang: str = "lang", text_col: str = "text", adult: Column | None = None, domains: DataFrame | None = None, extended: bool = False, url_col: str = "u") -> DataFrame:
+    """Fixed text, segment languages (of the text as it was), filter reason, spans and score.
+
+    Adult sites are told by ``adult``, or by ``domains`` (see ``readers.read_lines``) and, if ``extended``, patterns in ``url_col``.
+    """
+    marked = docs if domains is None else mark_adult(docs, domains, extended, url_col)
+    if domains is not None:
+        adult = F.col("is_adult") if adult is None else adult | F.col("is_adult")
+    done = (
+        marked.withColumn("seg_langs", segment_langs(F.col(text_col)))
         .withColumn(text_col, texts.fix_text(F.col(text_col)))
         .withColumn("filter", filter_reason(F.col(text_col), is_cjk(F.col(lang)), adult))
         .withColumn("pii", texts.pii_spans(F.col(text_col)))
         .withColumn("doc_scores", F.array(baseline_score(F.col(text_col))))
     )
+    return done if domains is None else done.drop("is_adult")

@@ -230,6 +230,28 @@ def test_secrets(spark):
     assert sorted(r["doc_id"] for r in annotate.drop_secrets(docs, secrets).collect()) == [3, 4]
 
 
+def test_secrets_in_turns_and_messy_rows(spark):
+    docs = messy(spark)
+    secrets = spark.createDataFrame([("a b",), ("w29999",), ("",), (None,), ("nowhere",), ("a b",)], "secret string")
+    for most in (1, 2, 100):
+        left = annotate.drop_secrets(docs, secrets, most=most)
+        assert left.columns == docs.columns and [i for _, i in ids(left)] == [3, 4, 5, 6, 9, 9, None]
+    assert annotate.drop_secrets(docs, secrets.limit(0)).count() == docs.count()
+    assert annotate.drop_secrets(docs.limit(0), secrets).count() == 0
+
+
+def test_annotation_of_messy_rows_with_a_list(spark):
+    docs = messy(spark).withColumn("u", F.when(F.col("doc_id") == 1, "http://x.bad.org/").when(F.col("doc_id") == 2, "http://ok.org/sex")).withColumn("lang", F.lit("eng_Latn"))
+    bad = spark.createDataFrame([("bad.org",), ("bad.org",), (None,)], "domain string")
+    for extended in (False, True):
+        got = annotate.annotate(docs, domains=bad, extended=extended)
+        assert set(docs.columns) < set(got.columns) and got.count() == docs.count()
+        reasons = {r["doc_id"]: r["filter"] for r in got.collect()}
+        assert reasons[1] == "adult_ut1" and reasons[2] == ("adult_ut1" if extended else "word_avg_5") and reasons[7] == "keep" and reasons[3] == "keep"
+    assert annotate.annotate(docs.limit(0), domains=bad).count() == 0
+    assert annotate.clean(annotate.annotate(docs), 0.0).where("text is null").count() == 0
+
+
 def test_packing(spark):
     files = spark.createDataFrame([("a", i, s) for i, s in enumerate((6, 3, 4, 20, 1))], "g string, i int, s long")
     packed = {r["i"]: r["batch"] for r in batching.pack_files(files, "g", "i", "s", 10).collect()}
