@@ -73,8 +73,8 @@ WIDE, SPARSE = 64, 32
 PROBED, TILE = 2048, 512
 #: Pairs of a group up to which a task verifies it as a whole, and pairs of a call, on average.
 GROUP, CALL = 200_000, 20_000
-#: Bytes of text for which one line is reckoned, keys reckoned for a line, and entries of a bucket range.
-LINE_BYTES, KEYS, RANGE = 200, 25, 400_000
+#: Keys reckoned for a line, and entries of a bucket range.
+KEYS, RANGE = 25, 400_000
 #: Bytes of text that are parsed at once, and entries that a task packs at once.
 SLICE, PACK = 2 << 20, 2_000_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
@@ -848,9 +848,9 @@ def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
     return map_arrow(texts, pick, StructType([StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
 
 
-def similar_kinds(base: DataFrame, kinds: DataFrame, similarity: float, volume: int) -> DataFrame:
+def similar_kinds(base: DataFrame, kinds: DataFrame, similarity: float) -> DataFrame:
     """``(node, root)`` of the kinds that others are connected with."""
-    ranges = max(1, math.ceil(volume / LINE_BYTES * KEYS / RANGE))
+    ranges = max(1, math.ceil(kinds.count() * KEYS / RANGE))
     met = materialize(_meetings(_entries(base, ranges), similarity), "met")
     pairs, crowds = met.where("crowd is null").select("a", "b"), met.where("crowd is not null").select("crowd", F.col("a").alias("node"))
     nodes = met.select(F.explode(F.array_distinct(F.array("a", F.coalesce("b", "a")))).alias("node")).distinct()
@@ -882,11 +882,10 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     Where rows repeat, so do these.
     """
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
-    volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = materialize(_occurrences(base), "found")
     place = F.struct("id", "dkey", "no")
     kinds = materialize(found.groupBy("node", "bag").agg(F.min(place).alias("place"), F.count("*").alias("n")), "kinds")
-    roots = similar_kinds(base, kinds, similarity, volume)
+    roots = similar_kinds(base, kinds, similarity)
     # of a kind that nothing is similar to, the whole hash is the group's; else the root is
     grouped = kinds.join(roots, "node", "left").select("node", "bag", "place", "n", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("bag")).otherwise(F.lit(0)).alias("apart"))
     single = grouped.where("n > 1 and apart <> 0").select("node", "bag", F.col("place").alias("keep"))
