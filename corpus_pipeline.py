@@ -3,7 +3,11 @@
 ``STAGES`` lists ``(name, function)``. A function takes ``(spark, docs, sf_dir)``
 and gives a frame; all but the last give the columns of ``documents``. The
 operators behind the stages define what happens to nulls, empty and very long
-texts, repeated rows and empty tables; a stage carries further columns along.
+texts, repeated rows and empty tables; a stage carries further columns along. Of
+ties the lowest document id comes first: its line stays, and it stays of a class;
+in training order equal positions go by source, then by the hash of the id. A text
+of which line dedup has taken all lines is empty and stays a row, as empty texts are
+copies of nothing.
 """
 
 from __future__ import annotations
