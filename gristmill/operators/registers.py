@@ -1,4 +1,9 @@
-"""Web registers: labels of documents by a model that the caller brings."""
+"""Web registers: labels of documents by a model that the caller brings.
+
+Defined results: rows are labelled each, repeated ones alike; the model sees a null text
+as an empty one; a ``web_register`` of the documents' own is replaced, other columns
+stay; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

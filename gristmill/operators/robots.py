@@ -1,4 +1,11 @@
-"""robots.txt: parsing, patterns, and the URLs that rules forbid."""
+"""robots.txt: parsing, patterns, and the URLs that rules forbid.
+
+Defined results: a null body or URL gives no rules; repeated rows of a robots.txt give
+their rules once, two bodies under one URL each their own; a null URL of a document
+is allowed; of rules with equal numbers one counts; documents repeat as they were
+and keep their other columns, but for an ``allowed`` of their own; bodies and URLs of
+any length are read whole; empty tables give empty results, or allow all.
+"""
 
 from __future__ import annotations
 
@@ -19,17 +26,18 @@ def parse_robots(docs: DataFrame, agents: tuple[str, ...] = AGENTS, url: str = "
     blank line ends a group that concerns us. Spaces and line ends after an agent's
     name don't matter. Bodies without ``disallow:`` give nothing.
     """
-    lines = docs.where(F.contains(F.lower(body), F.lit("disallow:"))).select(
-        F.col(url).alias("u"), robots_domain(F.col(url)).alias("host"), F.posexplode(F.split(body, "\n", -1)).alias("no", "raw")
+    bodies = docs.select(F.col(f"`{url}`").alias("u"), F.col(f"`{body}`").alias("p")).where(F.contains(F.lower("p"), F.lit("disallow:")) & F.col("u").isNotNull())
+    lines = bodies.withColumn("which", F.xxhash64("p")).dropDuplicates(["u", "which"]).select(
+        "u", "which", robots_domain(F.col("u")).alias("host"), F.posexplode(F.split("p", "\n", -1)).alias("no", "raw")
     )
     lines = lines.where(~F.startswith("raw", F.lit("#"))).withColumn("line", F.regexp_replace("raw", r"\s+$", ""))
     agent = F.regexp_extract("line", _AGENT, 1)
-    order = Window.partitionBy("u").orderBy("no")
-    marked = lines.select("u", "host", "no", "line", F.nullif(F.lower(agent), F.lit("")).alias("agent"))
+    order = Window.partitionBy("u", "which").orderBy("no")
+    marked = lines.select("u", "which", "host", "no", "line", F.nullif(F.lower(agent), F.lit("")).alias("agent"))
     is_agent = F.col("agent").isNotNull()
     marked = marked.withColumn("start", is_agent & ~F.coalesce(F.lag(is_agent).over(order), F.lit(False)))
     marked = marked.withColumn("group", F.sum(F.col("start").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    group = Window.partitionBy("u", "group")
+    group = Window.partitionBy("u", "which", "group")
     so_far = group.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     judged = marked.where("group > 0").select(
         "*",
@@ -69,7 +77,7 @@ def disallowed_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url") ->
 def annotate_robots(docs: DataFrame, disallowed: DataFrame, url_col: str = "url") -> DataFrame:
     """``docs`` with ``allowed``; the join is on the URL without prefix, and rows repeat as they were."""
     hit = disallowed.select(F.col("url").alias("__key")).distinct().withColumn("__hit", F.lit(True))
-    keyed = docs.withColumn("__key", strip_prefix(F.col(url_col)))
+    keyed = docs.drop("allowed").withColumn("__key", strip_prefix(F.col(url_col)))
     return keyed.join(hit, "__key", "left").withColumn("allowed", F.col("__hit").isNull()).drop("__key", "__hit")
 
 

@@ -1,4 +1,11 @@
-"""Routing documents by language."""
+"""Routing documents by language.
+
+Defined results: no language, or a null one, is ``unk`` (an error when strict), and so
+is a confidence below the bound; a missing confidence doesn't count against a
+document; a code that is listed twice has its first label in order; rows repeat as they
+were and keep their other columns, but for a ``label`` of their own; empty tables give
+empty results, or ``unk``.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +20,8 @@ def route_language(docs: DataFrame, labels: DataFrame, min_prob: float = 0.5, la
     ``unk``, or an error at run time when ``strict``.
     """
     first, prob = F.get(F.col(lang_col), F.lit(0)), F.get(F.col(prob_col), F.lit(0))
-    joined = docs.withColumn("__code", first).join(labels.select(F.col("flores_code").alias("__code"), F.col("canonical").alias("__label")), "__code", "left")
+    known = labels.groupBy(F.col("flores_code").alias("__code")).agg(F.min("canonical").alias("__label"))
+    joined = docs.withColumn("__code", first).join(known, "__code", "left")
     missing = F.when(F.col("__label").isNull(), F.raise_error(F.concat(F.lit("unknown language "), F.coalesce("__code", F.lit("null"))))) if strict else F.lit("unk")
     label = F.when(prob < min_prob, F.lit("unk")).otherwise(F.coalesce("__label", missing))
     return joined.withColumn("label", label).drop("__code", "__label")

@@ -252,6 +252,31 @@ def test_annotation_of_messy_rows_with_a_list(spark):
     assert annotate.clean(annotate.annotate(docs), 0.0).where("text is null").count() == 0
 
 
+def test_robots_and_routing_of_messy_rows(spark):
+    body = "User-agent: *\nDisallow: /a\n"
+    docs = spark.createDataFrame([("http://h.org/robots.txt", body, "x"), ("http://h.org/robots.txt", body, "y"), ("http://h.org/robots.txt", body.replace("/a", "/b"), "x"), (None, body, "x"), ("http://e.org/robots.txt", None, "x"), ("http://e.org/robots.txt", "", "x")], "u string, p string, host string")
+    rules = robots.parse_robots(docs)
+    assert sorted(r["pattern"] for r in rules.collect()) == ["h.org/a", "h.org/b"] and robots.parse_robots(docs.limit(0)).count() == 0
+    pages = spark.createDataFrame([(1, "http://h.org/a1", "x"), (1, "http://h.org/a1", "x"), (None, None, "x"), (2, "http://h.org/" + "c" * 100_000, "x")], "i int, url string, allowed string")
+    gone = robots.disallowed_urls(pages, rules)
+    assert [r["url"] for r in gone.collect()] == ["h.org/a1"]
+    got = robots.annotate_robots(pages, gone)
+    assert set(got.columns) == set(pages.columns) and sorted((str(r["i"]), r["allowed"]) for r in got.collect()) == [("1", False), ("1", False), ("2", True), ("None", True)]
+    assert robots.annotate_robots(pages, gone.limit(0)).where("allowed").count() == 4 and robots.filter_disallowed(pages, gone).count() == 2
+    labels = spark.createDataFrame([("a", "B"), ("a", "A"), (None, "C")], "flores_code string, canonical string")
+    routed = spark.createDataFrame([(1, ["a"], [0.9], "x"), (1, ["a"], [0.9], "x"), (2, [], [], "x"), (3, None, None, "x"), (4, ["a"], None, "x")], "i int, lang array<string>, prob array<double>, label string")
+    assert sorted((r["i"], r["label"]) for r in routing.route_language(routed, labels).collect()) == [(1, "A"), (1, "A"), (2, "unk"), (3, "unk"), (4, "A")]
+    assert routing.route_language(routed.limit(0), labels).count() == 0 and routing.route_language(routed, labels.limit(0)).where("label = 'unk'").count() == 5
+
+
+def test_registers_of_messy_rows(spark):
+    docs = messy(spark).withColumn("web_register", F.lit("old"))
+    got = registers.baseline_registers(docs)
+    assert got.columns == docs.columns and got.count() == docs.count() and registers.baseline_registers(docs.limit(0)).count() == 0
+    labelled = registers.web_registers(docs, lambda: lambda batch: [{"n": len(t) / 3} for t in batch])
+    assert all(r["web_register"] == {"n": round(len(r["text"] or "") / 3, 3)} for r in labelled.collect())
+
+
 def test_packing(spark):
     files = spark.createDataFrame([("a", i, s) for i, s in enumerate((6, 3, 4, 20, 1))], "g string, i int, s long")
     packed = {r["i"]: r["batch"] for r in batching.pack_files(files, "g", "i", "s", 10).collect()}
