@@ -23,9 +23,10 @@ in their places up to ``ONE_OUT``; and longer ones if one part of six to twelve
 whole. Other pairs meet with a probability (README has figures).
 
 A bucket of more than ``WIDE`` kinds of which many are close is not paired but
-verified as a crowd: its kinds are sorted by length and cut into tiles, tiles that
-lengths allow meet in one task each, and what is connected already isn't
-compared again. No bucket, group or crowd is cut short.
+verified as a crowd. Crowds that share kinds are one family, cut into tiles. Within
+a tile what is connected already isn't compared again; across tiles only kinds
+outside of the family's largest connected set are compared, with all that lengths
+allow. No bucket, group, crowd or family is cut short.
 
 Defined results: lines of fewer than ``MIN_WORDS`` words are compared for equality
 alone; a character of a script without spaces counts as a word, and blanks
@@ -69,8 +70,8 @@ PART_WORDS = np.array([4] + [int(6 * 1.5**i) for i in range(40)], np.int64)
 LETTERS = 12
 #: Kinds of a bucket up to which all close ones are paired, and pairs a kind of larger ones up to which they still are.
 WIDE, SPARSE = 64, 32
-#: Kinds of a larger bucket up to which its pairs are looked at, and kinds of a tile.
-PROBED, TILE = 2048, 512
+#: Kinds of a larger bucket up to which its pairs are looked at, kinds of a tile, and of those kinds that all tiles of a family have.
+PROBED, TILE, ANCHORS = 2048, 512, 16
 #: Pairs of a group up to which a task verifies it as a whole, and pairs of a call, on average.
 GROUP, CALL = 200_000, 20_000
 #: Keys reckoned for a line, and entries of a bucket range.
@@ -725,41 +726,117 @@ def _verify_groups(pairs: DataFrame, lines: DataFrame, similarity: float, calls:
     return by_turn(pairs).cogroup(by_turn(lines)).applyInArrow(work, "src long, dst long")
 
 
-def connect(lines: list[str], split: int, similarity: float) -> list[tuple[int, int]]:
-    """Pairs of similar lines that connect all that are; from ``split`` on with those before alone, if it isn't 0."""
-    letters = np.zeros((len(lines), 64), np.int32)
+def _letters(lines: list[str]) -> np.ndarray:
+    """Characters of each line by 64 buckets, and in a last column its length."""
+    out = np.zeros((len(lines), 65), np.int32)
     for i, line in enumerate(lines):
-        letters[i] = np.bincount(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) % 64, minlength=64)
-    size = np.array(list(map(len, lines)))
-    pairs = []
-    for i in range(split or len(lines) - 1):
-        begin = split or i + 1
-        bound = np.floor(np.maximum(size[begin:], size[i]) * (1 - similarity) + 1e-9)
-        near = np.flatnonzero(np.abs(size[begin:] - size[i]) <= bound)
-        gap = letters[begin + near] - letters[i]
-        surplus = np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1))
-        pairs += [(i, j) for j in (begin + near[surplus <= bound[near]]).tolist()]
-    return [pairs[k] for k in connecting(pairs, lines, Union(), similarity)]
-
-
-def _verify_crowds(crowds: DataFrame, similarity: float) -> DataFrame:
-    """Edges within each crowd of ``(crowd, node, line)``."""
-    order = Window.partitionBy("crowd").orderBy(F.length("line"), "node")
-    placed = materialize(crowds.withColumn("tile", F.floor((F.row_number().over(order) - 1) / F.lit(TILE)).cast("int")).withColumn("chars", F.length("line")), "crowds")
-    spans = placed.groupBy("crowd", "tile").agg(F.min("chars").alias("low"), F.max("chars").alias("high"))
-    a, b = spans.alias("a"), spans.alias("b")
-    tasks = a.join(b, (F.col("a.crowd") == F.col("b.crowd")) & (F.col("a.tile") <= F.col("b.tile")) & (F.col("a.high") >= F.col("b.low") * F.lit(similarity) - F.lit(1e-9)))
-    wanted = tasks.select(F.col("a.crowd").alias("crowd"), F.col("a.tile").alias("ta"), F.col("b.tile").alias("tb")).select("crowd", "ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("tile"))
+        out[i, :64] = np.bincount(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) % 64, minlength=64)
+        out[i, 64] = len(line)
+    return out
+
+
+def _near(letters: np.ndarray, i: int, others: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of line ``i`` with those of ``others`` that lengths and letters allow to be similar."""
+    size = letters[others, 64]
+    bound = np.floor(np.maximum(size, letters[i, 64]) * (1 - similarity) + 1e-9)
+    fits = np.abs(size - letters[i, 64]) <= bound
+    others, bound = others[fits], bound[fits]
+    gap = letters[others, :64] - letters[i, :64]
+    return [(i, j) for j in others[np.maximum(np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)) <= bound].tolist()]
+
+
+def connect(lines: list[str], similarity: float) -> list[tuple[int, int]]:
+    """Pairs of similar lines that connect all that are.
+
+    The lines of a crowd mostly hang together. So all are held against one in the
+    middle first, then what is apart against some of the largest set, and at last
+    against all lines of other sets; lines of one set need no look at each other.
+    """
+    if not lines:
+        return []
+    letters, known, found = _letters(lines), Union(), []
+
+    def sets():
+        own = np.array([known.root(i) for i in range(len(lines))])
+        roots, count = np.unique(own, return_counts=True)
+        return own, own == roots[count.argmax()]
+
+    def look(pairs):
+        found.extend(pairs[k] for k in connecting(pairs, lines, known, similarity))
+
+    everything = np.arange(len(lines))
+    middle = int(np.abs(letters - np.median(letters, 0)).sum(1).argmin())
+    look(_near(letters, middle, everything[everything != middle], similarity))
+    _, main = sets()
+    inside, apart = np.flatnonzero(main), np.flatnonzero(~main)
+    some = inside[np.unique(np.linspace(0, len(inside) - 1, ANCHORS).astype(np.int64))]
+    look([pair for i in some.tolist() for pair in _near(letters, i, apart, similarity)])
+    own, main = sets()
+    look([pair for i in np.flatnonzero(~main).tolist() for pair in _near(letters, i, everything[(own != own[i]) & (main | (everything > i))], similarity)])
+    return found
+
+
+def _connect_tiles(table: pa.Table, similarity: float) -> pa.Table:
+    """Edges between the lines of side 0, all outside of their family's largest set, and those of side 1, of other sets."""
+    table = table.sort_by([("side", "ascending"), ("node", "ascending")])
+    node, root, tile, rest, side = (np.array(table.column(c)) for c in ("node", "root", "tile", "rest", "side"))
+    lines, split = table.column("line").to_pylist(), int(np.searchsorted(side, 1))
+    letters, known, first = _letters(lines), Union(), {}
+    for i, x in enumerate(root.tolist()):
+        known.join(first.setdefault(x, i), i)
+    others, pairs = np.arange(split, len(lines)), []
+    for i in range(split):
+        # those of a tile have met; of two outside of the largest set one alone looks at the other
+        fresh = (root[split:] != root[i]) & (tile[split:] != tile[i]) & ~(rest[split:] & (node[split:] < node[i]))
+        pairs += _near(letters, i, others[fresh], similarity)
+    pairs = np.array([pairs[k] for k in connecting(pairs, lines, known, similarity)], np.int64).reshape(-1, 2)
+    return pa.table([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["src", "dst"])
+
+
+def _verify_crowds(crowds: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Edges within the crowds ``(crowd, node)``, given ``(node, line)``. Crowds that share kinds are one family.
+
+    Tiles of a family are connected by themselves, with some lines that all tiles
+    have. Then only kinds outside of the family's largest set are left to look at,
+    against all of other sets; a kind is in one family, however many crowds it is in.
+    """
+    families = connected_components(crowds, "crowd", "node").withColumnRenamed("component", "family")
+    order = Window.partitionBy("family").orderBy(F.xxhash64("node"), "node")
+    placed = materialize(
+        families.join(lines.dropDuplicates(["node"]), "node")
+        .withColumn("spot", F.row_number().over(order) - 1)
+        .withColumn("tile", F.floor(F.col("spot") / F.lit(TILE)).cast("int")),
+        "crowds",
+    )
+    wide = placed.groupBy("family").agg(F.max("tile").alias("last")).where("last > 0")
+    shared = placed.where(F.col("spot") < ANCHORS).drop("tile").join(wide, "family").withColumn("tile", F.explode(F.sequence(F.lit(0), "last"))).where(F.floor(F.col("spot") / F.lit(TILE)) != F.col("tile"))
 
     def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("tile", "ascending"), ("chars", "ascending"), ("node", "ascending")])
-        tile = np.array(table.column("tile"))
-        split = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0
-        pairs = np.array(connect(table.column("line").to_pylist(), split, similarity), np.int64).reshape(-1, 2)
+        table = table.sort_by("node")
+        pairs = np.array(connect(table.column("line").to_pylist(), similarity), np.int64).reshape(-1, 2)
         node = np.array(table.column("node"))
         return pa.table([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["src", "dst"])
 
-    return wanted.join(placed, ["crowd", "tile"]).groupBy("crowd", "ta", "tb").applyInArrow(freeing(work), "src long, dst long")
+    names, edge = ["family", "tile", "node", "line"], "src long, dst long"
+    within = materialize(placed.select(names).unionByName(shared.select(names)).groupBy("family", "tile").applyInArrow(freeing(work), edge), "within")
+    if wide.isEmpty():
+        return within
+    roots = connected_components(within)
+    sets = placed.join(wide, "family").join(roots, "node", "left").select(*names, F.coalesce("component", "node").alias("root"), F.length("line").alias("chars"))
+    largest = sets.groupBy("family", "root").count().groupBy("family").agg(F.max(F.struct("count", "root")).alias("most"))
+    sets = sets.join(largest, "family").withColumn("rest", F.col("root") != F.col("most.root")).drop("most")
+    by_length = [F.floor((F.row_number().over(Window.partitionBy(*own).orderBy("chars", "node")) - 1) / F.lit(TILE)).alias(name) for own, name in ((["family"], "b"), (["family", "rest"], "a"))]
+    sets = materialize(sets.select("*", *by_length), "sets")
+    span = [F.min("chars").alias("low"), F.max("chars").alias("high")]
+    a, b = sets.where("rest").groupBy("family", "a").agg(*span).alias("x"), sets.groupBy("family", "b").agg(*span).alias("y")
+    reach = lambda x, y: F.col(f"{x}.high") >= F.col(f"{y}.low") * F.lit(similarity) - F.lit(1e-9)
+    tasks = a.join(b, (F.col("x.family") == F.col("y.family")) & reach("x", "y") & reach("y", "x")).select("x.family", "a", "b")
+    own = ["family", "ta", "tb", "side", "node", "line", "root", "tile", "rest"]
+    tasks = tasks.toDF("family", "ta", "tb")
+    left = tasks.join(sets.where("rest").withColumn("ta", F.col("a")), ["family", "ta"]).withColumn("side", F.lit(0)).select(own)
+    right = tasks.join(sets.withColumn("tb", F.col("b")), ["family", "tb"]).withColumn("side", F.lit(1)).select(own)
+    across = left.unionByName(right).groupBy("family", "ta", "tb").applyInArrow(freeing(lambda table: _connect_tiles(table, similarity)), edge)
+    return within.unionByName(across)
 
 
 def _squeezed(docs: DataFrame) -> DataFrame:
@@ -869,7 +946,7 @@ def similar_kinds(base: DataFrame, kinds: DataFrame, similarity: float) -> DataF
         first = parts.join(large, "component", "left_semi").join(lines.select(F.col("node").alias("a"), F.col("line").alias("line_a")), "a")
         edges = edges.unionByName(_verify_pairs(first.join(lines.select(F.col("node").alias("b"), F.col("line").alias("line_b")), "b").select("a", "b", "line_a", "line_b"), similarity))
     if not crowds.isEmpty():
-        edges = edges.unionByName(_verify_crowds(crowds.join(lines, "node"), similarity))
+        edges = edges.unionByName(_verify_crowds(crowds, lines, similarity))
     roots = materialize(connected_components(edges).withColumnRenamed("component", "root"), "roots")
     for frame in (met, lines, groups, large):
         discard(frame)

@@ -431,6 +431,52 @@ def test_line_dedup_by_crowds_and_large_groups(spark, monkeypatch):
     assert usual == want == {(r["id"], r["no"]) for r in line_dedup.removed_lines(docs).collect()}
 
 
+def variants(rng, many, near, far=0):
+    """A line of 30 words ``many`` times, of which ``near`` words at most are changed; the last ``far`` lines have seven changed."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(30)]
+    for i in range(many):
+        own = list(base)
+        for k in rng.sample(range(30), rng.randint(0, near) if i < many - far else 7):
+            own[k] = word()
+        yield " ".join(own)
+
+
+def test_a_crowd_of_one_text_costs_in_proportion(monkeypatch):
+    rng = random.Random(11)
+    lines = list(dict.fromkeys(variants(rng, 500, 3, 4)))
+    looked, usual = [], line_dedup.connecting
+    monkeypatch.setattr(line_dedup, "connecting", lambda pairs, *rest: looked.extend(pairs) or usual(pairs, *rest))
+    found = line_dedup.connect(lines, 0.9)
+    assert len(looked) < 40 * len(lines)
+    sets = line_dedup.Union()
+    for pair in found:
+        sets.join(*pair)
+    for i, j in itertools.combinations(range(len(lines)), 2):
+        if sets.root(i) != sets.root(j):
+            assert line_dedup.edit_distance(lines[i], lines[j], 99) > 0.1 * max(len(lines[i]), len(lines[j]))
+
+
+def test_crowds_that_share_kinds_are_verified_once(spark, monkeypatch):
+    """Families of several tiles, with kinds apart; each kind is in three crowds."""
+    rng = random.Random(12)
+    monkeypatch.setattr(line_dedup, "TILE", 30)
+    families = [list(dict.fromkeys(variants(rng, 130, 4, 12))) for _ in range(2)]
+    lines = [line for own in families for line in own]
+    crowds = [(f * 10 + c + 10**6, len(families[0]) * f + k) for f, own in enumerate(families) for c in range(4) for k in range(len(own)) if k % 4 != c]
+    frame = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    edges = line_dedup._verify_crowds(spark.createDataFrame(crowds, "crowd long, node long"), frame, 0.9).collect()
+    assert len(edges) < 2 * len(lines)
+    got, want = line_dedup.Union(), line_dedup.Union()
+    for x in edges:
+        assert line_dedup.similar(lines[x["src"]], lines[x["dst"]], 0.9)
+        got.join(x["src"], x["dst"])
+    for i, j in itertools.combinations(range(len(lines)), 2):
+        if want.root(i) != want.root(j) and line_dedup.similar(lines[i], lines[j], 0.9):
+            want.join(i, j)
+    assert len({got.root(i) for i in range(len(lines))}) == len({want.root(i) for i in range(len(lines))}) > 2
+
+
 def test_distances_of_many_pairs():
     rng = random.Random(4)
     pairs, most = [], []
