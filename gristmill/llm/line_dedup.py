@@ -148,7 +148,7 @@ class Lines:
         parts = []
         for text in texts:
             part = fold(text).translate(_LINE)
-            if _HIGH.search(part) and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
+            if not part.isascii() and _HIGH.search(part) and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
                 part = _UNSPACED.sub("\x1f\\1\x1f", own).encode("utf-8", "surrogatepass")
             parts.append(part)
         blob = b"\n".join([*parts, b"       "])
@@ -531,22 +531,23 @@ def _entries(docs: DataFrame, ranges: int) -> DataFrame:
     """Entries (key, kind, profile) of all lines, packed by range of keys; of a task's equal lines one has them."""
     names = ["bucket", "data"]
 
-    def pack(keys, nodes, own):
+    def pack(keys, owners, nodes, own):
         squeeze = zstandard.ZstdCompressor(level=1)
-        key, node, own = np.concatenate(keys), np.concatenate(nodes), np.concatenate(own)
+        key, owner, node = np.concatenate(keys), np.concatenate(owners), np.concatenate(nodes)
+        profile = np.ascontiguousarray(np.concatenate(own).T)
         bucket = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket.astype(np.uint16) if ranges <= 1 << 16 else bucket, kind="stable")
-        key, node, own, bucket = key[order], node[order], own[order], bucket[order]
-        key = key.view(np.uint8).reshape(-1, 8)[:, :6]
+        key, owner, bucket = key[order], owner[order], bucket[order]
+        # six bytes of a key keep apart what meets; of the upper two the bucket knows most
+        low, high, node = key.astype(np.uint32), (key >> np.uint64(32)).astype(np.uint16), node[owner]
         heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         blobs = []
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(key)]):
-            # six bytes of a key keep apart what meets; of the upper two the bucket knows most
-            blobs.append(squeeze.compress(key[a:b].tobytes() + node[a:b].tobytes() + np.ascontiguousarray(own[a:b].T).tobytes()))
+            blobs.append(squeeze.compress(low[a:b].tobytes() + high[a:b].tobytes() + node[a:b].tobytes() + np.take(profile, owner[a:b], axis=1).tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(bucket[heads], pa.int64()), pa.array(blobs, pa.binary())], names)
 
     def run(batches):
-        keys, nodes, own, held = [], [], [], 0
+        keys, owners, nodes, own, held, kinds = [], [], [], [], 0, 0
         seen: set = set()
         for batch in batches:
             for part in cut(batch, 0, SLICE):
@@ -559,16 +560,15 @@ def _entries(docs: DataFrame, ranges: int) -> DataFrame:
                     continue
                 seen.update(lines.node[rows].tolist())
                 key, line = line_keys(lines, rows)
-                line = rows[line]
-                keys.append(key), nodes.append(lines.node[line]), own.append(lines.profiles()[line])
-                held += len(key)
+                keys.append(key), owners.append((line + kinds).astype(np.int32)), nodes.append(lines.node[rows]), own.append(lines.profiles()[rows])
+                held, kinds = held + len(key), kinds + len(rows)
                 if held >= PACK:
-                    yield pack(keys, nodes, own)
-                    keys, nodes, own, held = [], [], [], 0
+                    yield pack(keys, owners, nodes, own)
+                    keys, owners, nodes, own, held, kinds = [], [], [], [], 0, 0
                     seen.clear()
         if held:
-            yield pack(keys, nodes, own)
-        del keys, nodes, own
+            yield pack(keys, owners, nodes, own)
+        del keys, owners, nodes, own
         release()
 
     return docs.select("text").mapInArrow(run, "bucket long, data binary")
@@ -583,9 +583,8 @@ def _meetings(entries: DataFrame, similarity: float) -> DataFrame:
         for blob in table.column("data"):
             raw = unzip.decompress(blob.as_py())
             n = len(raw) // (14 + LETTERS)
-            key = np.zeros((n, 8), np.uint8)
-            key[:, :6] = np.frombuffer(raw, np.uint8, 6 * n).reshape(n, 6)
-            keys.append(key.view(np.uint64)[:, 0]), nodes.append(np.frombuffer(raw[6 * n : 14 * n], np.int64))
+            key = np.frombuffer(raw, np.uint32, n) | np.frombuffer(raw, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
+            keys.append(key), nodes.append(np.frombuffer(raw, np.int64, n, 6 * n))
             profiles.append(np.frombuffer(raw, np.uint8, LETTERS * n, 14 * n).reshape(LETTERS, n).T)
         key = np.concatenate(keys)
         order = np.argsort(key)
