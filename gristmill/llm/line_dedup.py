@@ -45,11 +45,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
 from gristmill.llm.arrow import cut, freeing, map_arrow, release
 from gristmill.llm.words import _SEPARATES, fold, mix
@@ -78,13 +79,15 @@ GROUP, CALL = 200_000, 20_000
 KEYS, RANGE = 25, 400_000
 #: Bytes of text that are parsed at once, and entries that a task packs at once.
 SLICE, PACK = 2 << 20, 2_000_000
+#: Places of lines that a task holds before it folds those of one kind.
+FOLD = 1_000_000
 _SPACE = bytes(b if not _SEPARATES[b] else 32 for b in range(256))
 _LINE = bytes(10 if b == 10 else _SPACE[b] for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Thai, Lao, Burmese, Khmer, kana, Chinese and Yi characters.
 _UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿ꀀ-꓏豈-﫿\U00020000-\U0003ffff])")
-#: Bytes that characters of these begin with.
-_HIGH = re.compile(b"[\xe0-\xf4]")
+#: The least byte that characters of these begin with.
+_HIGH = 0xE0
 
 
 def normalise(line: str) -> str:
@@ -100,8 +103,8 @@ def lines_of(text: str) -> list[tuple[int, bytes]]:
     return out
 
 
-def document_key(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def document_key(text: str | bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
@@ -137,6 +140,19 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _edges(parts: list[bytes]) -> np.ndarray:
+    """Where each part begins among all, with a byte between two."""
+    lengths = np.array([len(p) + 1 for p in parts], np.int64)
+    return np.cumsum(lengths) - lengths
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Sums of the values before each place, and of all; they wrap."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=out[1:])
+    return out
+
+
 class Lines:
     """The lines with words of some texts, as arrays.
 
@@ -145,34 +161,37 @@ class Lines:
     """
 
     def __init__(self, texts: list[str | None]):
-        parts = []
-        for text in texts:
-            part = fold(text).translate(_LINE)
-            if not part.isascii() and _HIGH.search(part) and _UNSPACED.search(own := part.decode("utf-8", "surrogatepass")):
-                part = _UNSPACED.sub("\x1f\\1\x1f", own).encode("utf-8", "surrogatepass")
-            parts.append(part)
+        parts = [fold(text).translate(_LINE) for text in texts]
         blob = b"\n".join([*parts, b"       "])
-        data = self.data = np.frombuffer(blob, np.uint8)
+        data = np.frombuffer(blob, np.uint8)
+        edges = _edges(parts)
+        high, marked = np.flatnonzero(data >= _HIGH), False
+        for k in np.unique(np.searchsorted(edges, high, "right") - 1).tolist():
+            if _UNSPACED.search(own := parts[k].decode("utf-8", "surrogatepass")):
+                parts[k], marked = _UNSPACED.sub("\x1f\\1\x1f", own).encode("utf-8", "surrogatepass"), True
+        if marked:
+            blob = b"\n".join([*parts, b"       "])
+            data, edges = np.frombuffer(blob, np.uint8), _edges(parts)
+        self.data = data
         ends = self.ends = np.flatnonzero(data == 10)  # of lines, whether or not they have words
         gap = data <= 32
         turns = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if len(data) and not gap[0]:
             turns = np.concatenate([[0], turns])
-        begin, end = turns[::2], turns[1::2]
+        begin, end = np.ascontiguousarray(turns[::2]), np.ascontiguousarray(turns[1::2])
         self.begin, self.end = begin, end
-        owner = np.searchsorted(ends, begin)
-        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-        self.start, self.size = first, np.diff(np.append(first, len(owner)))
-        line = owner[first]
-        lengths = np.array([len(p) + 1 for p in parts], np.int64)
-        edges = np.cumsum(lengths) - lengths
+        upto = np.concatenate([[0], np.searchsorted(begin, ends), [len(begin)]])  # words before each line and after the last
+        count = np.diff(upto)
+        line = np.flatnonzero(count)
+        first = self.start = upto[line]
+        self.size = count[line]
         self.doc = np.searchsorted(edges, begin[first], "right") - 1
         before = np.searchsorted(ends, edges)  # lines before a text's first
         self.no = line - before[self.doc]
         self.value = _hash_runs(blob, begin, end)
-        power, inverse = _power_tables(len(owner) + 1)
-        self.total = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.value ^ _STEP))])  # of words in any order
-        inorder = np.concatenate([[np.uint64(0)], np.cumsum(self.value * power[: len(owner)])])
+        power, inverse = _power_tables(len(begin) + 1)
+        self.total = _sums(mix(self.value ^ _STEP))  # of words in any order
+        inorder = _sums(self.value * power[: len(begin)])
         last = first + self.size
         self.node = mix((inorder[last] - inorder[first]) * inverse[first] + self.size.astype(np.uint64))
         self.bag = self.total[last] - self.total[first]
@@ -368,8 +387,8 @@ def _at_most(a: str, b: str, most: int) -> bool:
     return cost <= most
 
 
-#: Words of 64 bits of a band up to which many pairs are worked on at once, and pairs at once.
-BAND_WORDS, LANES = 16, 512
+#: Words of 64 bits of a band up to which many pairs are worked on at once, pairs at once, and pairs from which that pays.
+BAND_WORDS, LANES, FEW = 16, 512, 64
 #: Different characters of a batch up to which their places are kept as bits.
 SYMBOLS = 128
 #: Buckets of pairs of neighbouring characters.
@@ -484,6 +503,10 @@ def distances_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool
         own.sort()
         for at in range(0, len(own), LANES):
             some = own[at : at + LANES]
+            if len(some) < FEW:  # a step of the band takes as long for one pair as for many
+                for _, k, a, b in some:
+                    out[k] = edit_distance(a, b, most[k]) <= most[k]
+                continue
             limit = np.array([most[k] for _, k, _, _ in some], np.int64)
             found = _band([(a, b) for _, _, a, b in some], limit, words)
             for (_, k, _, _), fits in zip(some, (found <= limit).tolist()):
@@ -838,21 +861,10 @@ def _verify_crowds(crowds: DataFrame, lines: DataFrame, similarity: float) -> Da
     return within.unionByName(across)
 
 
-def _squeezed(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, whose last is a text, with the text compressed as ``z``."""
-
-    def work(batch):
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        at = batch.num_columns - 1
-        for part in cut(batch, at):
-            yield [*part.columns[:-1], pa.array([None if t is None else squeeze(t.encode("utf-8", "surrogatepass")) for t in part.column(at).to_pylist()], pa.binary())]
-
-    return map_arrow(docs, work, StructType([*docs.schema.fields[:-1], StructField("z", BinaryType())]))
-
-
-def _unsqueezed(column) -> list[str | None]:
-    unzip = zstandard.ZstdDecompressor().decompress
-    return [None if z is None else unzip(z).decode("utf-8", "surrogatepass") for z in column.to_pylist()]
+def _listed(column: pa.Array) -> tuple[list[list], np.ndarray]:
+    """The fields of a column of lists of structs, over all rows, and where each row's begin and end."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return [x.to_pylist() for x in column.flatten().flatten()], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -868,20 +880,22 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
 
     def rebuild(batch):
         for part in cut(batch, len(others), SLICE):
-            texts = []
-            for text, lines in zip(_unsqueezed(part.column(len(others))), part.column(len(others) + 1).to_pylist()):
-                if text and lines:
+            texts, (dkeys, numbers), edges = part.column(len(others)), *_listed(part.column(len(others) + 1))
+            touched = np.diff(edges) > 0
+            rows, new = np.flatnonzero(touched), []
+            for text, a, b in zip(texts.take(pa.array(rows)).cast(pa.binary()).to_pylist(), edges[rows].tolist(), edges[rows + 1].tolist()):
+                if text:
                     key = document_key(text)
-                    drop = {x["no"] for x in lines if x["dkey"] == key}
+                    drop = {no for no, dkey in zip(numbers[a:b], dkeys[a:b]) if dkey == key}
                     if drop:
-                        text = "\n".join(x for no, x in enumerate(text.split("\n")) if no not in drop)
-                texts.append(text)
-            yield [*part.columns[: len(others)], pa.array(texts, pa.string())]
+                        text = b"\n".join([x for no, x in enumerate(text.split(b"\n")) if no not in drop])
+                new.append(text)
+            yield [*part.columns[: len(others)], pc.replace_with_mask(texts, pa.array(touched), pa.array(new, pa.binary()).cast(texts.type)) if new else texts]
 
     flat = docs.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(others)], F.col(f"`{text_col}`").alias("text"))
     at = [f.name for f in others].index(id_col)
-    packed = _squeezed(flat)
-    joined = packed.join(gone, packed[f"c{at}"] == gone["__id"], "left").select(*packed.columns, "__gone")
+    # a hash table of line numbers, so that the texts needn't be sorted
+    joined = flat.join(gone.hint("shuffle_hash"), flat[f"c{at}"] == gone["__id"], "left").select(*flat.columns, "__gone")
     done = map_arrow(joined, rebuild, StructType(unpacked))
     names = [f.name for f in others]
     names.insert(place, text_col)
@@ -903,6 +917,51 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, work, StructType([docs.schema["id"], StructField("dkey", LongType()), StructField("no", IntegerType()), StructField("node", LongType()), StructField("bag", LongType())]))
 
 
+def _kinds(found: DataFrame) -> DataFrame:
+    """``(node, bag, place, n)``: the kinds of lines, each with its first place and the number of its places."""
+    kind = found.schema["id"].dataType
+    if not isinstance(kind, IntegralType) and kind != StringType():  # Spark alone knows the order of all types
+        return found.groupBy("node", "bag").agg(F.min(F.struct("id", "dkey", "no")).alias("place"), F.count("*").alias("n"))
+    place = ["id", "dkey", "no"]
+
+    def folded(tables: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(tables).combine_chunks()
+        node, bag, n = (table.column(c).to_numpy() for c in ("node", "bag", "n"))
+        order = np.lexsort((bag, node))
+        node, bag = node[order], bag[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (node[1:] != node[:-1]) | (bag[1:] != bag[:-1])
+        heads = np.flatnonzero(new)
+        first, size = order[heads], np.diff(np.append(heads, len(order)))
+        many = np.repeat(size > 1, size)
+        if many.any():
+            some = table.select(place).take(pa.array(order[many]))
+            some = some.append_column("kind", pa.array((np.cumsum(new) - 1)[many])).append_column("row", pa.array(order[many]))
+            some = some.sort_by([(c, "ascending") for c in ("kind", *place)])
+            own = some.column("kind").to_numpy()
+            first[size > 1] = some.column("row").to_numpy()[np.concatenate([[True], own[1:] != own[:-1]])]
+        return table.take(pa.array(first)).set_column(table.num_columns - 1, "n", pa.array(np.add.reduceat(n[order], heads)))
+
+    def run(batches):
+        held, rows, most = [], 0, FOLD
+        for batch in batches:
+            if batch.num_rows:
+                held.append(pa.Table.from_batches([batch]).append_column("n", pa.array(np.ones(batch.num_rows, np.int64))))
+                rows += batch.num_rows
+            if rows > most:
+                held = [folded(held)]
+                rows = held[0].num_rows
+                most = max(FOLD, 2 * rows)
+        for batch in folded(held).to_batches(max_chunksize=100_000) if held else ():
+            first = pa.StructArray.from_arrays([batch.column(c) for c in place], place)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("bag"), first, batch.column("n")], ["node", "bag", "place", "n"])
+        del held
+        release()
+
+    first = StructType([found.schema[c] for c in place])
+    return found.repartition("node", "bag").mapInArrow(run, StructType([found.schema["node"], found.schema["bag"], StructField("place", first), StructField("n", LongType())]))
+
+
 def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
     """``(node, line)``: the normalised lines of ``members`` ``(node, place)``, picked out of their documents."""
     wanted = members.groupBy(F.col("place.id").alias("id")).agg(F.collect_list(F.struct("node", F.col("place.dkey").alias("dkey"), F.col("place.no").alias("no"))).alias("wanted"))
@@ -910,16 +969,17 @@ def _texts_of(base: DataFrame, members: DataFrame) -> DataFrame:
     def pick(batch):
         for part in cut(batch, 0, SLICE):
             nodes, lines = [], []
-            for text, wishes in zip(_unsqueezed(part.column(0)), part.column(1).to_pylist()):
+            (kinds, dkeys, numbers), edges = _listed(part.column(1))
+            for text, a, b in zip(part.column(0).cast(pa.binary()).to_pylist(), edges.tolist(), edges[1:].tolist()):
                 key, own = document_key(text), None
-                for wish in wishes:
-                    if wish["dkey"] == key:
-                        own = own or fold(text).translate(_LINE).split(b"\n")
-                        nodes.append(wish["node"])
-                        lines.append(b" ".join(own[wish["no"]].split()).decode("utf-8", "replace"))
+                for node, dkey, no in zip(kinds[a:b], dkeys[a:b], numbers[a:b]):
+                    if dkey == key:
+                        own = own or text.split(b"\n")
+                        nodes.append(node)
+                        lines.append(normalise(own[no].decode("utf-8", "surrogatepass")))
             yield [pa.array(nodes, pa.int64()), pa.array(lines, pa.string())]
 
-    texts = _squeezed(base).join(wanted, "id").select("z", "wanted")
+    texts = base.join(wanted.hint("shuffle_hash"), "id").select("text", "wanted")
     # repeated rows give their lines repeatedly, which does no harm
     return map_arrow(texts, pick, StructType([StructField("node", LongType()), StructField("line", base.schema["text"].dataType)]))
 
@@ -960,7 +1020,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
     found = materialize(_occurrences(base), "found")
     place = F.struct("id", "dkey", "no")
-    kinds = materialize(found.groupBy("node", "bag").agg(F.min(place).alias("place"), F.count("*").alias("n")), "kinds")
+    kinds = materialize(_kinds(found), "kinds")
     roots = similar_kinds(base, kinds, similarity)
     # of a kind that nothing is similar to, the whole hash is the group's; else the root is
     grouped = kinds.join(roots, "node", "left").select("node", "bag", "place", "n", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("bag")).otherwise(F.lit(0)).alias("apart"))

@@ -457,6 +457,34 @@ def test_a_crowd_of_one_text_costs_in_proportion(monkeypatch):
             assert line_dedup.edit_distance(lines[i], lines[j], 99) > 0.1 * max(len(lines[i]), len(lines[j]))
 
 
+def test_wide_bands_are_for_many_pairs(monkeypatch):
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("abcdefg ") for _ in range(n))
+    pairs = [(a, b) for n in (90, 400, 1500) for a in [line(n)] for b in (a[: n // 2] + line(n // 12) + a[n // 2 + n // 12 :], line(n))]
+    most = [len(a) // 10 for a, _ in pairs]
+    want = [line_dedup.edit_distance(a, b, 10**6) <= m for (a, b), m in zip(pairs, most)]
+    lanes, usual = [], line_dedup._band
+    monkeypatch.setattr(line_dedup, "_band", lambda pairs, *rest: lanes.append(len(pairs)) or usual(pairs, *rest))
+    assert line_dedup.distances_within(pairs, most) == want and not lanes and 0 < sum(want) < len(want)
+    assert line_dedup.distances_within(pairs * 40, most * 40) == want * 40 and min(lanes) >= line_dedup.FEW
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_kinds_have_their_first_places(spark, monkeypatch, kind):
+    monkeypatch.setattr(line_dedup, "FOLD", 50)
+    rng = random.Random(3)
+    rows = [(rng.randrange(12), rng.randrange(-2, 2), rng.randrange(3), rng.randrange(-9, 9), rng.randrange(2)) for _ in range(600)]
+    found = spark.createDataFrame(rows, "id int, dkey long, no int, node long, bag long").withColumn("id", F.col("id").cast(kind))
+    want = found.groupBy("node", "bag").agg(F.min(F.struct("id", "dkey", "no")).alias("place"), F.count("*").alias("n"))
+    assert sorted(line_dedup._kinds(found).collect()) == sorted(want.collect())
+
+
+def test_lines_with_characters_of_several_bytes(spark):
+    rows = [(1, "Größe und Maß der Dinge sind hier gefragt\n日本語 の 文 です\nein Ende ΟΔΟΣ"), (2, "größe und maß der dinge sind hier gefragt!\nΟΔΟΣ\n日本語の文です"), (3, "Größe und Maß der Dinge sind hier gefragx\nοδος")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "ΟΔΟΣ", 3: ""}
+
+
 def test_crowds_that_share_kinds_are_verified_once(spark, monkeypatch):
     """Families of several tiles, with kinds apart; each kind is in three crowds."""
     rng = random.Random(12)
