@@ -461,7 +461,7 @@ def _band(pairs: list[tuple[str, str]], most: np.ndarray, words: int) -> np.ndar
         # along the lower edge of the band until the last row, and then along that
         score += 1 - (diagonal[:, -1] >> top).astype(np.int64)
         if j >= lowest:
-            low = np.flatnonzero(size_a - reach - j <= 0)
+            low = np.flatnonzero((size_a - reach - j <= 0) & (j < size_b))  # a pair that is done may wait for others far beyond its window
             bit = size_a[low] - reach - j + width - 2
             at, shift = bit >> 6, (bit & 63).astype(np.uint64)
             side = (more[low, at] >> shift & one).astype(np.int64) - (less[low, at] >> shift & one).astype(np.int64)

@@ -469,6 +469,19 @@ def test_wide_bands_are_for_many_pairs(monkeypatch):
     assert line_dedup.distances_within(pairs * 40, most * 40) == want * 40 and min(lanes) >= line_dedup.FEW
 
 
+@pytest.mark.parametrize("letters", ["abcdefg ", "".join(map(chr, range(0x4E00, 0x4E00 + 400)))])
+def test_bands_of_few_short_pairs_among_long_ones(letters):
+    """A short pair is done, but stays in the batch until its place is far outside of its window."""
+    rng, pairs, most = random.Random(7), [], []
+    for n, times, m in ((40, 10, 6), (310, 90, 31), (70, 10, 40), (600, 90, 60)):
+        for k in range(times):
+            a = "".join(rng.choice(letters) for _ in range(n))
+            spots = rng.sample(range(n), m - 3 + k % 7)
+            pairs.append((a, "".join(rng.choice(letters) if i in spots else c for i, c in enumerate(a)))), most.append(m)
+    want = [line_dedup.edit_distance(a, b, 10**6) <= m for (a, b), m in zip(pairs, most)]
+    assert line_dedup.distances_within(pairs, most) == want and 0 < sum(want) < len(want)
+
+
 @pytest.mark.parametrize("kind", ["long", "string", "double"])
 def test_kinds_have_their_first_places(spark, monkeypatch, kind):
     monkeypatch.setattr(line_dedup, "FOLD", 50)
