@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-#: Bytes of text that are handled at once inside a batch.
-SLICE_BYTES = 4 << 20
+from gristmill.batches import cut, release  # noqa: F401
+
 #: Bytes of a group after which memory is handed back.
 LARGE = 1 << 20
 
 
-def cut(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``limit`` bytes of text each; a longer text is a slice by itself."""
-    if not batch.num_rows:
-        return
-    sizes = np.array([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
-    turn = (np.cumsum(sizes) - sizes) // limit
-    edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:]):
-        yield batch.slice(a, b - a)
-
-
 def list_array(values: np.ndarray, lengths, kind: pa.DataType) -> pa.ListArray:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
@@ -47,15 +34,6 @@ def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[list]], s
     return df.mapInArrow(run, schema)
 
 
-def release() -> None:
-    """Hand freed memory back, as a worker lives on beside the next stages' workers."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
-
-
 def freeing(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
     """``work`` on groups, with memory handed back after each large one."""
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from gristmill.batches import cut, release
 from gristmill.functions.texts import char_tokens, token_hash, whitespace_tokens
 from gristmill.operators.components import connected_components
 from gristmill.session import discard, materialize
@@ -26,10 +27,12 @@ from gristmill.session import discard, materialize
 PRIME = 2147483647
 BANDS, ROWS, WINDOW = 17, 15, 3
 BUCKETS = 1 << 20
-#: Tokens whose hashes a worker remembers; a cache only.
-MEMO = 500_000
-#: Tokens by permutations that are reckoned at once.
-CELLS = 1 << 18
+#: Tokens whose hashes a worker remembers, and characters up to which it does; a cache only.
+MEMO, MEMO_CHARS = 1 << 17, 64
+#: Tokens by permutations that are reckoned at once; what they take stays in the cache of a core.
+CELLS = 1 << 15
+#: Bytes of text and rows that a worker signs at once.
+SLICE, SIGNED = 1 << 20, 500
 _SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
@@ -57,7 +60,7 @@ class Signer:
     def __init__(self, permutations: int, tokenizer: str, window: int):
         if tokenizer not in ("whitespace", "vectorizer", "char"):
             raise ValueError(f"no tokenizer {tokenizer}")
-        self.a, self.b = (np.array(x, np.uint64)[:, None] for x in zip(*coefficients(permutations)))
+        self.a, self.b = (np.array(x, np.uint64) for x in zip(*coefficients(permutations)))
         self.tokenizer, self.window, self.memo = tokenizer, window, {}
 
     def hashes(self, text: str) -> np.ndarray:
@@ -74,7 +77,9 @@ class Signer:
             h = memo.get(part)
             if h is None:
                 h = int.from_bytes(hashlib.md5(part.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[:4], "big") % PRIME
-                memo[part] = h = h % BUCKETS if self.tokenizer == "vectorizer" else h
+                h = h % BUCKETS if self.tokenizer == "vectorizer" else h
+                if len(part) <= MEMO_CHARS:
+                    memo[part] = h
             out.append(h)
         return np.array(out, np.uint64)
 
@@ -82,26 +87,43 @@ class Signer:
         values = self.hashes(text) if text else ()
         if not len(values):
             return None
-        low = np.full(len(self.a), PRIME, np.uint64)
+        low = np.full(len(self.a), PRIME, np.uint32)
         step = max(1, CELLS // len(self.a))
-        prime, bits = np.uint64(PRIME), np.uint64(31)
+        prime, bits, least = np.uint64(PRIME), np.uint64(31), np.uint32(PRIME)
         for at in range(0, len(values), step):
-            x = self.a * values[at : at + step] + self.b  # below 2 ** 62
-            x = (x & prime) + (x >> bits)  # 2 ** 31 is 1 modulo the prime, so halves add up; once more, and at most the prime is left over
-            x = (x & prime) + (x >> bits)
-            x[x == prime] = 0
-            np.minimum(low, x.min(1), out=low)
+            x = values[at : at + step, None] * self.a
+            x += self.b  # below 2 ** 62
+            y = x >> bits  # 2 ** 31 is 1 modulo the prime, so halves add up, to less than twice the prime
+            x &= prime
+            y += x
+            y = y.astype(np.uint32)
+            np.minimum(low, y.min(0), out=low)
+            y -= least  # what was below the prime is above all others now
+            np.minimum(low, y.min(0), out=low)
         return low.astype(np.int64)
 
 
+def _pieces(batches):
+    """Slices of batches ``(id, text, ...)`` of about ``SLICE`` bytes of text and ``SIGNED`` rows at most."""
+    for batch in batches:
+        for part in cut(batch, 1, SLICE):
+            for at in range(0, part.num_rows, SIGNED):
+                yield part.slice(at, SIGNED)
+    release()
+
+
 def minhash_signature(docs: DataFrame, permutations: int = BANDS * ROWS, tokenizer: str = "whitespace", window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, sig)`` for every row. A text without tokens has a null signature."""
     Signer(permutations, tokenizer, window)
 
     def work(batches):
         sign = Signer(permutations, tokenizer, window)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sign(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], [id_col, "sig"])
+        for part in _pieces(batches):
+            found = [sign(t) for t in part.column(1).to_pylist()]
+            none = np.array([x is None for x in found] + [False])
+            ends = np.concatenate([[0], np.cumsum(~none[:-1])]) * permutations
+            values = np.concatenate([x for x in found if x is not None]) if len(found) > none.sum() else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=none), pa.array(values))], [id_col, "sig"])
 
     slim = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     return slim.mapInArrow(work, StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("sig", ArrayType(LongType()))]))
@@ -133,7 +155,7 @@ def _band_keys(docs: DataFrame, bands: int, rows: int, tokenizer: str, window: i
 
     def work(batches):
         sign = Signer(bands * rows, tokenizer, window)
-        for batch in batches:
+        for batch in _pieces(batches):
             index, band, key = [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 own = sign(text)

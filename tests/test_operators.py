@@ -1,6 +1,7 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,18 @@ def test_signatures_equal_the_expressions(spark, sf_dir):
             assert got[r["doc_id"]] == ([min((x * h + y) % minhash.PRIME for h in r["h"]) for x, y in zip(a, b)] if r["h"] else None)
 
 
+def test_what_a_signer_holds_is_bounded():
+    """A batch of any size is signed in slices, without loss; long tokens aren't remembered."""
+    rows = [(i, None if i % 7 == 0 else "" if i % 7 == 1 else f"text {i} " + "word " * (i % 500)) for i in range(3000)] + [(3000, "x " * minhash.SLICE)]
+    batch = pa.RecordBatch.from_pydict({"id": [r[0] for r in rows], "text": pa.array([r[1] for r in rows])})
+    parts = list(minhash._pieces([batch, batch.slice(0, 0)]))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert all(p.num_rows <= minhash.SIGNED and sum(len(t or "") for t in p.column(1).to_pylist()[:-1]) < minhash.SLICE for p in parts)
+    sign = minhash.Signer(20, "whitespace", 3)
+    text = " ".join(f"{i:0100d}" for i in range(50))
+    assert list(sign(text + " a b")) == list(minhash.Signer(20, "whitespace", 3)("b a " + text)) and set(sign.memo) == {"a", "b"}
+
+
 def test_near_dedup_reads_texts_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = minhash.minhash_signature(docs)._jdf.queryExecution().executedPlan().toString()
