@@ -1,6 +1,9 @@
 import gzip
 import json
+import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +121,30 @@ def test_what_a_signer_holds_is_bounded():
     assert list(sign(text + " a b")) == list(minhash.Signer(20, "whitespace", 3)("b a " + text)) and set(sign.memo) == {"a", "b"}
 
 
+@pytest.mark.parametrize("kind", [pa.int64(), pa.int32(), pa.string()])
+def test_components_of_a_task(kind):
+    """Chains, stars and random edges, against hanging one edge after the other; numbers take arrays alone."""
+    rng = random.Random(4)
+    chain, star = [(i, i + 1) for i in range(1000, 3000)], [(9999, i) for i in range(4000, 4400)]
+    for edges in ([], [(2, 1)], chain + star, rng.sample(chain, 900), [(rng.randrange(-3000, 3000), rng.randrange(-3000, 3000)) for _ in range(2500)]):
+        named = lambda x: f"{x:06d}" if kind == pa.string() else x
+        edges = [(named(max(e)), named(min(e))) for e in edges if e[0] != e[1]]
+        want = {x: x for e in edges for x in e}
+        for a, b in edges:
+            a, b = sorted((want[a], want[b]))
+            if a != b:
+                want = {x: a if c == b else c for x, c in want.items()}
+        got = components._solve(pa.table({"u": pa.array([e[0] for e in edges], kind), "v": pa.array([e[1] for e in edges], kind)}))
+        assert dict(zip(*(got.column(c).to_pylist() for c in ("node", "component")))) == want and got.num_rows == len(want) and got.schema.types == [kind, kind]
+
+
+def test_components_of_many_edges_take_little_memory():
+    tracemalloc.start()
+    components._solve(pa.table({"u": np.arange(1, 200_001), "v": np.arange(200_000) // 3}))
+    assert tracemalloc.get_traced_memory()[1] < 30e6  # 100 bytes an edge and more with lists and dictionaries
+    tracemalloc.stop()
+
+
 def test_near_dedup_reads_texts_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = minhash.minhash_signature(docs)._jdf.queryExecution().executedPlan().toString()
