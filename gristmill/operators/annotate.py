@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.batches import cut, release
 from gristmill.functions import texts, urls
 from gristmill.functions.langs import is_cjk
 from gristmill.session import materialize
@@ -23,6 +24,8 @@ from gristmill.session import materialize
 MIN_LENGTH, MIN_AVG_WORDS, MIN_AVG_CHARS, MIN_SCORE = 500, 5, 10, 5.0
 #: Rows up to which a list is broadcast.
 BROADCAST_ROWS = 100_000
+#: Characters of a secret that are looked for at first, and bytes of text that are looked through at once.
+BEGINNING, SLICE = 8, 1 << 20
 
 
 def _small(frame: DataFrame) -> DataFrame:
@@ -69,8 +72,8 @@ def list_secrets(docs: DataFrame, pattern: str = texts.SECRET, least: int = 10,
 def drop_secrets(docs: DataFrame, secrets: DataFrame, text_col: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` without those that contain a secret.
 
-    Each worker matches the list by Aho-Corasick, one pass over a text however long
-    the list is. Of a list of more than ``most`` secrets as many are sent at a time,
+    Each worker looks for the beginnings of the secrets by Aho-Corasick, one pass over a
+    text however long the list is, and for whole ones where a beginning stands. Of a list of more than ``most`` secrets as many are sent at a time,
     and what the documents lose by them is written before the next.
     """
     known = materialize(secrets.select("secret").where("secret <> ''").distinct(), "secrets")
@@ -84,25 +87,47 @@ def drop_secrets(docs: DataFrame, secrets: DataFrame, text_col: str = "text", mo
     return docs
 
 
+class Finder:
+    """Tells whether a text contains any of some words; the automaton has their beginnings alone, as a node takes more than a character."""
+
+    def __init__(self, words: list[str]):
+        import ahocorasick
+
+        self.words: set[str] = set(words)
+        sizes: dict[str, set[int]] = {}
+        for word in self.words:
+            sizes.setdefault(word[:BEGINNING], set()).add(len(word))
+        self.machine = ahocorasick.Automaton()
+        known: dict[tuple[int, ...], tuple[int, ...]] = {}
+        for begin, own in sizes.items():
+            own = tuple(sorted(own))
+            self.machine.add_word(begin, (len(begin), known.setdefault(own, own)))
+        self.machine.make_automaton()
+
+    def __call__(self, text: str) -> bool:
+        for end, (length, sizes) in self.machine.iter(text):
+            at = end + 1 - length
+            if any(text[at : at + n] in self.words for n in sizes):
+                return True
+        return False
+
+
 def _without(docs: DataFrame, words: list[str], text_col: str) -> DataFrame:
-    import ahocorasick
     import pyarrow as pa
     import pyarrow.compute as pc
 
     shared = docs.sparkSession.sparkContext.broadcast(words)
     at = docs.columns.index(text_col)
-    held: list = []
 
     def work(batches):
-        if not held:
-            machine = ahocorasick.Automaton()
-            for word in shared.value:
-                machine.add_word(word, word)
-            machine.make_automaton()
-            held.append(machine)
+        finder = None
         for batch in batches:
-            clean = [t is None or next(held[0].iter(t), None) is None for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(clean, pa.bool_())) for c in batch.columns], schema=batch.schema)
+            finder = finder or Finder(shared.value)
+            for part in cut(batch, at, SLICE):
+                clean = [t is None or not finder(t) for t in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(clean, pa.bool_())) for c in part.columns], schema=part.schema)
+        del finder
+        release()
 
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     return flat.mapInArrow(work, flat.schema).toDF(*docs.columns)

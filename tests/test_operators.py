@@ -145,6 +145,19 @@ def test_components_of_many_edges_take_little_memory():
     tracemalloc.stop()
 
 
+def test_finder_of_secrets_holds_their_beginnings_alone():
+    """Against looking for each word; words that share beginnings, are one another's parts, and are shorter than a beginning."""
+    rng = random.Random(9)
+    some = lambda least, most: "".join(rng.choice("aäb日") for _ in range(rng.randint(least, most)))
+    for least, most in ((1, 3), (5, 9), (6, 12), (9, 14)):
+        words = list({some(least, most) for _ in range(20)})
+        finder, texts_ = annotate.Finder(words), ["", *(some(0, 40) for _ in range(300)), *(some(0, 9) + w[: rng.choice([len(w) - 1, len(w)])] + some(0, 9) for w in words)]
+        assert [finder(t) for t in texts_] == [any(w in t for w in words) for t in texts_]
+    assert annotate.Finder([f"{i:040d}"[::-1] for i in range(20_000)]).machine.get_stats()["nodes_count"] < 30_000 + 20_000 * annotate.BEGINNING
+    same = annotate.Finder([f"secret_{i:030d}" for i in range(20_000)])  # one beginning for all
+    assert same.machine.get_stats()["nodes_count"] < 20 and same("secret_" * 20_000 + f"secret_{7:030d}") and not same("secret_" * 20_000)
+
+
 def test_near_dedup_reads_texts_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = minhash.minhash_signature(docs)._jdf.queryExecution().executedPlan().toString()
