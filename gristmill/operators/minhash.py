@@ -170,6 +170,11 @@ def _band_keys(docs: DataFrame, bands: int, rows: int, tokenizer: str, window: i
     return slim.mapInArrow(work, schema)
 
 
+def band_keys(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, tokenizer: str = "whitespace", window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, band, key)`` straight from texts, for ``near_dup_edges``; documents meet as they do by ``lsh_bands``."""
+    return _band_keys(docs, bands, rows, tokenizer, window, None, id_col, text_col, None).select(F.col("id").alias(id_col), "band", "key")
+
+
 def lsh_bands(signatures: DataFrame, bands: int = BANDS, rows: int = ROWS, band_id: int | None = None, id_col: str = "doc_id") -> DataFrame:
     """``(id, band, key)``; a single band if ``band_id`` is given."""
     wanted = range(bands) if band_id is None else [band_id]
@@ -178,8 +183,12 @@ def lsh_bands(signatures: DataFrame, bands: int = BANDS, rows: int = ROWS, band_
 
 
 def near_dup_edges(bands: DataFrame, id_col: str = "doc_id", scope: str | None = None) -> DataFrame:
-    """``(src, dst)``: each document of a bucket with the lowest one in it."""
+    """``(src, dst)``: each document of a bucket with the lowest one in it.
+
+    Both sides of the join read the bands, so these are written once, not reckoned twice.
+    """
     keys = ["band", "key"] + ([scope] if scope else [])
+    bands = materialize(bands.select(id_col, *keys), "bands")
     low = bands.groupBy(*keys).agg(F.min(id_col).alias("dst"), F.count("*").alias("n")).where("n > 1").drop("n")
     return bands.join(low, keys).where(F.col(id_col) != F.col("dst")).select(F.col(id_col).alias("src"), "dst").distinct()
 

@@ -170,7 +170,7 @@ def lsh_single_band(spark, read):
 
 @query
 def near_dup_edges(spark, read):
-    return minhash.near_dup_edges(minhash.lsh_bands(minhash.minhash_signature(read("documents"))))
+    return minhash.near_dup_edges(minhash.band_keys(read("documents")))
 
 
 @query

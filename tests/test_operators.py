@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import langs, texts, urls
 from gristmill.operators import annotate, batching, components, dedup, ingest, minhash, registers, robots, routing, stats
+from gristmill.plans import reference
 from gristmill.sources import readers, writers
 from gristmill.streaming import records
 
@@ -158,6 +159,14 @@ def test_finder_of_secrets_holds_their_beginnings_alone():
     assert same.machine.get_stats()["nodes_count"] < 20 and same("secret_" * 20_000 + f"secret_{7:030d}") and not same("secret_" * 20_000)
 
 
+def test_edges_sign_texts_once(spark, sf_dir):
+    signed = reference.QUERIES["near_dup_edges"](spark, sf_dir)
+    assert "MapInArrow" not in signed._jdf.queryExecution().executedPlan().toString()  # it is written before; both sides of the join had it
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = minhash.near_dup_edges(minhash.lsh_bands(minhash.minhash_signature(docs)))
+    assert sorted(signed.collect()) == sorted(want.collect()) and signed.count() > 0
+
+
 def test_near_dedup_reads_texts_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = minhash.minhash_signature(docs)._jdf.queryExecution().executedPlan().toString()
